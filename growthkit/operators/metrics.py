@@ -68,11 +68,11 @@ def dense_ages(
     """
     packed = cells.groupBy(*by).agg(
         F.map_from_entries(F.collect_list(F.struct(age, value))).alias("__cells"),
-        last_age.alias("__last"),
+        last_age.cast("bigint").alias("__last"),
         *[F.max(c).alias(c) for c in carry],
     )
     ages = packed.where(F.col("__last") >= 0).withColumn(
-        age, F.explode(F.sequence(F.lit(0), F.col("__last"))).cast("bigint")
+        age, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__last")))
     )
     zero = F.lit(0).cast(cells.schema[value].dataType)
     return ages.withColumn(value, F.coalesce(F.try_element_at("__cells", F.col(age)), zero)).drop(

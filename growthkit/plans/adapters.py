@@ -20,7 +20,7 @@ COSTS = [
 # The same inputs in SQL, for the checks.
 USERS_SQL = """(SELECT c_custkey AS user_id, c_mktsegment AS platform, r_name AS channel, n_name AS place
  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
-COSTS_SQL = "(VALUES " + ", ".join(f"('{c}', {v})" for c, v in COSTS) + ") AS costs(channel, cost)"
+COSTS_SQL = "(VALUES " + ", ".join(f"('{c}', CAST({v} AS DOUBLE))" for c, v in COSTS) + ") AS costs(channel, cost)"
 LISTINGS_SQL = """(SELECT o_orderkey AS id, o_custkey, o_totalprice AS price, CAST(o_orderdate AS DATE) AS opened,
  CAST(lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS DATE) AS closed
  FROM orders)"""
