@@ -65,9 +65,10 @@ def attach(big: DataFrame, per_group: DataFrame, on: Sequence[str], salts: int =
     """Left join row-level data with one row per group, when one group may be huge.
 
     The group rows are repeated once per salt and every big row takes one salt from
-    its own content, so a hot group is spread over `salts` tasks. Adaptive execution
-    still turns this into a broadcast when the measured size of the group side is small.
+    its content and its input partition (copies of one row included), so a hot group is
+    spread over `salts` tasks; a rerun task gives the same salts. Adaptive execution still
+    turns this into a broadcast when the measured size of the group side is small.
     """
     salted = per_group.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = big.withColumn("__salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int"))
+    spread = big.withColumn("__salt", F.pmod(F.xxhash64(*big.columns, F.spark_partition_id()), F.lit(salts)).cast("int"))
     return join_groups(spread, salted, [*on, "__salt"]).drop("__salt")

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
@@ -63,31 +61,28 @@ def quantiles(
         (F.sum("__c").over(running) - F.col("__c")).alias("__start"),
         F.sum("__c").over(whole).alias("__total"),
     )
+    # SQL texts: with many probabilities they are built faster than Column objects.
+    at = {n: f"({float(p)!r}D * (__total - 1))" for n, p in probs.items()}
+    low = {n: f"CAST(floor({position}) AS BIGINT)" for n, position in at.items()}
+    high = {n: f"CAST(ceil({position}) AS BIGINT)" for n, position in at.items()}
+    ranks = [*low.values(), *high.values()]
+    hit = placed.where(" OR ".join(f"({r} >= __start AND {r} < __start + __c)" for r in ranks))
 
-    def rank(p: float, edge) -> Column:
-        return edge(F.lit(float(p)) * (F.col("__total") - 1)).cast("bigint")
-
-    def holds(at: Column, start: Column, size: Column) -> Column:
-        return (start <= at) & (at < start + size)
-
-    wanted = [rank(p, edge) for p in probs.values() for edge in (F.floor, F.ceil)]
-    hit = placed.where(reduce(or_, [holds(at, F.col("__start"), F.col("__c")) for at in wanted]))
     inside = W.partitionBy(*group, "__b").orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow)
     ranked = join_groups(counts, hit, [*group, "__b"], "inner").withColumn(
         "__first", F.col("__start") + F.sum("__n").over(inside) - F.col("__n")
     )
 
-    def value_at(at: Column) -> Column:
-        return F.max(F.when(holds(at, F.col("__first"), F.col("__n")), F.col("__v")))
+    def value_at(rank: str) -> str:
+        return f"max(CASE WHEN {rank} >= __first AND {rank} < __first + __n THEN __v END)"
 
     picked = ranked.groupBy(*group).agg(
         F.max("__total").alias("__total"),
-        *[value_at(rank(p, F.floor)).alias(f"__lo_{n}") for n, p in probs.items()],
-        *[value_at(rank(p, F.ceil)).alias(f"__hi_{n}") for n, p in probs.items()],
+        *[F.expr(value_at(rank)).alias(f"__low_{n}") for n, rank in low.items()],
+        *[F.expr(value_at(rank)).alias(f"__high_{n}") for n, rank in high.items()],
     )
-    out = []
-    for n, p in probs.items():
-        at = F.lit(float(p)) * (F.col("__total") - 1)
-        low, high = F.col(f"__lo_{n}"), F.col(f"__hi_{n}")
-        out.append((low + (high - low) * (at - F.floor(at))).alias(n))
-    return picked.select(*by, *out)
+    between = [
+        F.expr(f"`__low_{n}` + (`__high_{n}` - `__low_{n}`) * ({position} - floor({position}))").alias(n)
+        for n, position in at.items()
+    ]
+    return picked.select(*by, *between)

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 from operator import add
 
 from pyspark import StorageLevel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, Row, Window as W
+from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from growthkit.functions.columns import names, ratio
@@ -70,69 +71,97 @@ def rfm_summary(scores: DataFrame) -> DataFrame:
 Centres = list[tuple[float, ...]]
 
 
-def standardize(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Features with mean 0 and sample deviation 1; a constant feature becomes 0."""
-    stats = df.agg(*[f(c).alias(f"{n}_{c}") for c in features for n, f in (("m", F.avg), ("s", F.stddev_samp))]).first()
-    out = {}
-    for c in features:
-        mean, sd = stats[f"m_{c}"], stats[f"s_{c}"]
-        centred = F.col(c).cast("double") - F.lit(mean)
-        out[c] = centred / F.lit(sd) if sd else F.when(F.col(c).isNotNull(), F.lit(0.0))
-    return df.withColumns(out)
+def _known(features: Sequence[str]) -> Column:
+    return F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in features))
 
 
-def _known(features: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in features])
+@contextmanager
+def _scaled(df: DataFrame, ident: str, features: Sequence[str], scale: bool) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """(all rows, complete rows) with features of mean 0 and sample deviation 1.
+
+    The input is kept for the passes of a fit. A constant feature becomes 0; a row that lacks a
+    feature is in the first frame only.
+    """
+    rows = df.select(ident, *[F.col(c).cast("double").alias(c) for c in features])
+    kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        shape = {}
+        if scale:
+            complete = kept.where(_known(features))
+            stats = complete.agg(
+                *[F.avg(c).alias(f"m_{c}") for c in features], *[F.stddev_samp(c).alias(f"s_{c}") for c in features]
+            ).first()
+            for c in features:
+                centred = F.col(c) - F.lit(stats[f"m_{c}"])
+                sd = stats[f"s_{c}"]
+                shape[c] = centred / F.lit(sd) if sd else F.when(F.col(c).isNotNull(), F.lit(0.0))
+        yield rows.withColumns(shape), kept.withColumns(shape).where(_known(features))
+    finally:
+        kept.unpersist()
 
 
 def _nearest(features: Sequence[str], centres: Centres) -> Column:
-    """struct(dist, cluster) of the closest centre; a tie goes to the lower number."""
+    """struct(dist, cluster) of the closest centre; a tie goes to the lower number.
+
+    Written as one SQL text, since a fit builds this expression many times.
+    """
     options = []
     for i, centre in enumerate(centres):
-        dist = reduce(add, [(F.col(c) - F.lit(x)) * (F.col(c) - F.lit(x)) for c, x in zip(features, centre)])
-        options.append(F.struct(dist.alias("dist"), F.lit(i).cast("bigint").alias("cluster")))
-    return F.when(_known(features), F.array_min(F.array(*options)))
+        gaps = [f"(`{c}` - ({float(x)!r}D))" for c, x in zip(features, centre)]
+        dist = " + ".join(f"{gap} * {gap}" for gap in gaps)
+        options.append(f"named_struct('dist', {dist}, 'cluster', {i}L)")
+    known = " AND ".join(f"`{c}` IS NOT NULL" for c in features)
+    return F.expr(f"CASE WHEN {known} THEN array_min(array({', '.join(options)})) END")
 
 
 def _start(points: DataFrame, ident: str, features: Sequence[str], k: int, seed: int) -> Centres:
-    """k distinct points, chosen by a hash of seed and point, so not by partitioning."""
+    """k distinct points, chosen by a hash of seed and id, so not by partitioning."""
     pick = F.md5(F.concat_ws(":", F.lit(seed).cast("string"), F.col(ident).cast("string")))
     places = points.groupBy(*features).agg(F.min(pick).alias("__pick"))
-    return [tuple(row[c] for c in features) for row in places.orderBy("__pick").limit(k).collect()]
+    found = [tuple(row[c] for c in features) for row in places.orderBy("__pick").limit(k).collect()]
+    if len(found) < k:
+        raise ValueError(f"k={k} exceeds the number of distinct points ({len(found)})")
+    return found
 
 
-def _fit(points: DataFrame, features: Sequence[str], centres: Centres, max_iter: int, tol: float) -> tuple[Centres, float]:
-    """Lloyd's iterations; only k rows of sums come back to the driver each time."""
-    cost = math.inf
+def _fit(
+    points: DataFrame, features: Sequence[str], starts: list[Centres], max_iter: int, tol: float
+) -> list[tuple[Centres, float]]:
+    """Lloyd's iterations for several starts at once -> (centres, cost) for each.
+
+    One pass over the points serves all starts; only sums per cluster come back to the driver.
+    """
+    models = [list(start) for start in starts]
+    costs = [math.inf] * len(models)
+    moving = list(range(len(models)))
     for _ in range(max_iter):
-        rows: list[Row] = (
-            points.withColumn("__near", _nearest(features, centres))
-            .groupBy("__near.cluster")
-            .agg(F.sum("__near.dist").alias("__cost"), *[F.avg(c).alias(c) for c in features])
+        near = [
+            F.struct(F.lit(m).alias("model"), _nearest(features, models[m]).alias("near")) for m in moving
+        ]
+        sums = (
+            points.select(*features, F.explode(F.array(*near)).alias("__at"))
+            .groupBy(F.col("__at.model").alias("model"), F.col("__at.near.cluster").alias("cluster"))
+            .agg(F.sum("__at.near.dist").alias("cost"), *[F.avg(c).alias(f"c_{c}") for c in features])
             .collect()
         )
-        cost = sum(row["__cost"] for row in rows)
-        moved = list(centres)
-        for row in rows:
-            moved[row["cluster"]] = tuple(row[c] for c in features)
-        shift = max(math.dist(a, b) for a, b in zip(centres, moved))
-        centres = moved
-        if shift <= tol:
+        still = []
+        for m in moving:
+            rows = [row for row in sums if row["model"] == m]
+            costs[m] = sum(row["cost"] for row in rows)
+            moved = list(models[m])
+            for row in rows:
+                moved[row["cluster"]] = tuple(row[f"c_{c}"] for c in features)
+            if max(math.dist(old, new) for old, new in zip(models[m], moved)) > tol:
+                still.append(m)
+            models[m] = moved
+        moving = still
+        if not moving:
             break
-    return centres, cost
+    return list(zip(models, costs))
 
 
-def _best(
-    points: DataFrame, ident: str, features: Sequence[str], k: int, seeds: Sequence[int], max_iter: int, tol: float
-) -> tuple[Centres, float]:
-    fits = []
-    for seed in seeds:
-        start = _start(points, ident, features, k, seed)
-        if len(start) < k:
-            raise ValueError(f"k={k} exceeds the number of distinct points ({len(start)})")
-        fits.append(_fit(points, features, start, max_iter, tol))
-    centres, cost = min(fits, key=lambda fit: fit[1])
-    return sorted(centres), cost
+def _seed_list(seeds: int | Sequence[int]) -> list[int]:
+    return [seeds] if isinstance(seeds, int) else list(seeds)
 
 
 def kmeans(
@@ -143,7 +172,7 @@ def kmeans(
     seeds: int | Sequence[int] = (1, 2, 3),
     scale: bool = True,
     max_iter: int = 100,
-    tol: float = 1e-9,
+    tol: float = 1e-4,
 ) -> DataFrame:
     """Cluster number per row -> ident, cluster. Runs Spark jobs when called.
 
@@ -152,15 +181,10 @@ def kmeans(
     their centres. Rows with an unknown feature get a NULL cluster.
     """
     features = names(features)
-    seeds = [seeds] if isinstance(seeds, int) else list(seeds)
-    scaled = df.select(ident, *features)
-    scaled = standardize(scaled, features) if scale else scaled
-    points = scaled.where(_known(features)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        centres, _ = _best(points, ident, features, k, seeds, max_iter, tol)
-    finally:
-        points.unpersist()
-    return scaled.select(ident, _nearest(features, centres)["cluster"].alias("cluster"))
+    with _scaled(df, ident, features, scale) as (rows, points):
+        starts = [_start(points, ident, features, k, seed) for seed in _seed_list(seeds)]
+        centres, _ = min(_fit(points, features, starts, max_iter, tol), key=lambda fit: fit[1])
+    return rows.select(ident, _nearest(features, sorted(centres))["cluster"].alias("cluster"))
 
 
 def choose_k(
@@ -171,24 +195,20 @@ def choose_k(
     seeds: int | Sequence[int] = (1, 2, 3),
     scale: bool = True,
     max_iter: int = 100,
-    tol: float = 1e-9,
+    tol: float = 1e-4,
 ) -> DataFrame:
     """Cost and silhouette for several k -> k, cost, silhouette. Runs Spark jobs when called."""
-    features = names(features)
-    seeds = [seeds] if isinstance(seeds, int) else list(seeds)
-    scaled = df.select(ident, *features)
-    scaled = standardize(scaled, features) if scale else scaled
-    points = scaled.where(_known(features)).persist(StorageLevel.MEMORY_AND_DISK)
+    features, seeds = names(features), _seed_list(seeds)
     evaluator = ClusteringEvaluator(featuresCol="__v", predictionCol="cluster")
     vectors = VectorAssembler(inputCols=features, outputCol="__v")
     lines = []
-    try:
+    with _scaled(df, ident, features, scale) as (_, points):
+        wanted = [(k, seed) for k in ks for seed in seeds]
+        fits = _fit(points, features, [_start(points, ident, features, *w) for w in wanted], max_iter, tol)
         for k in ks:
-            centres, cost = _best(points, ident, features, k, seeds, max_iter, tol)
+            centres, cost = min((fit for (kk, _), fit in zip(wanted, fits) if kk == k), key=lambda fit: fit[1])
             labelled = points.withColumn("cluster", _nearest(features, centres)["cluster"].cast("int"))
             lines.append((k, cost, evaluator.evaluate(vectors.transform(labelled)) if k > 1 else None))
-    finally:
-        points.unpersist()
     return df.sparkSession.createDataFrame(lines, "k bigint, cost double, silhouette double")
 
 
