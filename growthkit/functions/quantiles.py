@@ -1,24 +1,22 @@
-"""Exact quantiles that do not gather a group in one task."""
+"""Distribution of a value per group, with exact quantiles, without gathering a group in one task."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W
+from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from growthkit.functions.columns import join_groups, names
+from growthkit.functions.columns import names
 
-# Buckets per doubling of 1+|x|; about 0.07 % of the value.
+# Buckets per doubling of 1+|x|; a bucket is about 0.07 % wide.
 RESOLUTION = 1024
+# The bucket of unknown values; it sorts before all others.
+UNKNOWN = -(2**62)
+MOMENTS = ["n_rows", "n", "mean"]
 
 
-def value_bucket(value: Column) -> Column:
-    """Bucket number that never falls when the value rises."""
-    return (F.signum(value) * F.floor(F.log2(F.abs(value) + 1) * RESOLUTION)).cast("bigint")
-
-
-def quantiles(
+def distribution(
     df: DataFrame,
     col: str,
     probs: dict[str, float],
@@ -26,58 +24,77 @@ def quantiles(
     exact: bool = True,
     accuracy: int = 10000,
 ) -> DataFrame:
-    """Interpolated quantiles of `col` per group: one row per group, one column per name.
+    """One row per group -> by, n_rows, n, mean, and an interpolated quantile per name in `probs`.
 
-    NULL and NaN are left out; a group with no value has no row. With `exact=False`
-    the sketch of `percentile_approx` is used: one small state per group and task.
+    `n` counts known values; NULL and NaN are unknown. With `exact=False` quantiles come from the
+    sketch of `percentile_approx`: one small state per group and task, one shuffle.
 
-    The exact form counts equal values first, then counts per value bucket, finds the
-    few buckets that hold a wanted rank, and looks up the rank inside those only. Every
-    step is a shuffle on (group, bucket or value), so a group with a third of all
-    rows is spread over its buckets.
+    The exact form counts equal values, then counts per value bucket, finds the few buckets
+    that hold a wanted rank, and looks up the rank inside those only. Values, buckets and
+    groups are separate shuffles, so a group with a third of all rows is spread over its
+    buckets, and a value with a third of all rows is counted before it is sent.
     """
     by = names(by)
+    value = F.col(col).cast("double")
+    known = F.when(~F.isnan(value), value)
+    # A struct is never NULL itself, and structs with NULL fields are equal to each other.
+    key = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(1).alias("__all"))
+    rows = df.select(key.alias("__g"), known.alias("__v"))
     if not exact:
-        value = F.col(col).cast("double")
-        return df.where(value.isNotNull() & ~F.isnan(value)).groupBy(*by).agg(
-            *[F.percentile_approx(value, float(p), accuracy).alias(n) for n, p in probs.items()]
+        return _unpack(
+            rows.groupBy("__g").agg(
+                F.count(F.lit(1)).alias("n_rows"),
+                F.count("__v").alias("n"),
+                F.avg("__v").alias("mean"),
+                *[F.percentile_approx("__v", float(p), accuracy).alias(n) for n, p in probs.items()],
+            ),
+            by,
+            probs,
         )
 
-    group = by or ["__all"]
-    value = F.col(col).cast("double")
-    rows = df.select(*by, value.alias("__v")) if by else df.select(F.lit(1).alias("__all"), value.alias("__v"))
+    bucket = f"CAST(signum(__v) * floor(log2(abs(__v) + 1) * {RESOLUTION}) AS BIGINT)"
     counts = (
-        rows.where(F.col("__v").isNotNull() & ~F.isnan("__v"))
-        .withColumn("__b", value_bucket(F.col("__v")))
-        .groupBy(*group, "__b", "__v")
+        rows.withColumn("__b", F.expr(f"coalesce({bucket}, {UNKNOWN}L)"))
+        .groupBy("__g", "__b", "__v")
         .agg(F.count(F.lit(1)).alias("__n"))
     )
-    whole = W.partitionBy(*group)
+    buckets = counts.groupBy("__g", "__b").agg(
+        F.sum("__n").alias("__rows"),
+        F.expr("sum(CASE WHEN __v IS NULL THEN 0L ELSE __n END)").alias("__c"),
+        F.expr("sum(__n * __v)").alias("__sum"),
+    )
+    whole = W.partitionBy("__g")
     running = whole.orderBy("__b").rowsBetween(W.unboundedPreceding, W.currentRow)
-    placed = counts.groupBy(*group, "__b").agg(F.sum("__n").alias("__c")).select(
-        *group,
-        "__b",
-        "__c",
-        (F.sum("__c").over(running) - F.col("__c")).alias("__start"),
-        F.sum("__c").over(whole).alias("__total"),
+    placed = buckets.withColumns(
+        {
+            "__start": F.sum("__c").over(running) - F.col("__c"),
+            "__total": F.sum("__c").over(whole),
+            "n_rows": F.sum("__rows").over(whole),
+            "__sum": F.sum("__sum").over(whole),
+        }
     )
+
     # SQL texts: with many probabilities they are built faster than Column objects.
     at = {n: f"({float(p)!r}D * (__total - 1))" for n, p in probs.items()}
     low = {n: f"CAST(floor({position}) AS BIGINT)" for n, position in at.items()}
     high = {n: f"CAST(ceil({position}) AS BIGINT)" for n, position in at.items()}
-    ranks = [*low.values(), *high.values()]
-    hit = placed.where(" OR ".join(f"({r} >= __start AND {r} < __start + __c)" for r in ranks))
-
-    inside = W.partitionBy(*group, "__b").orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = join_groups(counts, hit, [*group, "__b"], "inner").withColumn(
+    # The lowest bucket is kept as well, so that every group has a row.
+    wanted = " OR ".join(f"({r} >= __start AND {r} < __start + __c)" for r in [*low.values(), *high.values()])
+    hit = placed.where(f"__start = 0 OR {wanted}").select(
+        "__g", "__b", "__start", "__total", "n_rows", "__sum"
+    )
+    inside = W.partitionBy("__g", "__b").orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = counts.join(hit, ["__g", "__b"]).withColumn(
         "__first", F.col("__start") + F.sum("__n").over(inside) - F.col("__n")
     )
 
     def value_at(rank: str) -> str:
         return f"max(CASE WHEN {rank} >= __first AND {rank} < __first + __n THEN __v END)"
 
-    picked = ranked.groupBy(*group).agg(
+    picked = ranked.groupBy("__g").agg(
         F.max("__total").alias("__total"),
+        F.max("n_rows").alias("n_rows"),
+        F.max("__sum").alias("__sum"),
         *[F.expr(value_at(rank)).alias(f"__low_{n}") for n, rank in low.items()],
         *[F.expr(value_at(rank)).alias(f"__high_{n}") for n, rank in high.items()],
     )
@@ -85,4 +102,30 @@ def quantiles(
         F.expr(f"`__low_{n}` + (`__high_{n}` - `__low_{n}`) * ({position} - floor({position}))").alias(n)
         for n, position in at.items()
     ]
-    return picked.select(*by, *between)
+    return _unpack(
+        picked.select(
+            "__g",
+            "n_rows",
+            F.col("__total").alias("n"),
+            F.try_divide("__sum", "__total").alias("mean"),
+            *between,
+        ),
+        by,
+        probs,
+    )
+
+
+def _unpack(out: DataFrame, by: Sequence[str], probs: dict[str, float]) -> DataFrame:
+    return out.select(*[F.col("__g")[c].alias(c) for c in by], *MOMENTS, *probs)
+
+
+def quantiles(
+    df: DataFrame,
+    col: str,
+    probs: dict[str, float],
+    by: str | Sequence[str] = (),
+    exact: bool = True,
+    accuracy: int = 10000,
+) -> DataFrame:
+    """Interpolated quantiles of `col` per group -> by, one column per name. See `distribution`."""
+    return distribution(df, col, probs, by, exact, accuracy).drop(*MOMENTS)

@@ -66,7 +66,12 @@ def beta_cdf(x: float, a: float, b: float) -> float:
 
 def t_sf(t: float, df: float) -> float:
     """P(T > t) for Student's t."""
-    # Small tails come from df/(df+t^2) directly, so they do not cancel.
+    if df > 1e5:
+        # Hill's normalising transformation; the gamma functions would cancel here.
+        a = df - 0.5
+        w = math.sqrt(a * math.log1p(t * t / df))
+        z = w + (w**3 + 3 * w) / (48 * a * a)
+        return normal_sf(math.copysign(z, t))
     half = 0.5 * beta_cdf(df / (df + t * t), df / 2.0, 0.5)
     return half if t >= 0 else 1.0 - half
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from growthkit.functions.columns import join_groups, names, period_of, ratio
-from growthkit.functions.quantiles import quantiles
+from growthkit.functions.quantiles import distribution
 
 
 def _share(value: str, within: Sequence[str] = ()) -> Column:
@@ -34,11 +34,10 @@ def summarize(df: DataFrame, dims: str | Sequence[str], col: str, exact: bool =
     """Distribution per group -> dims, n, mean, sd, median, p05, p95. `n` counts known values."""
     dims = names(dims)
     keyed, group = (df, dims) if dims else (df.withColumn("__all", F.lit(1)), ["__all"])
-    basic = keyed.groupBy(*group).agg(
-        F.count(col).alias("n"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("sd")
-    )
-    points = quantiles(keyed, col, {"median": 0.5, "p05": 0.05, "p95": 0.95}, group, exact)
-    return join_groups(basic, points, group).select(*dims, "n", "mean", "sd", "median", "p05", "p95")
+    value = F.col(col).cast("double")
+    spread = keyed.groupBy(*group).agg(F.stddev_samp(F.when(~F.isnan(value), value)).alias("sd"))
+    points = distribution(keyed, col, {"median": 0.5, "p05": 0.05, "p95": 0.95}, group, exact)
+    return join_groups(points, spread, group).select(*dims, "n", "mean", "sd", "median", "p05", "p95")
 
 
 def avg_members(df: DataFrame, container: str | Sequence[str], member: str) -> DataFrame:
@@ -145,7 +144,7 @@ def compare_groups(df: DataFrame, group: str, cols: str | Sequence[str], exact:
     cols = names(cols)
     long = df.select(F.col(group).alias("group"), *[F.col(c).cast("double").alias(c) for c in cols])
     long = long.unpivot(["group"], cols, "metric", "value")
-    return summarize(long, ["metric", "group"], "value", exact).select("metric", "group", "n", "mean", "median")
+    return distribution(long, "value", {"median": 0.5}, ["metric", "group"], exact).drop("n_rows")
 
 
 def plan_value(

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from growthkit.functions.columns import join_groups, names, ratio
-from growthkit.functions.quantiles import quantiles
+from growthkit.functions.columns import names, ratio
+from growthkit.functions.quantiles import distribution
 from growthkit.operators.explore import top_k
 from growthkit.operators.prepare import band_of
 
@@ -42,14 +42,13 @@ def activity_segments(
         band_of(days_active(opened, closed), edges, labels, none_label="open").alias("band"),
         F.col(price).cast("double").alias("price"),
     )
-    basic = rows.groupBy(*dims, "band").agg(F.count(F.lit(1)).alias("n"), F.avg("price").alias("mean_price"))
-    middle = quantiles(rows, "price", {"median_price": 0.5}, [*dims, "band"], exact)
-    return join_groups(basic, middle, [*dims, "band"]).select(
+    spread = distribution(rows, "price", {"median_price": 0.5}, [*dims, "band"], exact)
+    return spread.select(
         *dims,
         "band",
-        "n",
-        ratio(F.col("n"), F.sum("n").over(W.partitionBy(*dims))).alias("share"),
-        "mean_price",
+        F.col("n_rows").alias("n"),
+        ratio(F.col("n_rows"), F.sum("n_rows").over(W.partitionBy(*dims))).alias("share"),
+        F.col("mean").alias("mean_price"),
         "median_price",
     )
 

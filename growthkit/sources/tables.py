@@ -18,11 +18,15 @@ def read_csv(
     sep: str = ",",
     bad_rows: str = "_corrupt",
 ) -> DataFrame:
-    """CSV with a declared schema. Rows that do not fit keep their text in `bad_rows`."""
+    """CSV with a declared schema. Rows that do not fit keep their text in `bad_rows`.
+
+    Every column is parsed even if a query uses few, or a bad value in an unused one
+    would go unnoticed.
+    """
     declared = T.StructType([*schema.fields, T.StructField(bad_rows, T.StringType(), True)])
     return (
         spark.read.schema(declared)
-        .options(header=True, sep=sep, mode="PERMISSIVE", columnNameOfCorruptRecord=bad_rows)
+        .options(header=True, sep=sep, mode="PERMISSIVE", columnNameOfCorruptRecord=bad_rows, columnPruning=False)
         .csv(path)
     )
 
