@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from growthkit.functions.columns import names
@@ -20,15 +23,21 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a declared schema. Rows that do not fit keep their text in `bad_rows`.
 
-    Every column is parsed even if a query uses few, or a bad value in an unused one
-    would go unnoticed.
+    Values are read as text and converted here, not by the CSV reader: that one converts only
+    the columns a query uses, so the number of bad rows would depend on the query. A value that cannot be
+    converted is NULL; the rest of its row is kept.
     """
-    declared = T.StructType([*schema.fields, T.StructField(bad_rows, T.StringType(), True)])
-    return (
-        spark.read.schema(declared)
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    raw = (
+        spark.read.schema(text.add(bad_rows, T.StringType()))
         .options(header=True, sep=sep, mode="PERMISSIVE", columnNameOfCorruptRecord=bad_rows, columnPruning=False)
         .csv(path)
     )
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+    unread = [F.col(c).isNotNull() & value.isNull() for c, value in typed.items()]
+    as_text = F.to_csv(F.struct(*schema.names), {"sep": sep})
+    bad = F.coalesce(F.col(bad_rows), F.when(reduce(or_, unread), as_text))
+    return raw.select(*[value.alias(c) for c, value in typed.items()], bad.alias(bad_rows))
 
 
 def load_tables(

@@ -44,7 +44,8 @@ class TestSources:
         bad = [r["name"] for r in games.select("name", "_corrupt").where("_corrupt IS NOT NULL").collect()]
         assert sorted(bad) == ["Odd", "Short"]
         odd = games.where("name = 'Odd'").first()
-        assert odd["year"] is None and odd["sales"] == 0.3
+        assert odd["year"] is None and odd["sales"] == 0.3 and odd["_corrupt"] == "Odd,PC,later,0.3,7"
+        assert games.agg(F.count("_corrupt")).first()[0] == 2
 
     def test_slice_round_trip(self, spark, games, tmp_path, rows):
         part = prepare.slice_(games, F.col("platform") == "PC", ["name", "platform", "sales"])
