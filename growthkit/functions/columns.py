@@ -51,6 +51,15 @@ def period_age(start: Column, end: Column, period: str) -> Column:
     return age.cast("bigint")
 
 
+def to_long(df: DataFrame, keep: Sequence[str], cols: Sequence[str], name: str, value: str) -> DataFrame:
+    """One row per row and column of `cols`, values as double.
+
+    Unlike `unpivot` this lets Spark recognise two uses of the result as the same exchange.
+    """
+    cells = [F.struct(F.lit(c).alias(name), F.col(c).cast("double").alias(value)) for c in cols]
+    return df.select(*keep, F.inline(F.array(*cells)))
+
+
 def join_groups(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Equi join on group columns in which NULL counts as a group of its own."""
     renamed = right.select(

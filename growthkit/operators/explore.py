@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from growthkit.functions.columns import join_groups, names, period_of, ratio
+from growthkit.functions.columns import join_groups, names, period_of, ratio, to_long
 from growthkit.functions.quantiles import distribution
 
 
@@ -142,8 +142,7 @@ def purchase_activity(
 def compare_groups(df: DataFrame, group: str, cols: str | Sequence[str], exact: bool = True) -> DataFrame:
     """Several metrics side by side for groups -> metric, group, n, mean, median."""
     cols = names(cols)
-    long = df.select(F.col(group).alias("group"), *[F.col(c).cast("double").alias(c) for c in cols])
-    long = long.unpivot(["group"], cols, "metric", "value")
+    long = to_long(df.select(F.col(group).alias("group"), *cols), ["group"], cols, "metric", "value")
     return distribution(long, "value", {"median": 0.5}, ["metric", "group"], exact).drop("n_rows")
 
 

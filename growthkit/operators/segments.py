@@ -15,7 +15,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from growthkit.functions.columns import names, ratio
+from growthkit.functions.columns import names, ratio, to_long
 from growthkit.functions.quantiles import quantiles
 
 
@@ -39,7 +39,7 @@ def rfm(
     )
     cuts = {f"q{i}": i / bins for i in range(1, bins)}
     measures = ["r_days", "freq", "monetary"]
-    long = per_user.select(*[F.col(c).cast("double").alias(c) for c in measures]).unpivot([], measures, "k", "v")
+    long = to_long(per_user, [], measures, "k", "v")
     # Three rows of thresholds, folded into one scalar value of the plan.
     edges = quantiles(long, "v", cuts, "k", exact).agg(
         F.map_from_entries(F.collect_list(F.struct("k", F.array(*cuts)))).alias("e")
