@@ -7,7 +7,8 @@ from statistics import NormalDist
 
 from pyspark.sql import functions as F
 
-from growthkit.operators import experiments, listings, paths, segments
+from growthkit.operators import experiments, listings, metrics, paths, segments
+from growthkit.operators.prepare import flag_exists
 from growthkit.plans.adapters import USERS_SQL, event_log, order_log, table, user_dim
 from growthkit.plans.explore_queries import orders_by_user
 from growthkit.plans.registry import query, rounded
@@ -63,22 +64,74 @@ def supplier_features(spark, sf_dir):
     )
 
 
-@query("seg_kmeans")
+AXES = ["x1", "x2", "x3", "x4"]
+
+
+def kmeans_sql(fits: list[tuple[int, int]]) -> str:
+    """K-Means over suppliers for (k, seed) pairs, ending in points `p` and labels `near(k, seed, id, c, dist)`."""
+    gap = " + ".join(f"pow(p.{x} - it.{x}, 2)" for x in AXES)
+    scaled = ", ".join(
+        f"({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER () AS {x}" for x, c in zip(AXES, FEATURES)
+    )
+    means = ", ".join(f"avg(p.{x})" for x in AXES)
+    return f"""WITH RECURSIVE f AS (SELECT l_suppkey AS supplier, CAST(count(*) AS DOUBLE) AS lines,
+  avg(l_extendedprice * (1 - l_discount)) AS price, avg(l_discount) AS discount,
+  avg(CAST(l_returnflag = 'R' AS DOUBLE)) AS returned FROM lineitem GROUP BY l_suppkey),
+ p AS (SELECT supplier AS id, {scaled} FROM f),
+ fits(k, seed) AS (VALUES {", ".join(map(str, fits))}),
+ it AS (SELECT 0 AS i, k, seed, c, x1, x2, x3, x4 FROM (SELECT k, seed, x1, x2, x3, x4,
+   row_number() OVER (PARTITION BY k, seed ORDER BY md5(seed || ':' || id)) - 1 AS c FROM p, fits) AS o WHERE c < k
+  UNION ALL SELECT i + 1, k, seed, n.c, {means} FROM
+   (SELECT it.i, it.k, it.seed, p.id, arg_min(it.c, {gap}) AS c
+    FROM it, p WHERE it.i < 100 GROUP BY it.i, it.k, it.seed, p.id) AS n
+   JOIN p ON p.id = n.id GROUP BY i, k, seed, n.c),
+ near AS (SELECT k, seed, p.id, arg_min(it.c, {gap}) AS c,
+   min({gap}) AS dist
+  FROM it, p WHERE it.i = 100 GROUP BY k, seed, p.id)"""
+
+
+LABELS_SQL = (
+    kmeans_sql([(3, 1), (3, 2), (3, 3)])
+    + """, best AS (SELECT seed FROM near GROUP BY seed ORDER BY sum(dist) LIMIT 1),
+ place AS (SELECT c, row_number() OVER (ORDER BY x1, x2, x3, x4) - 1 AS cluster FROM it JOIN best USING (seed) WHERE i = 100),
+ label AS (SELECT id AS supplier, CAST(cluster AS BIGINT) AS cluster FROM near JOIN best USING (seed) JOIN place USING (c))"""
+)
+
+
+@query("seg_kmeans", LABELS_SQL + " SELECT supplier, cluster FROM label")
 def seg_kmeans(spark, sf_dir):
-    return segments.kmeans(supplier_features(spark, sf_dir), "supplier", FEATURES, 3)
+    return segments.kmeans(supplier_features(spark, sf_dir), "supplier", FEATURES, 3, tol=1e-9)
 
 
-@query("seg_choose_k")
+@query(
+    "seg_choose_k",
+    kmeans_sql([(k, 1) for k in (2, 3, 4, 5)])
+    + """, size AS (SELECT k, n.c, count(*) AS n, sum(x1 * x1 + x2 * x2 + x3 * x3 + x4 * x4) AS psi,
+  sum(x1) AS x1, sum(x2) AS x2, sum(x3) AS x3, sum(x4) AS x4 FROM near AS n JOIN p ON p.id = n.id GROUP BY k, n.c),
+ away AS (SELECT n.k, n.id, n.c = s.c AS own, s.n, p.x1 * p.x1 + p.x2 * p.x2 + p.x3 * p.x3 + p.x4 * p.x4 + s.psi / s.n
+  - 2 * (p.x1 * s.x1 + p.x2 * s.x2 + p.x3 * s.x3 + p.x4 * s.x4) / s.n AS dist
+  FROM near AS n JOIN p ON p.id = n.id JOIN size AS s ON s.k = n.k),
+ ab AS (SELECT k, id, max(CASE WHEN n > 1 THEN dist * n / (n - 1) END) FILTER (own) AS a,
+  min(dist) FILTER (NOT own) AS b FROM away GROUP BY k, id),
+ sil AS (SELECT k, avg(coalesce((b - a) / greatest(a, b), 0)) AS silhouette FROM ab GROUP BY k)
+ SELECT CAST(k AS BIGINT) AS k, round(cost + 1e-9, 4) AS cost, round(silhouette + 1e-9, 4) AS silhouette
+ FROM (SELECT k, sum(dist) AS cost FROM near GROUP BY k) AS c JOIN sil USING (k)""",
+)
 def seg_choose_k(spark, sf_dir):
-    return rounded(
-        segments.choose_k(supplier_features(spark, sf_dir), "supplier", FEATURES, [2, 3, 4, 5], seeds=1)
-    )
+    features = supplier_features(spark, sf_dir)
+    return rounded(segments.choose_k(features, "supplier", FEATURES, [2, 3, 4, 5], seeds=1, tol=1e-9))
 
 
-@query("seg_cluster_profile")
+@query(
+    "seg_cluster_profile",
+    LABELS_SQL
+    + """ SELECT cluster, count(*) AS n, round(avg(lines) + 1e-9, 4) AS lines, round(avg(price) + 1e-9, 4) AS price,
+ round(avg(discount) + 1e-9, 4) AS discount, round(avg(returned) + 1e-9, 4) AS returned
+ FROM label JOIN f USING (supplier) GROUP BY cluster""",
+)
 def seg_cluster_profile(spark, sf_dir):
     features = supplier_features(spark, sf_dir)
-    labelled = features.join(segments.kmeans(features, "supplier", FEATURES, 3), "supplier")
+    labelled = features.join(segments.kmeans(features, "supplier", FEATURES, 3, tol=1e-9), "supplier")
     return rounded(segments.cluster_profile(labelled, "cluster", FEATURES))
 
 
@@ -187,6 +240,21 @@ def ab_prepare_sessions(spark, sf_dir):
     return experiments.ab_prepare(placed, "user_id", "channel", "started", "ended")
 
 
+@query(
+    "ab_history",
+    """WITH g AS (SELECT c_custkey AS u, CASE WHEN CAST('0x' || substr(md5('spring:' || CAST(c_custkey AS VARCHAR)), 1, 12)
+  AS BIGINT) % 10000 < 5000 THEN 'a' ELSE 'b' END AS grp FROM customer)
+ SELECT CAST(date_trunc('quarter', o_orderdate) AS DATE) AS period, grp, count(DISTINCT o_custkey) AS active,
+ round(sum(o_totalprice) + 1e-9, 2) AS revenue, round(sum(o_totalprice) / count(DISTINCT o_custkey) + 1e-9, 2) AS arpau
+ FROM orders JOIN g ON u = o_custkey GROUP BY 1, 2""",
+)
+def ab_history(spark, sf_dir):
+    users = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"))
+    groups = experiments.assign(users, "user_id", "spring", {"a": 1, "b": 1}, name="grp")
+    out = metrics.arpau(order_log(spark, sf_dir), "user_id", "ts", F.col("amount"), "quarter", "grp", groups)
+    return rounded(out, 2)
+
+
 @query(
     "ab_overlap",
     """SELECT user_id, count(DISTINCT event_type) AS n_groups FROM events GROUP BY user_id
@@ -334,8 +402,6 @@ def hyp_one_sided_rate(spark, sf_dir):
     t = load_tables(spark, sf_dir, ["customer", "orders"])
     users = listings.two_way(t["customer"], "c_mktsegment", "BUILDING", rest="free", name="plan")
     payers = t["orders"].where(F.col("o_totalprice") > 400000).select(F.col("o_custkey").alias("c_custkey"))
-    from growthkit.operators.prepare import flag_exists
-
     flagged = flag_exists(users.select("c_custkey", "plan"), payers, "c_custkey", "payer")
     out = experiments.ztest(flagged, "plan", "payer", "free", "BUILDING", "greater")
     return rounded(out.drop("ci_hi"), 6)
@@ -369,8 +435,6 @@ def hyp_one_sided_rate(spark, sf_dir):
 )
 def ab_report(spark, sf_dir):
     big = order_log(spark, sf_dir).where(F.col("amount") > 400000).select("user_id")
-    from growthkit.operators.prepare import flag_exists
-
     users = flag_exists(_plans(spark, sf_dir), big, "user_id", "payer")
     kinds = {"orders": "mean", "amount": "mean", "payer": "rate"}
     out = experiments.ab_report(users, "plan", kinds, "free", "BUILDING", user="user_id")

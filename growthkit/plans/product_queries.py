@@ -20,6 +20,7 @@ from growthkit.plans.adapters import (
 from growthkit.plans.registry import query, rounded
 
 STEPS = ["view", "click", "purchase"]
+GAP = dt.timedelta(hours=6)
 LAST_FULL_MONTH = dt.date(2001, 7, 31)
 YEARS = ((dt.date(1999, 1, 1), dt.date(2000, 1, 1)), (dt.date(2000, 1, 1), dt.date(2001, 1, 1)))
 
@@ -106,6 +107,19 @@ def pm_progress(spark, sf_dir):
     return rounded(metrics.avg_progress(user_days(spark, sf_dir), ["user_id", "day"], "event_type", 5), 6)
 
 
+@query(
+    "pm_session_progress",
+    """WITH n AS (SELECT user_id, event_type, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS no FROM
+  (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL 6 HOUR
+  THEN 0 ELSE 1 END AS fresh FROM events) AS e)
+ SELECT count(*) AS sessions, round(avg(done / 5) + 1e-9, 6) AS avg_progress FROM
+ (SELECT count(DISTINCT event_type) AS done FROM n GROUP BY user_id, no) AS s""",
+)
+def pm_session_progress(spark, sf_dir):
+    visits = paths.sessionize(event_log(spark, sf_dir), "user_id", "ts", GAP)
+    return rounded(metrics.avg_progress(visits, ["user_id", "session_no"], "event_type", 5), 6)
+
+
 PER_DAY_SQL = """SELECT CAST(ts AS DATE) AS period, count(DISTINCT user_id) AS active,
  count(DISTINCT user_id) FILTER (event_type = 'purchase') AS payers,
  sum(value) FILTER (event_type = 'purchase') AS r FROM events GROUP BY 1"""
@@ -294,7 +308,6 @@ def pm_transitions(spark, sf_dir):
 SESSION_SQL = """SELECT event_id, user_id, ts, sum(s) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session_no
  FROM (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL 6 HOUR
  THEN 0 ELSE 1 END AS s FROM events) AS e"""
-GAP = dt.timedelta(hours=6)
 
 
 @query(
