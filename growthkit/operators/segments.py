@@ -114,14 +114,32 @@ def _nearest(features: Sequence[str], centres: Centres) -> Column:
     return F.expr(f"CASE WHEN {known} THEN array_min(array({', '.join(options)})) END")
 
 
-def _start(points: DataFrame, ident: str, features: Sequence[str], k: int, seed: int) -> Centres:
-    """k distinct points, chosen by a hash of seed and id, so not by partitioning."""
-    pick = F.md5(F.concat_ws(":", F.lit(seed).cast("string"), F.col(ident).cast("string")))
-    places = points.groupBy(*features).agg(F.min(pick).alias("__pick"))
-    found = [tuple(row[c] for c in features) for row in places.orderBy("__pick").limit(k).collect()]
-    if len(found) < k:
-        raise ValueError(f"k={k} exceeds the number of distinct points ({len(found)})")
-    return found
+def _starts(
+    points: DataFrame, ident: str, features: Sequence[str], k: int, seeds: Sequence[int]
+) -> dict[int, Centres]:
+    """For each seed k distinct points, chosen by a hash of seed and id, so not by partitioning.
+
+    The choice for a smaller k is the beginning of the one for a larger k.
+    """
+    picks = [
+        F.struct(
+            F.lit(seed).alias("seed"),
+            F.md5(F.concat_ws(":", F.lit(seed).cast("string"), F.col(ident).cast("string"))).alias("pick"),
+        )
+        for seed in seeds
+    ]
+    places = (
+        points.select(*features, F.inline(F.array(*picks)))
+        .groupBy("seed", *features)
+        .agg(F.min("pick").alias("pick"))
+    )
+    first = F.row_number().over(W.partitionBy("seed").orderBy("pick"))
+    rows = places.withColumn("at", first).where(F.col("at") <= k).orderBy("at").collect()
+    starts = {seed: [tuple(r[c] for c in features) for r in rows if r["seed"] == seed] for seed in seeds}
+    for start in starts.values():
+        if len(start) < k:
+            raise ValueError(f"k={k} exceeds the number of distinct points ({len(start)})")
+    return starts
 
 
 def _fit(
@@ -182,8 +200,8 @@ def kmeans(
     """
     features = names(features)
     with _scaled(df, ident, features, scale) as (rows, points):
-        starts = [_start(points, ident, features, k, seed) for seed in _seed_list(seeds)]
-        centres, _ = min(_fit(points, features, starts, max_iter, tol), key=lambda fit: fit[1])
+        starts = _starts(points, ident, features, k, _seed_list(seeds))
+        centres, _ = min(_fit(points, features, list(starts.values()), max_iter, tol), key=lambda fit: fit[1])
     return rows.select(ident, _nearest(features, sorted(centres))["cluster"].alias("cluster"))
 
 
@@ -203,8 +221,9 @@ def choose_k(
     vectors = VectorAssembler(inputCols=features, outputCol="__v")
     lines = []
     with _scaled(df, ident, features, scale) as (_, points):
+        starts = _starts(points, ident, features, max(ks), seeds)
         wanted = [(k, seed) for k in ks for seed in seeds]
-        fits = _fit(points, features, [_start(points, ident, features, *w) for w in wanted], max_iter, tol)
+        fits = _fit(points, features, [starts[seed][:k] for k, seed in wanted], max_iter, tol)
         for k in ks:
             centres, cost = min((fit for (kk, _), fit in zip(wanted, fits) if kk == k), key=lambda fit: fit[1])
             labelled = points.withColumn("cluster", _nearest(features, centres)["cluster"].cast("int"))
