@@ -81,3 +81,15 @@ def attach(big: DataFrame, per_group: DataFrame, on: Sequence[str], salts: int =
     salted = per_group.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     spread = big.withColumn("__salt", F.pmod(F.xxhash64(*big.columns, F.spark_partition_id()), F.lit(salts)).cast("int"))
     return join_groups(spread, salted, [*on, "__salt"]).drop("__salt")
+
+
+def with_share(df: DataFrame, value: str, within: Sequence[str] = (), name: str = "share") -> DataFrame:
+    """Add each row's share of the sum of `value`, overall or within groups.
+
+    Totals are aggregated, not windowed, so the number of rows sharing a total does not matter.
+    """
+    if not within:
+        total = df.agg(F.sum(value)).scalar()
+        return df.withColumn(name, ratio(F.col(value), total))
+    totals = df.groupBy(*within).agg(F.sum(value).alias("__total"))
+    return attach(df, totals, within).withColumn(name, ratio(F.col(value), F.col("__total"))).drop("__total")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window as W
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from growthkit.functions.columns import ratio
+from growthkit.functions.columns import ratio, with_share
 from growthkit.operators.metrics import with_users
 
 Span = tuple[dt.date, dt.date]
@@ -51,8 +51,7 @@ def contribution(
         F.sum(F.when(~F.col("__after"), amount).otherwise(0.0)).alias("before"),
         F.sum(F.when(F.col("__after"), amount).otherwise(0.0)).alias("after"),
     )
-    sums = sums.withColumn("change", F.col("after") - F.col("before"))
-    return sums.withColumn("share", ratio(F.col("change"), F.sum("change").over(W.partitionBy())))
+    return with_share(sums.withColumn("change", F.col("after") - F.col("before")), "change")
 
 
 def decompose(

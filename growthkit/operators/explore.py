@@ -7,19 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from growthkit.functions.columns import join_groups, names, period_of, ratio, to_long
+from growthkit.functions.columns import join_groups, names, period_of, ratio, to_long, with_share
 from growthkit.functions.quantiles import distribution
 
 
-def _share(value: str, within: Sequence[str] = ()) -> Column:
-    # The window runs over the aggregated result, never over the rows themselves.
-    return ratio(F.col(value), F.sum(value).over(W.partitionBy(*within)))
-
-
 def group_share(df: DataFrame, dims: str | Sequence[str], within: str | Sequence[str] | None = None) -> DataFrame:
     """Rows per category and their share -> dims, n, share."""
     counted = df.groupBy(*names(dims)).agg(F.count(F.lit(1)).alias("n"))
-    return counted.withColumn("share", _share("n", names(within)))
+    return with_share(counted, "n", names(within))
 
 
 def market_share(
@@ -27,7 +22,7 @@ def market_share(
 ) -> DataFrame:
     """Amount per player and its share of the whole -> entity, amount, share."""
     summed = df.groupBy(*names(entity)).agg(F.sum(amount).alias("amount"))
-    return summed.withColumn("share", _share("amount", names(within)))
+    return with_share(summed, "amount", names(within))
 
 
 def summarize(df: DataFrame, dims: str | Sequence[str], col: str, exact: bool = True) -> DataFrame:

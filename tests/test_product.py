@@ -40,6 +40,9 @@ class TestExplore:
         assert explore.group_share(df, "c").agg(F.sum("share")).first()[0] == pytest.approx(1)
         got = {r["c"]: r["share"] for r in explore.market_share(df, "c", "v").collect()}
         assert got == {"a": 0.3, "b": 0.5, None: 0.2}
+        cities = spark.createDataFrame([("x", "p", 1), ("x", "q", 3), (None, "r", 2)], "c string, d string, v int")
+        inside = {r["d"]: r["share"] for r in explore.market_share(cities, ["c", "d"], "v", within="c").collect()}
+        assert inside == {"p": 0.25, "q": 0.75, "r": 1.0}
 
     def test_summary(self, spark):
         df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("a", 6.0), ("b", None)], "c string, v double")
