@@ -186,13 +186,13 @@ def dq_duplicates(spark, sf_dir):
 @query(
     "dq_dedupe",
     """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem
- QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) = 1""",
+ QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice) = 1""",
 )
 def dq_dedupe(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"
     )
-    return prepare.dedupe(lines, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"])
+    return prepare.dedupe(lines, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_extendedprice"])
 
 
 @query(
