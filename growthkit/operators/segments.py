@@ -100,18 +100,18 @@ def _scaled(df: DataFrame, ident: str, features: Sequence[str], scale: bool) ->
         kept.unpersist()
 
 
-def _nearest(features: Sequence[str], centres: Centres) -> Column:
-    """struct(dist, cluster) of the closest centre; a tie goes to the lower number.
-
-    Written as one SQL text, since a fit builds this expression many times.
-    """
+def _nearest(features: Sequence[str], centres: Centres) -> str:
+    """SQL text for struct(dist, cluster) of the closest centre; a tie goes to the lower number."""
     options = []
     for i, centre in enumerate(centres):
         gaps = [f"(`{c}` - ({float(x)!r}D))" for c, x in zip(features, centre)]
         dist = " + ".join(f"{gap} * {gap}" for gap in gaps)
         options.append(f"named_struct('dist', {dist}, 'cluster', {i}L)")
-    known = " AND ".join(f"`{c}` IS NOT NULL" for c in features)
-    return F.expr(f"CASE WHEN {known} THEN array_min(array({', '.join(options)})) END")
+    return f"array_min(array({', '.join(options)}))"
+
+
+def _label(features: Sequence[str], centres: Centres) -> Column:
+    return F.when(_known(features), F.expr(_nearest(features, centres))["cluster"])
 
 
 def _starts(
@@ -152,14 +152,13 @@ def _fit(
     models = [list(start) for start in starts]
     costs = [math.inf] * len(models)
     moving = list(range(len(models)))
+    sums_of = [F.sum("__at.near.dist").alias("cost"), *[F.avg(c).alias(f"c_{c}") for c in features]]
     for _ in range(max_iter):
-        near = [
-            F.struct(F.lit(m).alias("model"), _nearest(features, models[m]).alias("near")) for m in moving
-        ]
+        near = ", ".join(f"named_struct('model', {m}, 'near', {_nearest(features, models[m])})" for m in moving)
         sums = (
-            points.select(*features, F.explode(F.array(*near)).alias("__at"))
-            .groupBy(F.col("__at.model").alias("model"), F.col("__at.near.cluster").alias("cluster"))
-            .agg(F.sum("__at.near.dist").alias("cost"), *[F.avg(c).alias(f"c_{c}") for c in features])
+            points.select(*features, F.expr(f"explode(array({near})) AS __at"))
+            .groupBy("__at.model", "__at.near.cluster")
+            .agg(*sums_of)
             .collect()
         )
         still = []
@@ -202,7 +201,7 @@ def kmeans(
     with _scaled(df, ident, features, scale) as (rows, points):
         starts = _starts(points, ident, features, k, _seed_list(seeds))
         centres, _ = min(_fit(points, features, list(starts.values()), max_iter, tol), key=lambda fit: fit[1])
-    return rows.select(ident, _nearest(features, sorted(centres))["cluster"].alias("cluster"))
+    return rows.select(ident, _label(features, sorted(centres)).alias("cluster"))
 
 
 def choose_k(
@@ -226,7 +225,7 @@ def choose_k(
         fits = _fit(points, features, [starts[seed][:k] for k, seed in wanted], max_iter, tol)
         for k in ks:
             centres, cost = min((fit for (kk, _), fit in zip(wanted, fits) if kk == k), key=lambda fit: fit[1])
-            labelled = points.withColumn("cluster", _nearest(features, centres)["cluster"].cast("int"))
+            labelled = points.withColumn("cluster", _label(features, centres).cast("int"))
             lines.append((k, cost, evaluator.evaluate(vectors.transform(labelled)) if k > 1 else None))
     return df.sparkSession.createDataFrame(lines, "k bigint, cost double, silhouette double")
 

@@ -77,7 +77,7 @@ class TestKmeans:
         centres, cost = segments._fit(df.repartition(3), ["x", "y"], [start], 100, 1e-9)[0]
         label, want = slow_kmeans(points, np.array(start))
         assert cost == pytest.approx(want)
-        got = df.select("id", segments._nearest(["x", "y"], centres)["cluster"].alias("c")).orderBy("id").collect()
+        got = df.select("id", segments._label(["x", "y"], centres).alias("c")).orderBy("id").collect()
         assert [r["c"] for r in got] == label.tolist()
 
     def test_unknown_feature_gets_no_cluster(self, spark, blobs):
