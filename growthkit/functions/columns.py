@@ -8,6 +8,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The period names an operator accepts.
 PERIODS = ("day", "week", "month", "quarter", "year")
@@ -79,7 +80,9 @@ def attach(big: DataFrame, per_group: DataFrame, on: Sequence[str], salts: int =
     turns this into a broadcast when the measured size of the group side is small.
     """
     salted = per_group.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = big.withColumn("__salt", F.pmod(F.xxhash64(*big.columns, F.spark_partition_id()), F.lit(salts)).cast("int"))
+    content = [f.name for f in big.schema if not isinstance(f.dataType, T.MapType)]
+    salt = F.pmod(F.xxhash64(*content, F.spark_partition_id()), F.lit(salts))
+    spread = big.withColumn("__salt", salt.cast("int"))
     return join_groups(spread, salted, [*on, "__salt"]).drop("__salt")
 
 

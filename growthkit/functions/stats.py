@@ -7,13 +7,18 @@ that hold finished test statistics, never over user or event rows.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Callable
 from statistics import NormalDist
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Python workers get these functions with the task and need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ALTERNATIVES = ("two-sided", "greater", "less")
 
 

@@ -9,11 +9,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from growthkit.functions import stats
-from growthkit.functions.columns import names, ratio
+from growthkit.functions.columns import ratio
 
 
 def sample_size(baseline: float, mde: float, alpha: float = 0.05, power: float = 0.8) -> int:
@@ -125,7 +125,8 @@ def srm(df: DataFrame, group: str, weights: dict[str, float], user: str | None =
     for i, g in enumerate(labels):
         expected = n * F.lit(weights[g] / total)
         chi2 = chi2 + ratio((F.col(f"__g{i}") - expected) * (F.col(f"__g{i}") - expected), expected)
-    out = sizes.select(n.cast("bigint").alias("n"), F.lit(len(labels)).cast("bigint").alias("groups"), chi2.alias("chi2"))
+    groups = F.lit(len(labels)).cast("bigint")
+    out = sizes.select(n.cast("bigint").alias("n"), groups.alias("groups"), chi2.alias("chi2"))
     return out.withColumn("p", stats.chi2_pvalue(F.col("chi2"), (F.col("groups") - 1).cast("double")))
 
 
@@ -191,8 +192,8 @@ def welch(
 ) -> DataFrame:
     """Difference of means b - a without assuming equal variances.
 
-    -> n_a, n_b, mean_a, mean_b, diff, t, df, p, ci_lo, ci_hi. `greater` asks whether b is greater than a. NULL values are left
-    out. With `user` given the job fails if a user occurs twice.
+    -> n_a, n_b, mean_a, mean_b, diff, t, df, p, ci_lo, ci_hi. `greater` asks whether b is greater
+    than a. NULL values are left out. With `user` given the job fails if a user occurs twice.
     """
     stats.check_alternative(alternative)
     rows = one_row_per_user(df, user, group, [x]) if user else df
@@ -254,8 +255,8 @@ def ab_report(
 ) -> DataFrame:
     """All metrics of a test side by side, from one pass over the users.
 
-    -> metric, kind, n_a, n_b, value_a, value_b, diff, lift, stat, p, ci_lo, ci_hi, significant. `metrics` maps a
-    column to `mean` (Welch's t) or `rate` (pooled z). Lift is relative to group a.
+    -> metric, kind, n_a, n_b, value_a, value_b, diff, stat, p, ci_lo, ci_hi, lift, significant.
+    `metrics` maps a column to `mean` (Welch's t) or `rate` (pooled z). Lift is relative to group a.
     """
     stats.check_alternative(alternative)
     unknown = set(metrics.values()) - {"mean", "rate"}

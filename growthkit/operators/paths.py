@@ -65,7 +65,9 @@ def funnel_matches(
     paths = F.array(
         *[F.coalesce(F.col(f"__from{at}.__path"), nothing) for at in range(1, len(steps) + 1)]
     )
-    chained = slices.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("__slice", paths.alias("paths")))).alias("__s"))
+    # One element per slice of the key, whatever the number of its events.
+    in_order = F.sort_array(F.collect_list(F.struct("__slice", paths.alias("paths"))))
+    chained = slices.groupBy(*key).agg(in_order.alias("__s"))
     matched = F.aggregate(
         "__s", nothing, lambda done, s: F.concat(done, F.coalesce(F.get(s["paths"], F.size(done)), nothing))
     )

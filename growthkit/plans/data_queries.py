@@ -7,7 +7,6 @@ import datetime as dt
 from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
-from growthkit.functions.columns import period_of
 from growthkit.operators import marts, prepare, quality, unit_econ
 from growthkit.plans.adapters import event_log, table
 from growthkit.plans.registry import query, rounded
@@ -186,7 +185,8 @@ def dq_duplicates(spark, sf_dir):
 @query(
     "dq_dedupe",
     """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem
- QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice) = 1""",
+ QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+  ORDER BY l_partkey, l_suppkey, l_extendedprice) = 1""",
 )
 def dq_dedupe(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select(
@@ -338,8 +338,8 @@ def join_enrich(spark, sf_dir):
 
 @query(
     "join_payers",
-    """SELECT c_custkey, c_mktsegment, EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000)
- AS payer FROM customer""",
+    """SELECT c_custkey, c_mktsegment,
+ EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000) AS payer FROM customer""",
 )
 def join_payers(spark, sf_dir):
     t = load_tables(spark, sf_dir, ["customer", "orders"])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from growthkit.operators import explore, listings
 from growthkit.plans.adapters import LISTINGS_SQL, USERS_SQL, event_log, order_log, table, user_dim
 from growthkit.plans.adapters import listings as listing_rows
+from growthkit.plans.data_queries import join_payers
 from growthkit.plans.registry import query, rounded
 from growthkit.sources.tables import load_tables
 
@@ -138,8 +139,6 @@ def eda_crosstab(spark, sf_dir):
  FROM customer) AS c GROUP BY c_mktsegment""",
 )
 def eda_outcome(spark, sf_dir):
-    from growthkit.plans.data_queries import join_payers
-
     return rounded(explore.outcome_by(join_payers(spark, sf_dir), "c_mktsegment", "payer"))
 
 
@@ -285,14 +284,14 @@ def re_places(spark, sf_dir):
     )
 
 
+PLATFORMS = ["automobile", "building", "furniture", "household", "machinery"]
+
+
 @query(
     "re_crosstab",
-    f"""SELECT place, {", ".join(f"count(*) FILTER (platform = '{p}') AS {p.lower()}" for p in ("AUTOMOBILE", "BUILDING",
- "FURNITURE", "HOUSEHOLD", "MACHINERY"))}
+    f"""SELECT place, {", ".join(f"count(*) FILTER (platform = '{p.upper()}') AS {p}" for p in PLATFORMS)}
  FROM orders JOIN {USERS_SQL} AS u ON user_id = o_custkey GROUP BY place""",
 )
 def re_crosstab(spark, sf_dir):
     rows = listing_rows(spark, sf_dir).withColumn("platform", F.lower("platform"))
-    return explore.crosstab(
-        rows, "place", "platform", ["automobile", "building", "furniture", "household", "machinery"]
-    )
+    return explore.crosstab(rows, "place", "platform", PLATFORMS)

@@ -93,8 +93,10 @@ def kmeans_sql(fits: list[tuple[int, int]]) -> str:
 LABELS_SQL = (
     kmeans_sql([(3, 1), (3, 2), (3, 3)])
     + """, best AS (SELECT seed FROM near GROUP BY seed ORDER BY sum(dist) LIMIT 1),
- place AS (SELECT c, row_number() OVER (ORDER BY x1, x2, x3, x4) - 1 AS cluster FROM it JOIN best USING (seed) WHERE i = 100),
- label AS (SELECT id AS supplier, CAST(cluster AS BIGINT) AS cluster FROM near JOIN best USING (seed) JOIN place USING (c))"""
+ place AS (SELECT c, row_number() OVER (ORDER BY x1, x2, x3, x4) - 1 AS cluster
+  FROM it JOIN best USING (seed) WHERE i = 100),
+ label AS (SELECT id AS supplier, CAST(cluster AS BIGINT) AS cluster
+  FROM near JOIN best USING (seed) JOIN place USING (c))"""
 )
 
 
@@ -242,8 +244,9 @@ def ab_prepare_sessions(spark, sf_dir):
 
 @query(
     "ab_history",
-    """WITH g AS (SELECT c_custkey AS u, CASE WHEN CAST('0x' || substr(md5('spring:' || CAST(c_custkey AS VARCHAR)), 1, 12)
-  AS BIGINT) % 10000 < 5000 THEN 'a' ELSE 'b' END AS grp FROM customer)
+    """WITH g AS (SELECT c_custkey AS u, CASE WHEN
+  CAST('0x' || substr(md5('spring:' || CAST(c_custkey AS VARCHAR)), 1, 12) AS BIGINT) % 10000 < 5000
+  THEN 'a' ELSE 'b' END AS grp FROM customer)
  SELECT CAST(date_trunc('quarter', o_orderdate) AS DATE) AS period, grp, count(DISTINCT o_custkey) AS active,
  round(sum(o_totalprice) + 1e-9, 2) AS revenue, round(sum(o_totalprice) / count(DISTINCT o_custkey) + 1e-9, 2) AS arpau
  FROM orders JOIN g ON u = o_custkey GROUP BY 1, 2""",

@@ -215,7 +215,8 @@ def pm_funnel_by_dim(spark, sf_dir):
 
 @query(
     "pm_share_over",
-    """SELECT count(*) AS users, count(*) FILTER (n > 10) AS over, round(avg(CAST(n > 10 AS INTEGER)) + 1e-9, 4) AS share
+    """SELECT count(*) AS users, count(*) FILTER (n > 10) AS over,
+ round(avg(CAST(n > 10 AS INTEGER)) + 1e-9, 4) AS share
  FROM (SELECT count(*) FILTER (event_type = 'purchase') AS n FROM events GROUP BY user_id) AS u""",
 )
 def pm_share_over(spark, sf_dir):
@@ -350,7 +351,8 @@ def _roi(spark, sf_dir):
 @query(
     "ue_ltv_curve",
     LTV_SQL
-    + " SELECT channel, age, users, round(revenue + 1e-9, 2) AS revenue, round(revenue / users + 1e-9, 4) AS ltv FROM ltv",
+    + """ SELECT channel, age, users, round(revenue + 1e-9, 2) AS revenue,
+ round(revenue / users + 1e-9, 4) AS ltv FROM ltv""",
 )
 def ue_ltv_curve(spark, sf_dir):
     return rounded(_ltv(spark, sf_dir), revenue=2)

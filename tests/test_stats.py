@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+
 import pytest
+from pyspark import cloudpickle
 
 from growthkit.functions import stats
 
@@ -60,3 +65,12 @@ def test_alternatives():
     assert stats.two_way(stats.normal_sf, 1.0, "less") == pytest.approx(1 - stats.normal_sf(1.0))
     with pytest.raises(ValueError):
         stats.check_alternative("bigger")
+
+
+def test_functions_travel_without_the_package(tmp_path):
+    path = tmp_path / "fn"
+    path.write_bytes(cloudpickle.dumps(stats.t_sf))
+    load = "import pickle, sys; f = pickle.load(open(sys.argv[1], 'rb')); print(f(2.0, 10.0))"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", load, path], cwd=tmp_path, env=env, capture_output=True, text=True)
+    assert float(out.stdout) == stats.t_sf(2.0, 10.0)
