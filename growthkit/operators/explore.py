@@ -110,10 +110,12 @@ def purchase_activity(
     """How buyers buy, per dim -> dims, buyers, orders, orders_per_buyer, avg_amount, amount_per_buyer.
 
     Purchases are reduced to one row per buyer before the user table (with `dims`) is joined.
+    Purchases without a user are left out.
     """
     dims = names(dims)
     own = [d for d in dims if users is None]
-    per_user = purchases.groupBy(user, *own).agg(F.count(F.lit(1)).alias("orders"), F.sum(amount).alias("amount"))
+    known = purchases.where(F.col(user).isNotNull())
+    per_user = known.groupBy(user, *own).agg(F.count(F.lit(1)).alias("orders"), F.sum(amount).alias("amount"))
     if users is not None:
         per_user = per_user.join(users.select(user, *dims), user, "left")
     return (
