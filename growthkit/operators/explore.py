@@ -11,6 +11,10 @@ from growthkit.functions.columns import join_groups, names, period_of, ratio, to
 from growthkit.functions.quantiles import distribution
 
 
+# Spark's default for the largest rank that it cuts before a shuffle.
+PUSHED_RANKS = 1000
+
+
 def group_share(df: DataFrame, dims: str | Sequence[str], within: str | Sequence[str] | None = None) -> DataFrame:
     """Rows per category and their share -> dims, n, share."""
     counted = df.groupBy(*names(dims)).agg(F.count(F.lit(1)).alias("n"))
@@ -73,6 +77,13 @@ def top_k(
     order = [F.col(metric).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in names(tie)]]
     by = names(by)
     if by:
+        if k > PUSHED_RANKS:
+            # Spark does not cut large k ahead of the shuffle; the k best of a group are
+            # among the k best of its salted parts.
+            part = F.pmod(F.xxhash64(metric, *names(tie)), F.lit(64))
+            within_part = F.row_number().over(W.partitionBy(*by, "__part").orderBy(*order))
+            df = df.withColumn("__part", part).withColumn("__at", within_part)
+            df = df.where(F.col("__at") <= k).drop("__part", "__at")
         place = F.row_number().over(W.partitionBy(*by).orderBy(*order))
         return df.withColumn("rank", place.cast("bigint")).where(F.col("rank") <= k)
     # Only k rows reach the window.

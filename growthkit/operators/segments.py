@@ -121,20 +121,12 @@ def _starts(
 
     The choice for a smaller k is the beginning of the one for a larger k.
     """
-    picks = [
-        F.struct(
-            F.lit(seed).alias("seed"),
-            F.md5(F.concat_ws(":", F.lit(seed).cast("string"), F.col(ident).cast("string"))).alias("pick"),
-        )
-        for seed in seeds
-    ]
-    places = (
-        points.select(*features, F.inline(F.array(*picks)))
-        .groupBy("seed", *features)
-        .agg(F.min("pick").alias("pick"))
-    )
-    first = F.row_number().over(W.partitionBy("seed").orderBy("pick"))
-    rows = places.withColumn("at", first).where(F.col("at") <= k).orderBy("at").collect()
+    first = []
+    for seed in seeds:
+        pick = F.md5(F.concat_ws(":", F.lit(seed).cast("string"), F.col(ident).cast("string")))
+        places = points.groupBy(*features).agg(F.min(pick).alias("pick"))
+        first.append(places.orderBy("pick").limit(k).withColumn("seed", F.lit(seed)))
+    rows = sorted(reduce(DataFrame.unionByName, first).collect(), key=lambda r: r["pick"])
     starts = {seed: [tuple(r[c] for c in features) for r in rows if r["seed"] == seed] for seed in seeds}
     for start in starts.values():
         if len(start) < k:

@@ -66,6 +66,12 @@ class TestExplore:
         assert rows(explore.top_k(df, "v", 2, "g", "n").select("g", "n", "rank")) == [("g", "a", 1), ("g", "b", 2), ("h", "d", 1)]
         assert rows(explore.top_k(df, "v", 2, tie="n").select("n", "rank")) == [("a", 1), ("b", 2)]
 
+    def test_top_k_of_many(self, spark):
+        df = spark.range(5000).select(F.lit("g").alias("g"), "id", F.pmod(F.xxhash64("id"), F.lit(700)).alias("v"))
+        got = {(r["id"], r["rank"]) for r in explore.top_k(df, "v", 1500, "g", "id").collect()}
+        best = sorted(df.collect(), key=lambda r: (-r["v"], r["id"]))[:1500]
+        assert got == {(r["id"], i) for i, r in enumerate(best, start=1)}
+
     def test_crosstab(self, spark, rows):
         df = spark.createDataFrame([("x", "p"), ("x", "p"), ("y", "q"), ("y", "other")], "r string, c string")
         assert rows(explore.crosstab(df, "r", "c", ["p", "q"])) == [("x", 2, 0), ("y", 0, 1)]
