@@ -17,6 +17,15 @@ from growthkit.plans import catalog
 from growthkit.session import get_session
 
 
+def scale(sf_dir: str) -> float | str:
+    """The scale factor in the folder name, or the name itself."""
+    name = os.path.basename(sf_dir.rstrip("/"))
+    try:
+        return float(name.removeprefix("sf"))
+    except ValueError:
+        return name
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -49,7 +58,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
-                "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
+                "sf": scale(sf_dir),
                 "cpus": int(cpus),
                 "runs": runs,
             }
