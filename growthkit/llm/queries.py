@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from growthkit.llm.near_text import near_duplicates
+from growthkit.llm.repeats import repeated_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,11 +16,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 def op9_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op6_suffix_array": op6_suffix_array,
     "op9_superminhash": op9_superminhash,
 }
 
