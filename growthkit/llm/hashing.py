@@ -47,21 +47,25 @@ def spans(running: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
     return mix((running[ends] - running[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of the runs of other bytes than space, \\t to \\r; runs never cross `offsets`."""
+    inside = ~IS_SPACE[data]
+    cut = np.zeros(len(data) + 1, bool)
+    cut[offsets] = True
+    before = np.concatenate(([False], inside[:-1]))
+    after = np.concatenate((inside[1:], [False]))
+    return np.flatnonzero(inside & (~before | cut[:-1])), np.flatnonzero(inside & (~after | cut[1:])) + 1
+
+
 def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word, first word of each text): words are runs of other bytes than space, \\t to \\r.
+    """(hash of each word, first word of each text) of the texts that `offsets` bounds in `data`.
 
-    `offsets` bounds the texts in `data`; words never cross texts. A to Z count as a to z if `lower`.
+    A to Z count as a to z if `lower`.
     """
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
     data = LOWER[data] if lower else data
-    inside = ~IS_SPACE[data]
-    cut = np.zeros(len(data) + 1, bool)
-    cut[offsets] = True
-    before = np.concatenate(([False], inside[:-1]))
-    starts = np.flatnonzero(inside & (~before | cut[:-1]))
-    after = np.concatenate((inside[1:], [False]))
-    ends = np.flatnonzero(inside & (~after | cut[1:])) + 1
+    starts, ends = word_bounds(data, offsets)
     return spans(sums(data), starts, ends), np.searchsorted(starts, offsets)
 
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from growthkit.llm.near_text import near_duplicates
+from growthkit.llm.packing import packed
 from growthkit.llm.repeats import repeated_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,12 +22,17 @@ def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_bytes(table(spark, sf_dir, "documents"))
 
 
+def op8_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
     "op6_suffix_array": op6_suffix_array,
+    "op8_sum_of_squares": op8_sum_of_squares,
     "op9_superminhash": op9_superminhash,
 }
 
