@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from growthkit.llm.near_text import near_duplicates
 from growthkit.llm.packing import packed
+from growthkit.llm.quality import oracle, quality_report
 from growthkit.llm.repeats import repeated_bytes
+from growthkit.llm.secret_scan import secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +20,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_efficiency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return secrets(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+def op5_threshold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(table(spark, sf_dir, "documents"))
+
+
 def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_bytes(table(spark, sf_dir, "documents"))
 
@@ -31,9 +42,11 @@ def op9_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_token_efficiency": op1_token_efficiency,
+    "op5_threshold_table": op5_threshold_table,
     "op6_suffix_array": op6_suffix_array,
     "op8_sum_of_squares": op8_sum_of_squares,
     "op9_superminhash": op9_superminhash,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_threshold_table": oracle()}
