@@ -127,8 +127,12 @@ def quality_report(docs: DataFrame, id: str = "doc_id", text: str = "text", rule
 
 
 def keep_good(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows of `docs` that `judged` keeps, with all their columns."""
-    return judged(docs, text, rules).where("kept").select("row.*")
+    """The rows of `docs` that `judged` keeps, with all their columns.
+
+    A filter would be pushed below the steps of `_measured` and take their arrays apart; a generator is not.
+    """
+    kept = judged(docs, text, rules).select(F.explode(F.when(F.col("kept"), F.array("row"))).alias("row"))
+    return kept.select("row.*")
 
 
 def oracle(rules: tuple[Rule, ...] = RULES) -> str:
