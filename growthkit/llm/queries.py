@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from growthkit.llm.near_text import near_duplicates
+from growthkit.llm.near_vectors import near_vectors
 from growthkit.llm.packing import packed
 from growthkit.llm.quality import oracle, quality_report
 from growthkit.llm.repeats import repeated_bytes
@@ -41,12 +42,17 @@ def op9_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_pivot_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_efficiency": op1_token_efficiency,
     "op5_threshold_table": op5_threshold_table,
     "op6_suffix_array": op6_suffix_array,
     "op8_sum_of_squares": op8_sum_of_squares,
     "op9_superminhash": op9_superminhash,
+    "op10_pivot_range_join": op10_pivot_range_join,
 }
 
 ORACLES: dict[str, str] = {"op5_threshold_table": oracle()}
