@@ -7,9 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from growthkit.llm.byte_bpe import token_report
 from growthkit.llm.near_text import near_duplicates
 from growthkit.llm.near_vectors import near_vectors
 from growthkit.llm.packing import packed
+from growthkit.llm.page_text import main_text
 from growthkit.llm.quality import oracle, quality_report
 from growthkit.llm.repeats import repeated_bytes
 from growthkit.llm.secret_scan import secrets
@@ -26,6 +28,10 @@ def op1_token_efficiency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op2_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op5_threshold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
@@ -34,6 +40,11 @@ def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_bytes(table(spark, sf_dir, "documents"))
 
 
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return token_report(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 def op8_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -48,8 +59,10 @@ def op10_pivot_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_token_efficiency": op1_token_efficiency,
+    "op2_host_suffix_array": op2_host_suffix_array,
     "op5_threshold_table": op5_threshold_table,
     "op6_suffix_array": op6_suffix_array,
+    "op7_byte_bpe": op7_byte_bpe,
     "op8_sum_of_squares": op8_sum_of_squares,
     "op9_superminhash": op9_superminhash,
     "op10_pivot_range_join": op10_pivot_range_join,
