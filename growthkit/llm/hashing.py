@@ -47,9 +47,9 @@ def spans(running: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
     return mix((running[ends] - running[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(starts, ends) of the runs of other bytes than space, \\t to \\r; runs never cross `offsets`."""
-    inside = ~IS_SPACE[data]
+def word_bounds(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of the runs of bytes outside `space`; runs never cross `offsets`."""
+    inside = ~space[data]
     cut = np.zeros(len(data) + 1, bool)
     cut[offsets] = True
     before = np.concatenate(([False], inside[:-1]))

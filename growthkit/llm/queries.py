@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from growthkit.llm.byte_bpe import token_report
+from growthkit.llm.language import languages
 from growthkit.llm.near_text import near_duplicates
 from growthkit.llm.near_vectors import near_vectors
 from growthkit.llm.packing import packed
@@ -15,6 +16,7 @@ from growthkit.llm.page_text import main_text
 from growthkit.llm.quality import oracle, quality_report
 from growthkit.llm.repeats import repeated_bytes
 from growthkit.llm.secret_scan import secrets
+from growthkit.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +34,14 @@ def op2_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
 
 
+def op3_positive_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_hierarchical_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(table(spark, sf_dir, "documents"))
+
+
 def op5_threshold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
@@ -60,6 +70,8 @@ def op10_pivot_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_token_efficiency": op1_token_efficiency,
     "op2_host_suffix_array": op2_host_suffix_array,
+    "op3_positive_unlabelled": op3_positive_unlabelled,
+    "op4_hierarchical_svm": op4_hierarchical_svm,
     "op5_threshold_table": op5_threshold_table,
     "op6_suffix_array": op6_suffix_array,
     "op7_byte_bpe": op7_byte_bpe,
