@@ -56,6 +56,14 @@ def verdict(rules: tuple[Rule, ...]) -> str:
     return f"NOT ({' OR '.join([BASE_FAILED, *(r.fails() for r in rules)])})"
 
 
+def _without(characters: str) -> str:
+    """SQL for `body` without some characters; quicker than `translate`, since most texts hold none of them."""
+    out = "body"
+    for c in characters:
+        out = f"replace({out}, '{c}')"
+    return out
+
+
 def _measured(docs: DataFrame, text: str) -> DataFrame:
     """`row`, a struct of all columns of `docs`, and the counts that the rules read.
 
@@ -75,19 +83,19 @@ def _measured(docs: DataFrame, text: str) -> DataFrame:
         "row",
         "CAST(size(words) AS LONG) AS n_words",
         "aggregate(words, 0L, (n, w) -> n + length(w)) AS word_chars",
-        "CAST(length(body) - length(translate(body, '#*$%&|<>', '')) AS LONG) AS n_symbols",
-        "CAST(length(body) - length(translate(body, '!', '')) AS LONG) AS n_exclaims",
+        f"CAST(length(body) - length({_without('#*$%&|<>')}) AS LONG) AS n_symbols",
+        f"CAST(length(body) - length({_without('!')}) AS LONG) AS n_exclaims",
         "CAST(size(lines) AS LONG) AS n_lines",
         "CAST(size(lines) - size(array_distinct(lines)) AS LONG) AS n_dup_lines",
         f"CAST(size(filter(words, w -> trim(TRAILING '.,;:!?' FROM lower(w)) IN ({stop_words}))) AS LONG) AS n_stop_words",
         "transform(words, w -> xxhash64(w)) AS hashes",
     )
     counts = [c for c in df.columns if c != "hashes"]
-    df = df.selectExpr(
-        *counts,
-        f"CASE WHEN size(hashes) >= {WINDOW} THEN transform(sequence(1, size(hashes) - {WINDOW - 1}),"
-        f" i -> xxhash64(slice(hashes, i, {WINDOW}))) END AS windows",
-    )
+    # windows of eight words by doubling: two hashes of half the length make one
+    for step in (1, 2, 4):
+        half = f"transform(hashes, (x, i) -> xxhash64(x, get(hashes, i + {step})))"
+        df = df.selectExpr(*counts, f"CASE WHEN size(hashes) >= {WINDOW} THEN {half} END AS hashes")
+    df = df.selectExpr(*counts, f"slice(hashes, 1, greatest(size(hashes) - {WINDOW - 1}, 0)) AS windows")
     # most texts repeat no window; only the others are sorted
     df = df.selectExpr(
         *counts,
