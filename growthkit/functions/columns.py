@@ -38,6 +38,14 @@ def period_of(ts: str | Column, period: str) -> Column:
     return day if period == "day" else F.trunc(day, period).cast("date")
 
 
+def period_end(start: Column, period: str) -> Column:
+    """First day of the period after the one that begins at `start`."""
+    months = {"month": 1, "quarter": 3, "year": 12}
+    if period in months:
+        return F.add_months(start, months[period])
+    return F.date_add(start, {"day": 1, "week": 7}[period])
+
+
 def period_age(start: Column, end: Column, period: str) -> Column:
     """Whole periods between two period starts."""
     months = (F.year(end) * 12 + F.month(end)) - (F.year(start) * 12 + F.month(start))
@@ -71,14 +79,20 @@ def join_groups(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
     return left.join(renamed, same, how).drop(*[f"__{c}" for c in on])
 
 
-def attach(big: DataFrame, per_group: DataFrame, on: Sequence[str], salts: int = 32) -> DataFrame:
+def salts_of(df: DataFrame) -> int:
+    """Parts of a hot group: as many as the session has shuffle partitions, so that they fill the cluster."""
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def attach(big: DataFrame, per_group: DataFrame, on: Sequence[str], salts: int | None = None) -> DataFrame:
     """Left join row-level data with one row per group, when one group may be huge.
 
     The group rows are repeated once per salt and every big row takes one salt from
     its content and its input partition (copies of one row included), so a hot group is
-    spread over `salts` tasks; a rerun task gives the same salts. Adaptive execution still
-    turns this into a broadcast when the measured size of the group side is small.
+    spread over `salts` tasks (by default `salts_of`); a rerun task gives the same salts. Adaptive execution
+    still turns this into a broadcast when the measured size of the group side is small.
     """
+    salts = salts or salts_of(big)
     salted = per_group.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     content = [f.name for f in big.schema if not isinstance(f.dataType, T.MapType)]
     salt = F.pmod(F.xxhash64(*content, F.spark_partition_id()), F.lit(salts))

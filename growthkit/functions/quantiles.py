@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from growthkit.functions.columns import names
 
-# Buckets per doubling of 1+|x|; a bucket is about 0.07 % wide.
+# Buckets per doubling of 1+|x|; a bucket is about 0.07 % wide. Parts of a bucket between its ends.
 RESOLUTION = 1024
+PARTS = 4096
 # The bucket of unknown values; it sorts before all others.
 UNKNOWN = -(2**62)
 MOMENTS = ["n_rows", "n", "mean"]
@@ -29,10 +30,12 @@ def distribution(
     `n` counts known values; NULL and NaN are unknown. With `exact=False` quantiles come from the
     sketch of `percentile_approx`: one small state per group and task, one shuffle.
 
-    The exact form counts equal values, then counts per value bucket, finds the few buckets
-    that hold a wanted rank, and looks up the rank inside those only. Values, buckets and
-    groups are separate shuffles, so a group with a third of all rows is spread over its
-    buckets, and a value with a third of all rows is counted before it is sent.
+    The exact form counts equal values, then counts per value bucket and finds the few buckets that hold a
+    wanted rank. Since buckets follow the magnitude of values, values close to each other may share one: each
+    bucket found is therefore cut into equal parts between its own least and greatest value, these are counted
+    too, and the rank is looked up inside the few parts that hold it. Values, buckets, parts and
+    groups are separate shuffles, so a group with a third of all rows is spread over its parts, and a value
+    with a third of all rows is counted before it is sent.
     """
     by = names(by)
     value = F.col(col).cast("double")
@@ -62,6 +65,8 @@ def distribution(
         F.sum("__n").alias("__rows"),
         F.expr("sum(CASE WHEN __v IS NULL THEN 0L ELSE __n END)").alias("__c"),
         F.expr("sum(__n * __v)").alias("__sum"),
+        F.min("__v").alias("__lo"),
+        F.max("__v").alias("__hi"),
     )
     whole = W.partitionBy("__g")
     running = whole.orderBy("__b").rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -80,13 +85,20 @@ def distribution(
     high = {n: f"CAST(ceil({position}) AS BIGINT)" for n, position in at.items()}
     # The lowest bucket is kept as well, so that every group has a row.
     wanted = " OR ".join(f"({r} >= __start AND {r} < __start + __c)" for r in [*low.values(), *high.values()])
-    hit = placed.where(f"__start = 0 OR {wanted}").select(
-        "__g", "__b", "__start", "__total", "n_rows", "__sum"
-    )
-    inside = W.partitionBy("__g", "__b").orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = counts.join(hit, ["__g", "__b"]).withColumn(
-        "__first", F.col("__start") + F.sum("__n").over(inside) - F.col("__n")
+    known_of = ["__total", "n_rows", "__sum"]
+    hit = placed.where(f"__start = 0 OR {wanted}").select("__g", "__b", "__start", "__lo", "__hi", *known_of)
+    part = f"coalesce(CAST(floor(try_divide(__v - __lo, __hi - __lo) * {PARTS}) AS INT), 0)"
+    near = counts.join(hit, ["__g", "__b"]).withColumn("__p", F.expr(part))
+    parts = near.groupBy("__g", "__b", "__p").agg(
+        F.expr("sum(CASE WHEN __v IS NULL THEN 0L ELSE __n END)").alias("__c"),
+        *[F.first(c).alias(c) for c in ("__start", *known_of)],
     )
+    before = W.partitionBy("__g", "__b").orderBy("__p").rowsBetween(W.unboundedPreceding, W.currentRow)
+    parts = parts.withColumn("__start", F.col("__start") + F.sum("__c").over(before) - F.col("__c"))
+    found = parts.where(f"__start = 0 OR {wanted}").select("__g", "__b", "__p", "__start", *known_of)
+    inside = W.partitionBy("__g", "__b", "__p").orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = near.select("__g", "__b", "__p", "__v", "__n").join(found, ["__g", "__b", "__p"])
+    ranked = ranked.withColumn("__first", F.col("__start") + F.sum("__n").over(inside) - F.col("__n"))
 
     def value_at(rank: str) -> str:
         return f"max(CASE WHEN {rank} >= __first AND {rank} < __first + __n THEN __v END)"

@@ -53,8 +53,8 @@ def _beta_fraction(x: float, a: float, b: float) -> float:
             c = c if abs(c) > floor else floor
             total *= c * d
         if abs(c * d - 1.0) < 1e-15:
-            break
-    return total
+            return total
+    raise ArithmeticError(f"the incomplete beta function of {x}, {a}, {b} did not converge")
 
 
 def beta_cdf(x: float, a: float, b: float) -> float:
@@ -123,8 +123,8 @@ def chi2_sf(x: float, df: float) -> float:
         c = c if abs(c) > tiny else tiny
         total *= c * d
         if abs(c * d - 1.0) < 1e-15:
-            break
-    return math.exp(log_front) * total
+            return math.exp(log_front) * total
+    raise ArithmeticError(f"the chi-square probability of {x}, {df} did not converge")
 
 
 def two_way(sf: Callable[[float], float], stat: float, alternative: str) -> float:

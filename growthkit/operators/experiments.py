@@ -9,13 +9,17 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from growthkit.functions import stats
 from growthkit.functions.columns import ratio
 
 
+# Places that 12 hexadecimal digits of a digest can take.
+PLACES = 16**12
+
+
 def sample_size(baseline: float, mde: float, alpha: float = 0.05, power: float = 0.8) -> int:
     """Users per group to see a rate move from `baseline` by `mde` (absolute), two-sided."""
     p1, p2 = baseline, baseline + mde
@@ -39,43 +43,68 @@ def ab_design(
 ) -> DataFrame:
     """Parameters of a test on a rate -> baseline, daily_users, n_per_group, days.
 
-    `daily` has user activity by day with a boolean `success`. The baseline is the share of
-    users with any success; `daily_users` is the mean number of users a day. A baseline of 0 or 1, or
-    one that `mde` moves out of (0, 1), gives NULL sizes.
+    `daily` has user activity by day with a boolean `success`. A test of d days reaches the distinct users of
+    the first d days of the log, and its baseline is the share of them with a success in those days; `days` is
+    the smallest d that reaches `groups` times the users its baseline asks for. If the log never does, `days` is
+    NULL and the other columns are those of the whole log. `daily_users` is the mean number of users a day. A
+    baseline of 0 or 1, or one that `mde` moves out of (0, 1), gives NULL sizes. Rows without a user or a day
+    are left out.
     """
     if mde == 0:
         raise ValueError("mde must not be 0: no sample is large enough")
-    per_day = daily.groupBy(F.to_date(day).alias("__day"), F.col(user)).agg(F.max(success).alias("__ok"))
-    traffic = per_day.groupBy("__day").agg(F.count(F.lit(1)).alias("__n")).agg(F.avg("__n").alias("daily_users"))
-    rate = per_day.groupBy(user).agg(F.max("__ok").alias("__ok")).agg(
-        F.avg(F.coalesce(F.col("__ok"), F.lit(False)).cast("double")).alias("baseline")
+    known = daily.where(F.col(user).isNotNull() & F.col(day).isNotNull())
+    per_day = known.groupBy(F.to_date(day).alias("__day"), F.col(user)).agg(F.max(success).alias("__ok"))
+    traffic = per_day.groupBy("__day").agg(F.count(F.lit(1)).alias("__n"))
+    first = per_day.groupBy(user).agg(
+        F.min("__day").alias("__seen"), F.min(F.when(F.col("__ok"), F.col("__day"))).alias("__won")
     )
+    came = first.groupBy(F.col("__seen").alias("__day")).agg(F.count(F.lit(1)).alias("__came"))
+    won = first.where(F.col("__won").isNotNull()).groupBy(F.col("__won").alias("__day"))
+    won = won.agg(F.count(F.lit(1)).alias("__wins"))
+    # One row per day of the log, so the window over all of them is small.
+    so_far = W.orderBy("__day").rowsBetween(W.unboundedPreceding, W.currentRow)
+    days = traffic.join(came, "__day", "left").join(won, "__day", "left")
+    reach = F.sum(F.coalesce("__came", F.lit(0))).over(so_far)
+    wins = F.sum(F.coalesce("__wins", F.lit(0))).over(so_far)
+    length = F.datediff("__day", F.min("__day").over(so_far)).cast("bigint") + 1
+    days = days.select("__n", reach.alias("__reach"), ratio(wins, reach).alias("baseline"), length.alias("__d"))
     p1, p2 = F.col("baseline"), F.col("baseline") + F.lit(float(mde))
     z = stats.z_quantile(1 - alpha / 2) + stats.z_quantile(power)
     n = F.lit(z * z / (mde * mde)) * (p1 * (1 - p1) + p2 * (1 - p2))
     usable = (p1 > 0) & (p1 < 1) & (p2 > 0) & (p2 < 1)
-    return (
-        rate.withColumn("daily_users", traffic.scalar())
-        .withColumn("n_per_group", F.when(usable, F.ceil(n)))
-        .withColumn("days", F.ceil(ratio(F.col("n_per_group") * groups, F.col("daily_users"))))
+    days = days.withColumn("n_per_group", F.when(usable, F.ceil(n)))
+    enough = F.col("__reach") >= F.col("n_per_group") * groups
+    line = F.struct("baseline", "n_per_group", F.col("__d").alias("days"))
+    best = days.agg(
+        F.avg("__n").alias("daily_users"),
+        F.min_by(line, F.when(enough, F.col("__d"))).alias("__met"),
+        F.max_by(line, "__d").alias("__all"),
+    )
+    met = F.col("__met").isNotNull()
+    return best.select(
+        F.when(met, F.col("__met.baseline")).otherwise(F.col("__all.baseline")).alias("baseline"),
+        "daily_users",
+        F.when(met, F.col("__met.n_per_group")).otherwise(F.col("__all.n_per_group")).alias("n_per_group"),
+        F.col("__met.days").alias("days"),
     )
 
 
 def assign(df: DataFrame, user: str, salt: str, weights: dict[str, float], name: str = "group") -> DataFrame:
     """Give each user a group by a hash of salt and user: stable, and the same on any engine.
 
-    Another salt gives an independent split. Weights need not add up to 1.
+    Another salt gives an independent split. Weights need not add up to 1; a group's share is met
+    to within 2**-48, so very small groups get their users too.
     """
     total = sum(weights.values())
     if not weights or min(weights.values()) < 0 or total <= 0:
         raise ValueError("weights must not be negative and must have a positive sum")
     digest = F.md5(F.concat(F.lit(f"{salt}:"), F.col(user).cast("string")))
-    slot = F.pmod(F.conv(F.substring(digest, 1, 12), 16, 10).cast("bigint"), F.lit(10000))
+    place = F.conv(F.substring(digest, 1, 12), 16, 10).cast("bigint")
     out, edge, last = None, 0.0, list(weights)[-1]
     for group, weight in weights.items():
         edge += weight
         if group != last:
-            inside = slot < F.lit(round(10000 * edge / total))
+            inside = place < F.lit(round(PLACES * edge / total))
             out = F.when(inside, F.lit(group)) if out is None else out.when(inside, F.lit(group))
     picked = F.lit(last) if out is None else out.otherwise(F.lit(last))
     return df.withColumn(name, F.when(F.col(user).isNotNull(), picked))
@@ -109,30 +138,33 @@ def overlap(df: DataFrame, user: str, group: str) -> DataFrame:
 
 
 def srm(df: DataFrame, group: str, weights: dict[str, float], user: str | None = None) -> DataFrame:
-    """Do group sizes fit the planned split? -> n, groups, chi2, p.
+    """Do group sizes fit the planned split? -> n, groups, unplanned, chi2, p.
 
-    With `user` given, users are counted; otherwise rows. A planned group without users
-    counts as 0; rows of unplanned groups are left out.
+    With `user` given, users are counted; otherwise rows. A planned group without users counts as 0. Rows
+    (or users) whose group is not planned, or unknown, are no part of the test but are counted in `unplanned`:
+    any of them means that the assignment did not follow the plan.
     """
     total = sum(weights.values())
-    kept = df.where(F.col(group).isin(list(weights)))
-    if user:
-        kept = kept.select(user, group).distinct()
+    kept = df.select(user, group).distinct() if user else df
     labels = list(weights)
-    sizes = kept.agg(*[F.count_if(F.col(group) == g).cast("double").alias(f"__g{i}") for i, g in enumerate(labels)])
+    planned = F.coalesce(F.col(group).isin(labels), F.lit(False))
+    sizes = kept.agg(
+        F.count_if(~planned).alias("unplanned"),
+        *[F.count_if(F.col(group) == g).cast("double").alias(f"__g{i}") for i, g in enumerate(labels)],
+    )
     n = sum((F.col(f"__g{i}") for i in range(len(labels))), F.lit(0.0))
     chi2 = F.lit(0.0)
     for i, g in enumerate(labels):
         expected = n * F.lit(weights[g] / total)
         chi2 = chi2 + ratio((F.col(f"__g{i}") - expected) * (F.col(f"__g{i}") - expected), expected)
     groups = F.lit(len(labels)).cast("bigint")
-    out = sizes.select(n.cast("bigint").alias("n"), groups.alias("groups"), chi2.alias("chi2"))
+    out = sizes.select(n.cast("bigint").alias("n"), groups.alias("groups"), "unplanned", chi2.alias("chi2"))
     return out.withColumn("p", stats.chi2_pvalue(F.col("chi2"), (F.col("groups") - 1).cast("double")))
 
 
 def one_row_per_user(df: DataFrame, user: str, group: str, cols: Sequence[str]) -> DataFrame:
-    """Fail the job if a user repeats, since tests take the user as the unit."""
-    merged = df.groupBy(user).agg(
+    """Fail the job if a user repeats, since tests take the user as the unit. Rows without a user are left out."""
+    merged = df.where(F.col(user).isNotNull()).groupBy(user).agg(
         F.count(F.lit(1)).alias("__n"), F.first(group).alias("__g"), *[F.first(c).alias(c) for c in cols]
     )
     message = F.concat(F.lit("user occurs more than once: "), F.col(user).cast("string"))
@@ -149,7 +181,7 @@ def _sides(df: DataFrame, group: str, cols: Sequence[str], a: object, b: object)
     long = long.unpivot(["__b"], cols, "metric", "__x")
     both = []
     for tag, inside in (("a", ~F.col("__b")), ("b", F.col("__b"))):
-        x = F.when(inside, F.col("__x"))
+        x = F.when(inside & ~F.isnan("__x"), F.col("__x"))
         both += [F.count(x).alias(f"n_{tag}"), F.avg(x).alias(f"mean_{tag}"), F.var_samp(x).alias(f"var_{tag}")]
     return long.groupBy("metric").agg(*both)
 
@@ -193,7 +225,7 @@ def welch(
     """Difference of means b - a without assuming equal variances.
 
     -> n_a, n_b, mean_a, mean_b, diff, t, df, p, ci_lo, ci_hi. `greater` asks whether b is greater
-    than a. NULL values are left out. With `user` given the job fails if a user occurs twice.
+    than a. NULL and NaN values are left out, with `user` also rows without one. With `user` given the job fails if a user occurs twice.
     """
     stats.check_alternative(alternative)
     rows = one_row_per_user(df, user, group, [x]) if user else df

@@ -6,15 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from growthkit.functions.columns import join_groups, names, period_of, ratio, to_long, with_share
+from growthkit.functions.columns import join_groups, names, period_of, ratio, salts_of, to_long, with_share
 from growthkit.functions.quantiles import distribution
 
 
-# Spark's default for the largest rank that it cuts before a shuffle.
-PUSHED_RANKS = 1000
-
-
 def group_share(df: DataFrame, dims: str | Sequence[str], within: str | Sequence[str] | None = None) -> DataFrame:
     """Rows per category and their share -> dims, n, share."""
     counted = df.groupBy(*names(dims)).agg(F.count(F.lit(1)).alias("n"))
@@ -40,9 +37,12 @@ def summarize(df: DataFrame, dims: str | Sequence[str], col: str, exact: bool =
 
 
 def avg_members(df: DataFrame, container: str | Sequence[str], member: str) -> DataFrame:
-    """Mean number of distinct members per container -> containers, avg_members."""
+    """Mean number of distinct members per container -> containers, avg_members.
+
+    Rows without a container are left out.
+    """
     container = names(container)
-    pairs = df.select(*container, member).distinct()
+    pairs = df.select(*container, member).dropna(subset=container).distinct()
     return (
         pairs.groupBy(*container)
         .agg(F.count(member).alias("members"))
@@ -72,18 +72,17 @@ def top_k(
 ) -> DataFrame:
     """The k rows with the highest metric, overall or per group, with their place in `rank`.
 
-    `tie` decides between equal values and should make the order total.
+    `tie` decides between equal values and should make the order total. Per group, each of many parts
+    of it (by row content) gives its k best rows, and the k best of those are the result, for any k.
     """
     order = [F.col(metric).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in names(tie)]]
     by = names(by)
     if by:
-        if k > PUSHED_RANKS:
-            # Spark does not cut large k ahead of the shuffle; the k best of a group are
-            # among the k best of its salted parts.
-            part = F.pmod(F.xxhash64(metric, *names(tie)), F.lit(64))
-            within_part = F.row_number().over(W.partitionBy(*by, "__part").orderBy(*order))
-            df = df.withColumn("__part", part).withColumn("__at", within_part)
-            df = df.where(F.col("__at") <= k).drop("__part", "__at")
+        content = [f.name for f in df.schema if not isinstance(f.dataType, T.MapType)]
+        part = F.pmod(F.xxhash64(*content, F.spark_partition_id()), F.lit(salts_of(df)))
+        within_part = F.row_number().over(W.partitionBy(*by, "__part").orderBy(*order))
+        df = df.withColumn("__part", part).withColumn("__at", within_part)
+        df = df.where(F.col("__at") <= k).drop("__part", "__at")
         place = F.row_number().over(W.partitionBy(*by).orderBy(*order))
         return df.withColumn("rank", place.cast("bigint")).where(F.col("rank") <= k)
     # Only k rows reach the window.
@@ -91,9 +90,15 @@ def top_k(
     return best.withColumn("rank", F.row_number().over(W.orderBy(*order)).cast("bigint"))
 
 
-def crosstab(df: DataFrame, row: str, col: str, values: Sequence[str]) -> DataFrame:
-    """Counts of row category by column category; `values` are the columns wanted."""
-    return df.groupBy(row).pivot(col, list(values)).agg(F.count(F.lit(1))).fillna(0, subset=list(values))
+def crosstab(df: DataFrame, row: str, col: str, values: Sequence[str], other: str = "other") -> DataFrame:
+    """Counts of row category by column category -> row, one column for each of `values`, other.
+
+    Rows whose column category is not listed, or unknown, are counted in `other`.
+    """
+    listed = F.coalesce(F.col(col).isin(list(values)), F.lit(False))
+    return df.groupBy(row).agg(
+        *[F.count_if(F.col(col) == v).alias(v) for v in values], F.count_if(~listed).alias(other)
+    )
 
 
 def outcome_by(df: DataFrame, trait: str | Sequence[str], outcome: str) -> DataFrame:
@@ -159,8 +164,10 @@ def plan_value(
 ) -> DataFrame:
     """Revenue per user and month by plan -> plan, month, users, revenue, per_user.
 
-    `plan` is a column of `df`, or of `users` when the plan is a user attribute.
+    `plan` is a column of `df`, or of `users` when the plan is a user attribute. Rows without a user are
+    left out: nobody's plan earned them.
     """
+    df = df.where(F.col(user).isNotNull())
     own = [F.col(plan).alias("plan")] if users is None else []
     rows = df.select(F.col(user).alias("user"), *own, period_of(ts, "month").alias("month"), F.col(revenue).alias("r"))
     per_user = rows.groupBy("user", "month", *(["plan"] if own else [])).agg(F.sum("r").alias("r"))

@@ -87,49 +87,73 @@ def retention(
     period: str = "month",
     max_age: int | None = None,
     complete_through: dt.date | None = None,
+    dims: str | Sequence[str] | None = None,
+    users: DataFrame | None = None,
 ) -> DataFrame:
-    """Users of a cohort active exactly `age` periods later -> cohort, age, size, active, rate.
+    """Users of a cohort active exactly `age` periods later -> dims, cohort, age, size, active, rate.
 
-    The cohort is the period of the first event in the whole log. `complete_through` is
-    a day in the last complete period, by default in the last one seen: observable cells with nobody
-    active are 0, cells after it are absent.
+    The cohort is the period of the first event in the whole log; `dims` are columns of `users`.
+    `complete_through` is a day in the last complete period, by default in the last one seen: observable cells
+    with nobody active are 0, cells after it are absent.
     """
-    activity = (
-        events.where(F.col(user).isNotNull()).select(user, period_of(ts, period).alias("period")).distinct()
-    )
+    dims = names(dims)
+    known = events.where(F.col(user).isNotNull() & F.col(ts).isNotNull())
+    activity = known.select(user, period_of(ts, period).alias("period")).distinct()
     # A user has at most one row per period here, so this window stays small.
     cohort = F.min("period").over(W.partitionBy(user))
+    dated = with_users(activity.withColumn("cohort", cohort), users, user, dims)
     cells = (
-        activity.withColumn("cohort", cohort)
-        .groupBy("cohort", "period")
+        dated.groupBy(*dims, "cohort", "period")
         .agg(F.count(F.lit(1)).alias("active"))
         .withColumn("age", period_age(F.col("cohort"), F.col("period"), period))
     )
     if complete_through is None:
-        end = F.max("period").over(W.partitionBy())
+        end = known.agg(F.max(period_of(ts, period)).alias("end")).scalar()
     else:
         end = period_of(F.lit(complete_through), period)
-    size = F.max(F.when(F.col("age") == 0, F.col("active"))).over(W.partitionBy("cohort"))
-    cells = cells.select("cohort", "period", "age", "active", size.alias("size"), end.alias("__end"))
-    last = F.max(period_age(F.col("cohort"), F.col("__end"), period))
+    size = F.max(F.when(F.col("age") == 0, F.col("active"))).over(W.partitionBy(*dims, "cohort"))
+    cells = cells.select(*dims, "cohort", "period", "age", "active", size.alias("size"))
+    last = period_age(F.col("cohort"), end, period)
     if max_age is not None:
         last = F.least(last, F.lit(max_age).cast("bigint"))
-    grid = dense_ages(cells, ["cohort"], "age", "active", last, carry=["size"])
-    return grid.select("cohort", "age", "size", "active", ratio(F.col("active"), F.col("size")).alias("rate"))
+    grid = dense_ages(cells.withColumn("__end", last), [*dims, "cohort"], "age", "active", F.max("__end"), carry=["size"])
+    return grid.select(*dims, "cohort", "age", "size", "active", ratio(F.col("active"), F.col("size")).alias("rate"))
 
 
-def avg_progress(events: DataFrame, session: str | Sequence[str], done: str, total: int | str) -> DataFrame:
-    """Mean over sessions of the share of levels completed -> sessions, avg_progress.
+def _by_period(df: DataFrame, ts: str | None, period: str, dims: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """`df` with the column `period` of `ts`, if one is given, and the columns that results are grouped by."""
+    if ts is None:
+        return df, list(dims)
+    return df.where(F.col(ts).isNotNull()).withColumn("period", period_of(ts, period)), ["period", *dims]
+
+
+def avg_progress(
+    events: DataFrame,
+    session: str | Sequence[str],
+    done: str,
+    total: int | str,
+    ts: str | None = None,
+    period: str = "month",
+    dims: str | Sequence[str] | None = None,
+) -> DataFrame:
+    """Mean over sessions of the share of levels completed -> period, dims, sessions, avg_progress.
 
     `done` holds the completed level or NULL; `total` is a number or a column that is
-    constant within a session. Each session weighs the same.
+    constant within a session. Each session weighs the same. With `ts` a session counts in the period it
+    starts in; `dims` are columns that are constant within a session. Events without a session are left out.
     """
-    session = names(session)
+    session, dims = names(session), names(dims)
     whole = [total] if isinstance(total, str) else []
-    per_level = events.groupBy(*session, done).agg(*[F.max(c).alias(c) for c in whole], F.count(F.lit(1)).alias("__n"))
+    known = events.dropna(subset=session)
+    start = [F.min(ts).alias("__ts")] if ts else []
+    per_level = known.groupBy(*session, *dims, done).agg(
+        *[F.max(c).alias(c) for c in whole], *start, F.count(F.lit(1)).alias("__n")
+    )
     total_of = F.max(total) if whole else F.lit(total)
-    share = per_level.groupBy(*session).agg(ratio(F.count(done), total_of).alias("__share"))
-    return share.agg(F.count(F.lit(1)).alias("sessions"), F.avg("__share").alias("avg_progress"))
+    start = [F.min("__ts").alias("__ts")] if ts else []
+    share = per_level.groupBy(*session, *dims).agg(ratio(F.count(done), total_of).alias("__share"), *start)
+    share, group = _by_period(share, "__ts" if ts else None, period, dims)
+    return share.groupBy(*group).agg(F.count(F.lit(1)).alias("sessions"), F.avg("__share").alias("avg_progress"))
 
 
 def revenue_per_user(
@@ -180,23 +204,59 @@ def arpau(
     return out.select("period", *names(dims), "active", "revenue", "arpau")
 
 
-def share_over(events: DataFrame, user: str, counts: Column, k: int) -> DataFrame:
-    """Share of users with strictly more than `k` rows that meet `counts` -> users, over, share."""
-    per_user = (
-        events.where(F.col(user).isNotNull()).groupBy(user).agg(F.count_if(counts).alias("__n"))
+def share_over(
+    events: DataFrame,
+    user: str,
+    counts: Column,
+    k: int,
+    ts: str | None = None,
+    period: str = "month",
+    dims: str | Sequence[str] | None = None,
+    users: DataFrame | None = None,
+) -> DataFrame:
+    """Share of users with strictly more than `k` rows that meet `counts` -> period, dims, users, over, share.
+
+    With `ts` rows are counted within each period. `dims` are columns of `users`, or of the events.
+    """
+    dims = names(dims)
+    rows = events.where(F.col(user).isNotNull()).withColumn("__counts", counts)
+    rows, keys = _by_period(rows, ts, period, _own(dims, users))
+    per_user = rows.groupBy(*keys, user).agg(F.count_if("__counts").alias("__n"))
+    group = (["period"] if ts else []) + dims
+    return (
+        with_users(per_user, users, user, dims)
+        .groupBy(*group)
+        .agg(F.count(F.lit(1)).alias("users"), F.count_if(F.col("__n") > k).alias("over"))
+        .withColumn("share", ratio(F.col("over"), F.col("users")))
     )
-    return per_user.agg(
-        F.count(F.lit(1)).alias("users"), F.count_if(F.col("__n") > k).alias("over")
-    ).withColumn("share", ratio(F.col("over"), F.col("users")))
 
 
-def basket(lines: DataFrame, order: str | Sequence[str], amount: str) -> DataFrame:
-    """Orders with at least one line -> orders, avg_check, avg_items, avg_item_price."""
-    per_order = lines.groupBy(*names(order)).agg(F.sum(amount).alias("__amount"), F.count(F.lit(1)).alias("__items"))
-    total = per_order.agg(
+def basket(
+    lines: DataFrame,
+    order: str | Sequence[str],
+    amount: str,
+    orders: DataFrame | None = None,
+    ts: str | None = None,
+    period: str = "month",
+    dims: str | Sequence[str] | None = None,
+) -> DataFrame:
+    """Orders with at least one line -> period, dims, orders, avg_check, avg_items, avg_item_price.
+
+    `ts` and `dims` are columns of `orders`, one row per order, which lines reduced per order are joined to; with
+    them, an order missing there is left out of periods and gets NULL dims. Lines without an order are left out.
+    """
+    order, dims = names(order), names(dims)
+    per_order = lines.dropna(subset=order).groupBy(*order).agg(
+        F.sum(amount).alias("__amount"), F.count(F.lit(1)).alias("__items")
+    )
+    if orders is not None:
+        per_order = per_order.join(orders.select(*order, *([ts] if ts else []), *dims), order, "left")
+    per_order, group = _by_period(per_order, ts, period, dims)
+    total = per_order.groupBy(*group).agg(
         F.count(F.lit(1)).alias("orders"), F.sum("__amount").alias("__amount"), F.sum("__items").alias("__items")
     )
     return total.select(
+        *group,
         "orders",
         ratio(F.col("__amount"), F.col("orders")).alias("avg_check"),
         ratio(F.col("__items"), F.col("orders")).alias("avg_items"),

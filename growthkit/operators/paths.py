@@ -33,13 +33,13 @@ def funnel_matches(
     Time is cut into slices. Inside a slice every step row learns how the path would go
     on from it to the end of the slice; a slice is thereby reduced to one path per
     step it could be entered at, and a key's slices are then chained in time order.
-    No task has to hold all events of one key.
+    No task has to hold all events of one key. Events without a key or a time are left out.
     """
     steps, key = list(steps), names(key)
     if not steps or len(set(steps)) != len(steps):
         raise ValueError("steps must be a non-empty list without repeats")
     step = F.array_position(F.array(*[F.lit(s) for s in steps]), F.col(event)).cast("int")
-    rows = events.where(F.col(event).isin(steps) & F.col(ts).isNotNull()).select(
+    rows = events.dropna(subset=key).where(F.col(event).isin(steps) & F.col(ts).isNotNull()).select(
         *key, F.date_trunc(grain, ts).alias("__slice"), _micros(ts).alias("__t"), step.alias("__step")
     )
     # Descending order: the rows strictly later than the current one come before it.
@@ -126,8 +126,11 @@ def transitions(
     order: str | Sequence[str],
     grain: str = "hour",
 ) -> DataFrame:
-    """Step-to-step moves of users -> from, to, n, share. `share` is within `from`."""
-    rows = events.where(F.col(user).isNotNull()).select(user, ts, *names(order), event)
+    """Step-to-step moves of users -> from, to, n, share. `share` is within `from`.
+
+    Events without a user or a time are left out.
+    """
+    rows = events.where(F.col(user).isNotNull() & F.col(ts).isNotNull()).select(user, ts, *names(order), event)
     moves = with_neighbour(rows, user, ts, order, event, grain=grain, name="__next").where(
         F.col("__next").isNotNull()
     )
@@ -166,10 +169,10 @@ def sessions(
 ) -> DataFrame:
     """Sessions from raw events -> user, session_no, started, ended, n_events, seconds.
 
-    A pause longer than `gap` starts a new session.
+    A pause longer than `gap` starts a new session. Events without a user or a time are left out.
     """
     user = names(user)
-    local = _local_sessions(events.select(*user, ts).where(F.col(ts).isNotNull()), user, ts, gap, grain)
+    local = _local_sessions(events.select(*user, ts).dropna(subset=[*user, ts]), user, ts, gap, grain)
     merged = _merge(local, user, gap)
     kind = events.schema[ts].dataType
     return merged.groupBy(*user, "session_no").agg(
@@ -185,16 +188,16 @@ def sessionize(
 ) -> DataFrame:
     """The events with their `session_no`; user and number together identify a session.
 
-    An event without a time has no session (NULL).
+    An event without a user or a time has no session (NULL).
     """
     user = names(user)
     local = _local_sessions(events, user, ts, gap, grain)
-    numbered = _merge(local.where(F.col(ts).isNotNull()), user, gap).select(
+    numbered = _merge(local.dropna(subset=[*user, ts]), user, gap).select(
         *[F.col(c).alias(f"__u_{c}") for c in user],
         F.col("__slice").alias("__s"),
         F.col("__local").alias("__l"),
         "session_no",
     )
-    same = [F.col(c).eqNullSafe(F.col(f"__u_{c}")) for c in user]
+    same = [F.col(c) == F.col(f"__u_{c}") for c in user]
     same += [F.col("__slice") == F.col("__s"), F.col("__local") == F.col("__l")]
     return local.join(numbered, same, "left").select(*events.columns, "session_no")

@@ -95,7 +95,7 @@ def band(
 ) -> DataFrame:
     """Label of the band (left open, right closed) that holds the value.
 
-    `n` edges make `n + 1` bands, the outer ones unbounded. NULL gets `none_label`.
+    `n` edges, in rising order, make `n + 1` bands, the outer ones unbounded. NULL and NaN get `none_label`.
     """
     return df.withColumn(name or f"{col}_band", band_of(F.col(col), edges, labels, none_label))
 
@@ -103,15 +103,17 @@ def band(
 def band_of(
     value: Column, edges: Sequence[float], labels: Sequence[str] | None = None, none_label: str = "None"
 ) -> Column:
-    edges = sorted(edges)
+    edges = list(edges)
     if not edges:
         raise ValueError("at least one edge is needed")
+    if any(low >= high for low, high in zip(edges, edges[1:])):
+        raise ValueError(f"edges must rise, got {edges}")
     if labels is None:
         middle = [f"({low}, {high}]" for low, high in zip(edges, edges[1:])]
         labels = [f"<={edges[0]}", *middle, f">{edges[-1]}"]
     if len(labels) != len(edges) + 1:
         raise ValueError(f"{len(edges)} edges need {len(edges) + 1} labels, got {len(labels)}")
-    out = F.when(value.isNull(), F.lit(none_label))
+    out = F.when(value.isNull() | F.isnan(value.cast("double")), F.lit(none_label))
     for edge, label in zip(edges, labels):
         out = out.when(value <= F.lit(edge), F.lit(label))
     return out.otherwise(F.lit(labels[-1]))
@@ -140,15 +142,16 @@ def enrich(
 ) -> DataFrame:
     """Add a second table's columns to each row.
 
-    With `check` the key of `right` is verified first, which runs a Spark job: a
-    repeated key would multiply rows of `left`.
+    With `check` the job fails if a key of `right` repeats, since that would multiply rows of `left`.
+    Keys with a NULL never join, so they may repeat.
     """
     on = names(on)
-    if check:
-        surplus = duplicates(right, on).first()["surplus"]
-        if surplus:
-            raise ValueError(f"{on} is not a key of the right table: {surplus} surplus rows")
-    return left.join(right, on, how)
+    out = left.join(right, on, how)
+    if not check:
+        return out
+    surplus = duplicates(right.dropna(subset=on), on).select("surplus").scalar()
+    message = F.concat(F.lit(f"{on} is not a key of the right table, surplus rows: "), surplus.cast("string"))
+    return out.where(F.when(surplus > 0, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
 
 
 def flag_exists(df: DataFrame, other: DataFrame, on: str | Sequence[str], name: str) -> DataFrame:

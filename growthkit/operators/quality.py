@@ -23,8 +23,10 @@ def profile(df: DataFrame, cols: str | Sequence[str] | None = None, exact: bool
             for c in cols
         ]
         return df.agg(*stats).unpivot([], cols, "col", "s").select("col", "s.*")
-    # One pass for all columns: counting equal values first keeps hot values cheap.
-    text = df.select(*[F.col(c).cast("string").alias(c) for c in cols])
+    # One pass for all columns: counting equal values first keeps hot values cheap. Adding 0.0 makes one
+    # value of 0.0 and -0.0.
+    real = {c for c, kind in df.dtypes if kind in ("double", "float")}
+    text = df.select(*[(F.col(c) + F.lit(0.0) if c in real else F.col(c)).cast("string").alias(c) for c in cols])
     values = text.unpivot([], cols, "col", "val").groupBy("col", "val").agg(F.count(F.lit(1)).alias("n"))
     return values.groupBy("col").agg(
         F.sum("n").alias("n"),

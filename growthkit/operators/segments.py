@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import warnings
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from functools import reduce
@@ -68,6 +69,28 @@ def rfm_summary(scores: DataFrame) -> DataFrame:
     )
 
 
+def rfm_segments(scores: DataFrame, bins: int = 5) -> DataFrame:
+    """`rfm` scores with `segment`, one name for each row by the first rule that fits.
+
+    high means a score among the upper two fifths, low among the lower two: `champions` are high in all
+    three; `loyal` are high in recency and frequency; `big spenders` high in recency and money; `new` are high in
+    recency and low in frequency; `at risk` are low in recency and high in frequency or money; `lost` are low
+    in recency and frequency; all others are `regular`.
+    """
+    high = {c: F.col(c) * 5 > 3 * bins for c in "rfm"}
+    low = {c: F.col(c) * 5 <= 2 * bins for c in "rfm"}
+    name = (
+        F.when(high["r"] & high["f"] & high["m"], "champions")
+        .when(high["r"] & high["f"], "loyal")
+        .when(high["r"] & high["m"], "big spenders")
+        .when(high["r"] & low["f"], "new")
+        .when(low["r"] & (high["f"] | high["m"]), "at risk")
+        .when(low["r"] & low["f"], "lost")
+        .otherwise("regular")
+    )
+    return scores.withColumn("segment", name)
+
+
 Centres = list[tuple[float, ...]]
 
 
@@ -137,15 +160,23 @@ def _starts(
 def _fit(
     points: DataFrame, features: Sequence[str], starts: list[Centres], max_iter: int, tol: float
 ) -> list[tuple[Centres, float]]:
-    """Lloyd's iterations for several starts at once -> (centres, cost) for each.
+    """(centres, cost) of `_lloyd` for each start."""
+    return [(centres, cost) for centres, cost, _ in _lloyd(points, features, starts, max_iter, tol)]
+
+
+def _lloyd(
+    points: DataFrame, features: Sequence[str], starts: list[Centres], max_iter: int, tol: float
+) -> list[tuple[Centres, float, bool]]:
+    """Lloyd's iterations for several starts at once -> (centres, cost, converged) for each.
 
-    One pass over the points serves all starts; only sums per cluster come back to the driver.
+    One pass over the points serves all starts; only sums per cluster come back to the driver. The cost is that
+    of the centres returned: a start that still moves after `max_iter` passes is scored in one more.
     """
     models = [list(start) for start in starts]
     costs = [math.inf] * len(models)
     moving = list(range(len(models)))
     sums_of = [F.sum("__at.near.dist").alias("cost"), *[F.avg(c).alias(f"c_{c}") for c in features]]
-    for _ in range(max_iter):
+    for turn in range(max_iter + 1):
         near = ", ".join(f"named_struct('model', {m}, 'near', {_nearest(features, models[m])})" for m in moving)
         sums = (
             points.select(*features, F.expr(f"explode(array({near})) AS __at"))
@@ -157,16 +188,19 @@ def _fit(
         for m in moving:
             rows = [row for row in sums if row["model"] == m]
             costs[m] = sum(row["cost"] for row in rows)
+            if turn == max_iter:
+                continue
             moved = list(models[m])
             for row in rows:
                 moved[row["cluster"]] = tuple(row[f"c_{c}"] for c in features)
             if max(math.dist(old, new) for old, new in zip(models[m], moved)) > tol:
                 still.append(m)
             models[m] = moved
-        moving = still
+        if turn < max_iter:
+            moving = still
         if not moving:
             break
-    return list(zip(models, costs))
+    return [(model, cost, m not in moving) for m, (model, cost) in enumerate(zip(models, costs))]
 
 
 def _seed_list(seeds: int | Sequence[int]) -> list[int]:
@@ -187,12 +221,16 @@ def kmeans(
 
     Starting points depend on ids and seeds alone, which makes the result independent of
     partitioning; the start with the lowest cost wins and clusters are numbered by
-    their centres. Rows with an unknown feature get a NULL cluster.
+    their centres. Rows with an unknown feature get a NULL cluster. A best start that still moved after
+    `max_iter` passes is warned of.
     """
     features = names(features)
     with _scaled(df, ident, features, scale) as (rows, points):
         starts = _starts(points, ident, features, k, _seed_list(seeds))
-        centres, _ = min(_fit(points, features, list(starts.values()), max_iter, tol), key=lambda fit: fit[1])
+        fits = _lloyd(points, features, list(starts.values()), max_iter, tol)
+        centres, _, converged = min(fits, key=lambda fit: fit[1])
+    if not converged:
+        warnings.warn(f"no convergence after {max_iter} passes", RuntimeWarning, stacklevel=2)
     return rows.select(ident, _label(features, sorted(centres)).alias("cluster"))
 
 
@@ -206,7 +244,7 @@ def choose_k(
     max_iter: int = 100,
     tol: float = 1e-4,
 ) -> DataFrame:
-    """Cost and silhouette for several k -> k, cost, silhouette. Runs Spark jobs when called."""
+    """Cost and silhouette for several k -> k, cost, silhouette, converged. Runs Spark jobs when called."""
     features, seeds = names(features), _seed_list(seeds)
     evaluator = ClusteringEvaluator(featuresCol="__v", predictionCol="cluster")
     vectors = VectorAssembler(inputCols=features, outputCol="__v")
@@ -214,12 +252,13 @@ def choose_k(
     with _scaled(df, ident, features, scale) as (_, points):
         starts = _starts(points, ident, features, max(ks), seeds)
         wanted = [(k, seed) for k in ks for seed in seeds]
-        fits = _fit(points, features, [starts[seed][:k] for k, seed in wanted], max_iter, tol)
+        fits = _lloyd(points, features, [starts[seed][:k] for k, seed in wanted], max_iter, tol)
         for k in ks:
-            centres, cost = min((fit for (kk, _), fit in zip(wanted, fits) if kk == k), key=lambda fit: fit[1])
+            centres, cost, converged = min((fit for (kk, _), fit in zip(wanted, fits) if kk == k), key=lambda fit: fit[1])
             labelled = points.withColumn("cluster", _label(features, centres).cast("int"))
-            lines.append((k, cost, evaluator.evaluate(vectors.transform(labelled)) if k > 1 else None))
-    return df.sparkSession.createDataFrame(lines, "k bigint, cost double, silhouette double")
+            silhouette = evaluator.evaluate(vectors.transform(labelled)) if k > 1 else None
+            lines.append((k, cost, silhouette, converged))
+    return df.sparkSession.createDataFrame(lines, "k bigint, cost double, silhouette double, converged boolean")
 
 
 def cluster_profile(df: DataFrame, cluster: str, features: str | Sequence[str]) -> DataFrame:

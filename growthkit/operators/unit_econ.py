@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from growthkit.functions.columns import join_groups, names, ratio
+from growthkit.functions.columns import join_groups, names, period_end, period_of, ratio
 from growthkit.operators.metrics import dense_ages, revenue_per_user, trend, with_users
 
 
@@ -59,67 +59,81 @@ def ltv_curve(
     dim: str | Sequence[str] | None = None,
     max_age: int = 28,
     observed_through: dt.date | None = None,
+    cohort: str | None = None,
 ) -> DataFrame:
-    """Cumulative revenue per acquired user by age -> dim, age, users, revenue, ltv.
+    """Cumulative revenue per acquired user by age -> dim, cohort, age, users, revenue, ltv, acquired.
 
     Ages run from 0 to max_age-1. Users whose last of these days lies after `observed_through` (by
     default the last day in the log) do not take part: their curve is not finished. Revenue is
-    divided by all users acquired, paying or not.
+    divided by all users that take part, paying or not; `acquired` counts those left out too. With `cohort`, a
+    period, results are also by the period of the first event, and only whole cohorts take part.
     """
     dim = names(dim)
     if observed_through is None:
         end = events.agg(F.max(F.to_date(ts)).alias("end")).scalar()
     else:
         end = F.lit(observed_through)
-    daily = daily_revenue(events, user, ts, revenue).where(
-        (F.date_add("first_day", max_age - 1) <= end) & (F.col("age") < max_age)
-    )
-    keyed, group = with_users(daily, users, user, dim), dim
+    daily = daily_revenue(events, user, ts, revenue).where(F.col("age") < max_age)
+    keyed = with_users(daily, users, user, dim)
+    last_start = F.col("first_day")
+    if cohort:
+        keyed = keyed.withColumn("cohort", period_of("first_day", cohort))
+        dim = [*dim, "cohort"]
+        last_start = F.date_sub(period_end(F.col("cohort"), cohort), 1)
+    keyed = keyed.withColumn("__done", F.date_add(last_start, max_age - 1) <= end)
+    group = dim
     if not dim:
-        keyed, group = daily.withColumn("__all", F.lit(1)), ["__all"]
+        keyed, group = keyed.withColumn("__all", F.lit(1)), ["__all"]
+    first = F.col("age") == 0
     cells = keyed.groupBy(*group, "age").agg(
-        F.sum("revenue").alias("revenue"), F.count_if(F.col("age") == 0).alias("users")
+        F.sum(F.when(F.col("__done"), F.col("revenue")).otherwise(F.lit(0.0))).alias("revenue"),
+        F.count_if(first & F.col("__done")).alias("users"),
+        F.count_if(first).alias("acquired"),
     )
     grid = dense_ages(
-        cells, group, "age", "revenue", F.lit(max_age - 1).cast("bigint"), carry=["users"]
-    )
+        cells, group, "age", "revenue", F.lit(max_age - 1).cast("bigint"), carry=["users", "acquired"]
+    ).where(F.col("users") > 0)
     so_far = W.partitionBy(*group).orderBy("age").rowsBetween(W.unboundedPreceding, W.currentRow)
     out = grid.withColumn("revenue", F.sum("revenue").over(so_far))
-    return out.select(*dim, "age", "users", "revenue", ratio(F.col("revenue"), F.col("users")).alias("ltv"))
+    ltv = ratio(F.col("revenue"), F.col("users")).alias("ltv")
+    return out.select(*dim, "age", "users", "revenue", ltv, "acquired")
 
 
-def cac(users: DataFrame, costs: DataFrame, dim: str, cost: str = "cost") -> DataFrame:
+def cac(users: DataFrame, costs: DataFrame, dim: str | Sequence[str], cost: str = "cost") -> DataFrame:
     """Spend per acquired user by source -> dim, users, cost, cac.
 
     `users` has one row per acquired user. A source with spend and no users, or users and no spend,
-    stays in the result with NULL for CAC.
+    stays in the result with NULL for CAC. `dim` may be several columns, a cohort among them.
     """
-    acquired = users.groupBy(dim).agg(F.count(F.lit(1)).alias("users"))
-    spend = costs.groupBy(F.col(dim)).agg(F.sum(cost).cast("double").alias("cost"))
+    dim = names(dim)
+    acquired = users.groupBy(*dim).agg(F.count(F.lit(1)).alias("users"))
+    spend = costs.groupBy(*dim).agg(F.sum(cost).cast("double").alias("cost"))
     both = acquired.join(spend, dim, "full")
     return both.select(
-        dim,
+        *dim,
         F.coalesce("users", F.lit(0)).alias("users"),
         "cost",
         ratio(F.col("cost"), F.col("users")).alias("cac"),
     )
 
 
-def roi_curve(ltv: DataFrame, costs: DataFrame, dim: str, cost: str = "cost") -> DataFrame:
+def roi_curve(ltv: DataFrame, costs: DataFrame, dim: str | Sequence[str], cost: str = "cost") -> DataFrame:
     """(LTV - CAC) / CAC by age -> dim, age, users, ltv, cac, roi.
 
-    CAC divides the source's spend by the same users that the LTV is taken over.
+    CAC divides the spend by all users it acquired, also those too young for the LTV (`acquired` of
+    `ltv_curve`). Where spend is dated, name the cohort among `dim`, so that each cohort meets its own spend.
     """
-    spend = costs.groupBy(dim).agg(F.sum(cost).cast("double").alias("__cost"))
-    with_cac = join_groups(ltv, spend, [dim]).withColumn("cac", ratio(F.col("__cost"), F.col("users")))
+    dim = names(dim)
+    spend = costs.groupBy(*dim).agg(F.sum(cost).cast("double").alias("__cost"))
+    with_cac = join_groups(ltv, spend, dim).withColumn("cac", ratio(F.col("__cost"), F.col("acquired")))
     return with_cac.select(
-        dim, "age", "users", "ltv", "cac", ratio(F.col("ltv") - F.col("cac"), F.col("cac")).alias("roi")
+        *dim, "age", "users", "ltv", "cac", ratio(F.col("ltv") - F.col("cac"), F.col("cac")).alias("roi")
     )
 
 
-def payback(roi: DataFrame, dim: str) -> DataFrame:
+def payback(roi: DataFrame, dim: str | Sequence[str]) -> DataFrame:
     """First age with ROI of at least 0 per source -> dim, payback_age, paid_back, last_roi."""
-    return roi.groupBy(dim).agg(
+    return roi.groupBy(*names(dim)).agg(
         F.min(F.when(F.col("roi") >= 0, F.col("age"))).alias("payback_age"),
         F.coalesce(F.max(F.col("roi") >= 0), F.lit(False)).alias("paid_back"),
         F.max_by("roi", "age").alias("last_roi"),

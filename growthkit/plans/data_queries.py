@@ -33,7 +33,9 @@ ORDERS_SCHEMA = T.StructType(
 )
 def src_csv(spark, sf_dir):
     path = scratch_path(spark, "orders-csv")
-    table(spark, sf_dir, "orders").write.option("header", True).csv(path)
+    # The file's columns stand in another order than the schema's: they are read by name.
+    orders = table(spark, sf_dir, "orders")
+    orders.select(*reversed(ORDERS_SCHEMA.names)).write.option("header", True).csv(path)
     return rounded(
         read_csv(spark, path, ORDERS_SCHEMA)
         .groupBy("o_orderstatus")

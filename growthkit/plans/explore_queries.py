@@ -125,7 +125,7 @@ PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
     "eda_crosstab",
     "SELECT o_orderstatus, "
     + ", ".join(f"count(*) FILTER (o_orderpriority = '{p}') AS \"{p}\"" for p in PRIORITIES)
-    + " FROM orders GROUP BY o_orderstatus",
+    + ", CAST(0 AS BIGINT) AS other FROM orders GROUP BY o_orderstatus",
 )
 def eda_crosstab(spark, sf_dir):
     return explore.crosstab(table(spark, sf_dir, "orders"), "o_orderstatus", "o_orderpriority", PRIORITIES)
@@ -289,8 +289,8 @@ PLATFORMS = ["automobile", "building", "furniture", "household", "machinery"]
 
 @query(
     "re_crosstab",
-    f"""SELECT place, {", ".join(f"count(*) FILTER (platform = '{p.upper()}') AS {p}" for p in PLATFORMS)}
- FROM orders JOIN {USERS_SQL} AS u ON user_id = o_custkey GROUP BY place""",
+    f"""SELECT place, {", ".join(f"count(*) FILTER (platform = '{p.upper()}') AS {p}" for p in PLATFORMS)},
+ CAST(0 AS BIGINT) AS other FROM orders JOIN {USERS_SQL} AS u ON user_id = o_custkey GROUP BY place""",
 )
 def re_crosstab(spark, sf_dir):
     rows = listing_rows(spark, sf_dir).withColumn("platform", F.lower("platform"))

@@ -116,7 +116,8 @@ def seg_kmeans(spark, sf_dir):
  ab AS (SELECT k, id, max(CASE WHEN n > 1 THEN dist * n / (n - 1) END) FILTER (own) AS a,
   min(dist) FILTER (NOT own) AS b FROM away GROUP BY k, id),
  sil AS (SELECT k, avg(coalesce((b - a) / greatest(a, b), 0)) AS silhouette FROM ab GROUP BY k)
- SELECT CAST(k AS BIGINT) AS k, round(cost + 1e-9, 4) AS cost, round(silhouette + 1e-9, 4) AS silhouette
+ SELECT CAST(k AS BIGINT) AS k, round(cost + 1e-9, 4) AS cost, round(silhouette + 1e-9, 4) AS silhouette,
+ true AS converged
  FROM (SELECT k, sum(dist) AS cost FROM near GROUP BY k) AS c JOIN sil USING (k)""",
 )
 def seg_choose_k(spark, sf_dir):
@@ -183,26 +184,44 @@ Z_DESIGN = NormalDist().inv_cdf(0.975) + NormalDist().inv_cdf(0.8)
 DESIGN_MDE = 0.02
 
 
+def design_sql(log: str) -> str:
+    """Every length of a test with its users counted from scratch, and the shortest that is long enough."""
+    return f"""WITH l AS ({log}), d AS (SELECT DISTINCT day FROM l), s AS (SELECT min(day) AS s FROM l),
+ b AS (SELECT day, u, max(ok) AS ok FROM (SELECT d.day, l.u, l.ok FROM d JOIN l ON l.day <= d.day) AS x GROUP BY 1, 2),
+ r AS (SELECT day, count(*) AS reach, avg(CAST(ok AS INTEGER)) AS p FROM b GROUP BY day),
+ n AS (SELECT date_diff('day', s, day) + 1 AS days, reach, p,
+  CASE WHEN p > 0 AND p + {DESIGN_MDE} < 1 THEN ceil({Z_DESIGN * Z_DESIGN / (DESIGN_MDE * DESIGN_MDE)!r}
+   * (p * (1 - p) + (p + {DESIGN_MDE}) * (1 - p - {DESIGN_MDE}))) END AS n FROM r, s),
+ pick AS (SELECT p, n, CASE WHEN reach >= 2 * n THEN days END AS days FROM n
+  ORDER BY coalesce(reach >= 2 * n, false) DESC, CASE WHEN reach >= 2 * n THEN days ELSE -days END LIMIT 1)
+ SELECT round(p + 1e-9, 4) AS baseline, (SELECT round(avg(c) + 1e-9, 4) FROM
+  (SELECT count(DISTINCT u) AS c FROM l GROUP BY day) AS x) AS daily_users,
+ CAST(n AS BIGINT) AS n_per_group, CAST(days AS BIGINT) AS days FROM pick"""
+
+
 @query(
     "ab_design",
-    f"""WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, o_custkey AS u, max(o_totalprice) > 400000 AS ok FROM orders
-  GROUP BY 1, 2),
- t AS (SELECT avg(n) AS daily_users FROM (SELECT count(*) AS n FROM d GROUP BY day) AS x),
- b AS (SELECT avg(CAST(ok AS INTEGER)) AS p FROM (SELECT u, max(ok) AS ok FROM d GROUP BY u) AS x),
- n AS (SELECT p, daily_users, ceil({Z_DESIGN * Z_DESIGN / (DESIGN_MDE * DESIGN_MDE)!r}
-  * (p * (1 - p) + (p + {DESIGN_MDE}) * (1 - p - {DESIGN_MDE}))) AS n FROM t, b)
- SELECT round(p + 1e-9, 4) AS baseline, round(daily_users + 1e-9, 4) AS daily_users, CAST(n AS BIGINT) AS n_per_group,
- CAST(ceil(n * 2 / daily_users) AS BIGINT) AS days FROM n""",
+    design_sql("SELECT CAST(o_orderdate AS DATE) AS day, o_custkey AS u, o_totalprice > 400000 AS ok FROM orders"),
 )
 def ab_design(spark, sf_dir):
     daily = order_log(spark, sf_dir).withColumn("big", F.col("amount") > 400000)
     return rounded(experiments.ab_design(daily, "user_id", "ts", "big", DESIGN_MDE))
 
 
+@query(
+    "ab_design_unreachable",
+    design_sql("SELECT CAST(ts AS DATE) AS day, user_id AS u, event_type = 'purchase' AND value > 160 AS ok FROM events"),
+)
+def ab_design_unreachable(spark, sf_dir):
+    # The log holds far fewer users than the test needs, so there is no number of days.
+    daily = event_log(spark, sf_dir).withColumn("ok", (F.col("event_type") == "purchase") & (F.col("value") > 160))
+    return rounded(experiments.ab_design(daily, "user_id", "ts", "ok", DESIGN_MDE))
+
+
 @query(
     "ab_assign",
-    """SELECT c_custkey, CASE WHEN slot < 5000 THEN 'control' WHEN slot < 8000 THEN 'b' ELSE 'c' END AS "group" FROM
- (SELECT c_custkey, CAST('0x' || substr(md5('spring:' || CAST(c_custkey AS VARCHAR)), 1, 12) AS BIGINT) % 10000 AS slot
+    """SELECT c_custkey, CASE WHEN place < 0.5 THEN 'control' WHEN place < 0.8 THEN 'b' ELSE 'c' END AS "group" FROM
+ (SELECT c_custkey, CAST('0x' || substr(md5('spring:' || CAST(c_custkey AS VARCHAR)), 1, 12) AS BIGINT) / pow(2, 48) AS place
  FROM customer) AS s""",
 )
 def ab_assign(spark, sf_dir):
@@ -245,7 +264,7 @@ def ab_prepare_sessions(spark, sf_dir):
 @query(
     "ab_history",
     """WITH g AS (SELECT c_custkey AS u, CASE WHEN
-  CAST('0x' || substr(md5('spring:' || CAST(c_custkey AS VARCHAR)), 1, 12) AS BIGINT) % 10000 < 5000
+  CAST('0x' || substr(md5('spring:' || CAST(c_custkey AS VARCHAR)), 1, 12) AS BIGINT) < pow(2, 47)
   THEN 'a' ELSE 'b' END AS grp FROM customer)
  SELECT CAST(date_trunc('quarter', o_orderdate) AS DATE) AS period, grp, count(DISTINCT o_custkey) AS active,
  round(sum(o_totalprice) + 1e-9, 2) AS revenue, round(sum(o_totalprice) / count(DISTINCT o_custkey) + 1e-9, 2) AS arpau
@@ -275,7 +294,7 @@ SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
     f"""WITH c AS (SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY c_mktsegment),
  x AS (SELECT CAST(sum(n) AS BIGINT) AS n, sum((n - t / 5) * (n - t / 5) / (t / 5)) AS chi2
   FROM (SELECT n, sum(n) OVER () AS t FROM c) AS y)
- SELECT n, CAST(5 AS BIGINT) AS groups, round(chi2 + 1e-9, 6) AS chi2,
+ SELECT n, CAST(5 AS BIGINT) AS groups, CAST(0 AS BIGINT) AS unplanned, round(chi2 + 1e-9, 6) AS chi2,
  round({chi2_sf_sql("chi2", "4.0")} + 1e-9, 6) AS p FROM x""",
 )
 def ab_srm(spark, sf_dir):
@@ -287,7 +306,8 @@ def ab_srm(spark, sf_dir):
     "ab_srm_pair",
     f"""WITH x AS (SELECT count(*) AS n, pow(count(*) FILTER (c_mktsegment = 'AUTOMOBILE') - count(*) / 2, 2)
   / (count(*) / 2) * 2 AS chi2 FROM customer WHERE c_mktsegment IN ('AUTOMOBILE', 'BUILDING'))
- SELECT n, CAST(2 AS BIGINT) AS groups, round(chi2 + 1e-9, 6) AS chi2,
+ SELECT n, CAST(2 AS BIGINT) AS groups,
+ (SELECT count(*) FROM customer WHERE c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING')) AS unplanned, round(chi2 + 1e-9, 6) AS chi2,
  round(2 * {normal_sf_sql("sqrt(chi2)")} + 1e-9, 6) AS p FROM x""",
 )
 def ab_srm_pair(spark, sf_dir):

@@ -355,7 +355,7 @@ def _roi(spark, sf_dir):
  round(revenue / users + 1e-9, 4) AS ltv FROM ltv""",
 )
 def ue_ltv_curve(spark, sf_dir):
-    return rounded(_ltv(spark, sf_dir), revenue=2)
+    return rounded(_ltv(spark, sf_dir).drop("acquired"), revenue=2)
 
 
 @query(

@@ -20,17 +20,28 @@ def read_csv(
     *,
     sep: str = ",",
     bad_rows: str = "_corrupt",
+    encoding: str = "UTF-8",
+    multiline: bool = False,
 ) -> DataFrame:
     """CSV with a declared schema. Rows that do not fit keep their text in `bad_rows`.
 
+    Columns are found by the names in the header, in any order; a missing or unknown name is an error, and
+    so is a file whose header differs from the first one's. `multiline` allows line breaks in quoted
+    values, at the price that a file is read by one task. Reading the header runs a small Spark job.
+
     Values are read as text and converted here, not by the CSV reader: that one converts only
     the columns a query uses, so the number of bad rows would depend on the query. A value that cannot be
     converted is NULL; the rest of its row is kept.
     """
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    options = {"header": True, "sep": sep, "encoding": encoding, "multiLine": multiline}
+    header = spark.read.options(**options).csv(path).columns
+    if sorted(header) != sorted(schema.names):
+        raise ValueError(f"header {header} does not name the columns {schema.names}")
+    text = T.StructType([T.StructField(name, T.StringType()) for name in header])
     raw = (
         spark.read.schema(text.add(bad_rows, T.StringType()))
-        .options(header=True, sep=sep, mode="PERMISSIVE", columnNameOfCorruptRecord=bad_rows, columnPruning=False)
+        .options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=bad_rows, columnPruning=False)
+        .option("enforceSchema", False)
         .csv(path)
     )
     typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}

@@ -140,6 +140,10 @@ class TestPrepare:
         assert auto == ["<=10", "<=10", "(10, 20]", "(10, 20]", ">20", "None"]
         with pytest.raises(ValueError):
             prepare.band(df, "x", [1], ["only"])
+        with pytest.raises(ValueError, match="rise"):
+            prepare.band(df, "x", [20, 10], ["a", "b", "c"])
+        nan = df.select(F.lit(float("nan")).alias("x")).limit(1)
+        assert prepare.band(nan, "x", [10]).first()["x_band"] == "None"
 
     def test_fence(self, spark):
         df = spark.range(101).select(F.col("id").cast("double").alias("x"), F.lit("g").alias("g"))
@@ -157,8 +161,10 @@ class TestPrepare:
         prices = spark.createDataFrame([(1, 500.0), (9, 100.0)], "id int, avg_check double")
         assert rows(prepare.enrich(venues, prices, "id")) == [(1, "cafe", 500.0), (2, "bar", None)]
         twice = prices.unionByName(spark.createDataFrame([(1, 700.0)], "id int, avg_check double"))
-        with pytest.raises(ValueError, match="not a key"):
-            prepare.enrich(venues, twice, "id")
+        with pytest.raises(Exception, match="not a key"):
+            prepare.enrich(venues, twice, "id").collect()
+        unknown = prices.unionByName(spark.createDataFrame([(None, 7.0), (None, 8.0)], "id int, avg_check double"))
+        assert prepare.enrich(venues, unknown, "id").count() == 2
         assert prepare.enrich(venues, twice, "id", check=False).count() == 3
 
     def test_flag_exists(self, spark, rows):
@@ -176,3 +182,35 @@ class TestMart:
         unknown = cube.where("p IS NULL AND g_p = 0 AND g_q = 1").collect()
         assert ([r["v"] for r in total], [r["v"] for r in unknown]) == ([6], [2])
         assert marts.mart(df, ["p", "q"], {"v": F.sum("v")}, [["p"], []]).count() == 3
+
+
+class TestCsvFiles:
+    SCHEMA = "a int, b string"
+
+    def read(self, spark, tmp_path, text, **options):
+        from pyspark.sql.types import _parse_datatype_string
+
+        path = tmp_path / "t.csv"
+        path.write_bytes(text)
+        return read_csv(spark, str(path), _parse_datatype_string(self.SCHEMA), **options)
+
+    def test_columns_are_found_by_name(self, spark, rows, tmp_path):
+        assert rows(self.read(spark, tmp_path, b"b,a\nx,1\ny,2\n")) == [(1, "x", None), (2, "y", None)]
+
+    def test_other_header_is_an_error(self, spark, tmp_path):
+        for header in (b"a,c\n1,x\n", b"a\n1\n", b"a,b,c\n1,x,2\n"):
+            with pytest.raises(ValueError, match="header"):
+                self.read(spark, tmp_path, header)
+
+    def test_line_breaks_in_quotes(self, spark, rows, tmp_path):
+        got = rows(self.read(spark, tmp_path, b'a,b\n1,"x\ny"\n2,z\n', multiline=True))
+        assert got == [(1, "x\ny", None), (2, "z", None)]
+
+    def test_encoding(self, spark, rows, tmp_path):
+        got = rows(self.read(spark, tmp_path, "a,b\n1,café\n".encode("latin-1"), encoding="ISO-8859-1"))
+        assert got == [(1, "café", None)]
+
+
+def test_profile_takes_both_zeros_as_one_value(spark):
+    df = spark.createDataFrame([(0.0,), (-0.0,), (1.0,)], "x double")
+    assert quality.profile(df).first()["n_distinct"] == 2

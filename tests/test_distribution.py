@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from growthkit.functions.ordering import with_neighbour
-from growthkit.functions.quantiles import distribution, quantiles
+from growthkit.functions.quantiles import PARTS, distribution, quantiles
 
 PROBS = {"p01": 0.01, "q1": 0.25, "med": 0.5, "p99": 0.99, "low": 0.0, "top": 1.0}
 
@@ -108,3 +108,20 @@ def test_same_result_without_broadcast_joins(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert got == {None: (9, 9, 3.0), "a": (3, 0, None), "b": (6, 6, 6.0)}
+
+
+@pytest.mark.parametrize(
+    "value",
+    ["id / 1e9", "1700000000D + id * 2.592", "CAST(id + 4000000000 AS DOUBLE)"],
+    ids=["rates", "seconds", "ids"],
+)
+def test_values_close_together_are_spread(spark, value):
+    """No task that looks up a rank holds more than a fiftieth of 100,000 distinct values."""
+    df = spark.range(100000).selectExpr(f"{value} AS v")
+    got = quantiles(df, "v", {"q": 0.5}).first()["q"]
+    exact = df.selectExpr("percentile(v, 0.5)").first()[0]
+    assert got == pytest.approx(exact, rel=1e-12)
+    lo, hi = df.selectExpr("min(v)", "max(v)").first()
+    part = f"CAST(floor((v - {lo!r}D) / ({hi!r}D - {lo!r}D) * {PARTS}) AS INT)"
+    # The worst case is a group whose values all share one bucket.
+    assert df.groupBy(F.expr(part)).count().agg({"count": "max"}).first()[0] <= 2000

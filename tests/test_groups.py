@@ -114,12 +114,20 @@ class TestDesign:
         data = [(u, dt.datetime(2024, 1, 1 + d), u == 0 and d == 0) for u in range(10) for d in range(4)]
         daily = spark.createDataFrame(data, "u int, day timestamp_ntz, ok boolean")
         got = experiments.ab_design(daily, "u", "day", "ok", 0.02).first()
-        assert tuple(got) == (0.1, 10.0, 3839, 768)
+        assert tuple(got) == (0.1, 10.0, 3839, None)
         none = experiments.ab_design(daily.withColumn("ok", F.lit(False)), "u", "day", "ok", 0.02).first()
         assert (none["baseline"], none["n_per_group"], none["days"]) == (0.0, None, None)
         with pytest.raises(ValueError):
             experiments.ab_design(daily, "u", "day", "ok", 0)
 
+    def test_days_until_enough_users_came(self, spark):
+        # 2000 new users a day, a tenth of them successful on their first day.
+        daily = spark.range(20000).selectExpr(
+            "id AS u", "date_add(DATE '2024-01-01', CAST(id / 2000 AS INT)) AS day", "id % 10 = 0 AS ok"
+        )
+        got = experiments.ab_design(daily, "u", "day", "ok", 0.02).first()
+        assert (got["n_per_group"], got["days"]) == (3839, 4)
+
 
 class TestAssign:
     def test_stable_disjoint_and_near_weights(self, spark):
@@ -162,7 +170,8 @@ class TestHygiene:
         good = experiments.srm(df, "g", {"a": 6, "b": 4}, "id").first()
         assert (good["chi2"], good["p"]) == (0.0, 1.0)
         empty = experiments.srm(df, "g", {"a": 6, "b": 2, "c": 2}).first()
-        assert empty["chi2"] > 100
+        assert empty["chi2"] > 100 and empty["unplanned"] == 0
+        assert experiments.srm(df, "g", {"a": 1.0, "c": 1.0}, "id").first()["unplanned"] == 400
 
 
 class TestTests:
@@ -225,3 +234,23 @@ class TestTests:
         assert got["high"]["kind"] == "rate"
         with pytest.raises(ValueError):
             experiments.ab_report(df, "g", {"x": "median"}, "a", "b")
+
+
+def test_small_groups_get_users(spark):
+    users = spark.range(200000).select(F.col("id").alias("u"))
+    sizes = dict(experiments.assign(users, "u", "s", {"tiny": 0.0004, "rest": 0.9996}).groupBy("group").count().collect())
+    assert 40 < sizes["tiny"] < 130
+
+
+def test_unknown_values_and_users_are_left_out(spark):
+    data = [(1, "a", 1.0), (2, "a", 2.0), (3, "b", 3.0), (4, "b", 5.0), (5, "b", float("nan")), (None, "a", 9.0), (None, "a", 8.0)]
+    df = spark.createDataFrame(data, "u int, g string, x double")
+    got = experiments.welch(df, "g", "x", "a", "b", user="u").first()
+    assert (got["n_a"], got["n_b"], got["diff"]) == (2, 2, 2.5)
+
+
+def test_cost_is_that_of_the_returned_centres(spark):
+    df = spark.createDataFrame([(i, float(i * i)) for i in range(30)], "id int, x double")
+    (centres, cost, converged), = segments._lloyd(df, ["x"], [[(0.0,), (1.0,)]], 1, 1e-9)
+    want = sum(min((float(i * i) - c[0]) ** 2 for c in centres) for i in range(30))
+    assert not converged and cost == pytest.approx(want)

@@ -58,7 +58,7 @@ def test_filter_and_columns_reach_the_scan(spark):
 )
 def test_first_rows_are_picked_before_the_shuffle(spark, build):
     text = plan(build(spark))
-    assert text.count("WindowGroupLimit") == 2
+    assert text.count("WindowGroupLimit") >= 2
     assert re.search(r"WindowGroupLimit .*Partial", text)
 
 

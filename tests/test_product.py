@@ -74,7 +74,8 @@ class TestExplore:
 
     def test_crosstab(self, spark, rows):
         df = spark.createDataFrame([("x", "p"), ("x", "p"), ("y", "q"), ("y", "other")], "r string, c string")
-        assert rows(explore.crosstab(df, "r", "c", ["p", "q"])) == [("x", 2, 0), ("y", 0, 1)]
+        assert rows(explore.crosstab(df, "r", "c", ["p", "q"])) == [("x", 2, 0, 0), ("y", 0, 1, 0)]
+        assert rows(explore.crosstab(df, "r", "c", ["p"])) == [("x", 2, 0), ("y", 0, 1)]
 
     def test_outcome(self, spark):
         df = spark.createDataFrame([("elf", True), ("elf", False), ("elf", None), ("orc", False)], "race string, paid boolean")
@@ -335,7 +336,7 @@ class TestUnitEconomics:
         return unit_econ.ltv_curve(log, "user", "ts", F.col("r"), users, "channel", max_age=3)
 
     def test_ltv_takes_finished_users_only(self, log, users, rows):
-        assert rows(self.ltv(log, users)) == [
+        assert rows(self.ltv(log, users).drop("acquired")) == [
             ("ads", 0, 2, 1.0, 0.5),
             ("ads", 1, 2, 7.0, 3.5),
             ("ads", 2, 2, 7.0, 3.5),
@@ -360,9 +361,25 @@ class TestUnitEconomics:
     def test_roi_and_payback(self, log, users, spend):
         roi = unit_econ.roi_curve(self.ltv(log, users), spend, "channel")
         ads = [r["roi"] for r in roi.where("channel = 'ads'").orderBy("age").collect()]
-        assert ads == [-0.75, 0.75, 0.75]
+        # Three users were acquired for 4, two of them are old enough.
+        assert ads == pytest.approx([0.5 / (4 / 3) - 1, 3.5 / (4 / 3) - 1, 3.5 / (4 / 3) - 1])
         got = {r["channel"]: (r["payback_age"], r["paid_back"], r["last_roi"]) for r in unit_econ.payback(roi, "channel").collect()}
-        assert got == {"ads": (1, True, 0.75), "seo": (None, False, None)}
+        assert got == {"ads": (1, True, pytest.approx(1.625)), "seo": (None, False, None)}
+
+    def test_late_users_do_not_raise_the_cost(self, spark):
+        data = [(u, dt.datetime(2024, 1, 1 if u < 2 else 9), 10.0) for u in range(10)]
+        log = spark.createDataFrame(data, "user int, ts timestamp_ntz, r double")
+        users = spark.createDataFrame([(u, "ads") for u in range(10)], "user int, channel string")
+        spend = spark.createDataFrame([("ads", 100.0)], "channel string, cost double")
+        ltv = unit_econ.ltv_curve(log, "user", "ts", F.col("r"), users, "channel", max_age=3)
+        got = unit_econ.roi_curve(ltv, spend, "channel").where("age = 2").first()
+        assert (got["users"], got["cac"], got["roi"]) == (2, 10.0, 0.0)
+
+    def test_only_whole_cohorts_take_part(self, spark, rows):
+        data = [(1, dt.datetime(2024, 1, 5), 4.0), (2, dt.datetime(2024, 2, 1), 4.0), (2, dt.datetime(2024, 2, 10), 1.0)]
+        log = spark.createDataFrame(data, "user int, ts timestamp_ntz, r double")
+        ltv = unit_econ.ltv_curve(log, "user", "ts", F.col("r"), max_age=2, cohort="month")
+        assert rows(ltv.select("cohort", "age", "users")) == [(DAY(2024, 1, 1), 0, 1), (DAY(2024, 1, 1), 1, 1)]
 
     def test_within_age(self, spark, log):
         start = log.groupBy("user").agg(F.min("ts").alias("first"))
