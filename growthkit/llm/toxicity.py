@@ -123,7 +123,8 @@ def _score(shared):
             pairs = np.unique(owner[hit] * (len(kept) + 1) + of[hit])
             text, feature = np.divmod(pairs, len(kept) + 1)
             z = np.bincount(text, weights[feature], minlength=rows.num_rows) + bias
-            score = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+            with np.errstate(over="ignore"):
+                score = 1 / (1 + np.exp(-z))
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0), rows.column(1), pa.array(score), pa.array((score >= 0.5).astype(np.int32))],
                 ["id", "held_out", "score", "predicted"],
