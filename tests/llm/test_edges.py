@@ -151,3 +151,14 @@ def test_pieces_of_edge_texts(docs):
     assert got.where("doc_id = 1").select("length", "doc_tokens").first() == (1, 1)
     per = got.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("all"), F.count("*").alias("p"))
     assert per.where("doc_id = 4 AND n = 3 * all").count() == 1  # the row stands three times
+
+
+def test_boilerplate_of_pages_without_article(spark):
+    menu = "home news about shop jobs press help contact login"
+    rows = [(i, f"https://h.example/{i}", f"<div><p>{menu}</p><p>{i} stories tell what happened on day {i}</p></div>") for i in range(40)]
+    rows += [(100, "https://other.example/", f"<p>{menu}</p>"), (101, "https://h.example/x", f"<article><p>{menu}</p></article>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for shard in (512, 10):
+        got = {r["page_id"]: r["text"] for r in main_text(df, shard=shard).collect()}
+        assert all(got[i] == f"{i} stories tell what happened on day {i}" for i in range(40))
+        assert got[100] == got[101] == menu
