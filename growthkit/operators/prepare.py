@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from growthkit.functions.columns import attach, names
+from growthkit.functions.columns import attach, names, to_long
 from growthkit.functions.quantiles import quantiles
 from growthkit.operators.quality import duplicates
 
@@ -53,14 +53,18 @@ def fill_missing(
     out, group = df, by
     if not by:
         out, group = df.withColumn("__all", F.lit(1)), ["__all"]
-    for col in cols:
-        if stat == "median":
-            known = quantiles(out, col, {"__fill": 0.5}, group)
-        else:
-            known = out.groupBy(*group).agg(F.avg(col).alias("__fill"))
-        out = attach(out, known, group)
-        out = out.withColumn(col, F.coalesce(F.col(col).cast("double"), F.col("__fill"))).drop("__fill")
-    return out.select(*df.columns)
+    fills = {c: f"__fill_{i}" for i, c in enumerate(cols)}
+    if stat == "median":
+        # All columns in one long table: one pass over the rows and one join, whatever their number.
+        long = to_long(out, group, cols, "__name", "__value")
+        points = quantiles(long, "__value", {"__fill": 0.5}, [*group, "__name"])
+        of_column = [F.max(F.when(F.col("__name") == c, F.col("__fill"))).alias(name) for c, name in fills.items()]
+        known = points.groupBy(*group).agg(*of_column)
+    else:
+        known = out.groupBy(*group).agg(*[F.avg(c).alias(name) for c, name in fills.items()])
+    out = attach(out, known, group)
+    filled = {c: F.coalesce(F.col(c).cast("double"), F.col(name)) for c, name in fills.items()}
+    return out.withColumns(filled).select(*df.columns)
 
 
 def drop_missing(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:

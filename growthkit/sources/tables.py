@@ -89,8 +89,13 @@ def load_database(
 
 
 def write_slice(df: DataFrame, path: str, partition_by: str | Sequence[str] | None = None) -> None:
-    """Write a slice as Parquet; an existing path is an error, not overwritten."""
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*names(partition_by))
-    writer.parquet(path)
+    """Write a slice as Parquet; an existing path is an error, not overwritten.
+
+    With `partition_by` rows are first brought together by its values, so that a value makes few files; adaptive
+    execution splits a value with very many rows over several tasks.
+    """
+    if not partition_by:
+        df.write.mode("errorifexists").parquet(path)
+        return
+    keys = names(partition_by)
+    df.hint("rebalance", *keys).write.mode("errorifexists").partitionBy(*keys).parquet(path)

@@ -214,3 +214,16 @@ class TestCsvFiles:
 def test_profile_takes_both_zeros_as_one_value(spark):
     df = spark.createDataFrame([(0.0,), (-0.0,), (1.0,)], "x double")
     assert quality.profile(df).first()["n_distinct"] == 2
+
+
+def test_slices_are_written_in_few_files(spark, tmp_path):
+    df = spark.range(4000).select("id", (F.col("id") % 20).alias("g")).repartition(8)
+    write_slice(df, str(tmp_path / "slice"), "g")
+    files = list((tmp_path / "slice").rglob("*.parquet"))
+    assert len(files) == 20
+    assert spark.read.parquet(str(tmp_path / "slice")).count() == 4000
+
+
+def test_medians_of_several_columns_share_one_pass(spark, rows):
+    df = spark.createDataFrame([("g", 1.0, None), ("g", None, 4), ("g", 3.0, 8), (None, None, 5)], "k string, x double, y int")
+    assert rows(prepare.fill_missing(df, ["x", "y"], "k")) == [(None, None, 5.0), ("g", 1.0, 6.0), ("g", 2.0, 4.0), ("g", 3.0, 8.0)]

@@ -74,3 +74,8 @@ def test_functions_travel_without_the_package(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", load, path], cwd=tmp_path, env=env, capture_output=True, text=True)
     assert float(out.stdout) == stats.t_sf(2.0, 10.0)
+
+
+def test_student_t_is_continuous_where_the_formula_changes():
+    for t in (0.1, 1.96, 4.0):
+        assert stats.t_sf(t, 1e5) == pytest.approx(stats.t_sf(t, 1e5 + 1e-3), rel=1e-8)
