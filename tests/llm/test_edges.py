@@ -137,13 +137,14 @@ def test_page_edges(spark):
         3: "just text &amp; more",
         4: "<article><h1>T</h1><p>a<b>b</b> c<br>d<script>var t='</p>';</script></p><nav>x</nav></article><footer>f</footer>",
         5: "<main><p>m</main><p>after",
+        7: "<div id='sidebar'>s</div><div class='post-content'><header><h1>H</h1></header>x&nbsp;y<form>q</form></div><p>out",
         6: "<body><div class='comment-list'><p>c</div><article class='post'>p&eacute;<aside>no</aside></article>",
     }
     rows = [(i, None if i == 3 else f"http://h/{i}", h, 7) for i, h in html.items()] + [(4, "http://h/4", html[4], 7)]
     got = main_text(spark.createDataFrame(rows, "page_id long, url string, html string, text int")).collect()
     text = {r["page_id"]: (r["text"], r["n_chars"]) for r in got}
-    assert len(got) == 7
-    assert text == {1: ("", 0), 2: ("", 0), 3: ("just text & more", 16), 4: ("T ab c d", 8), 5: ("m", 1), 6: ("pé", 2)}
+    assert len(got) == 8
+    assert text == {1: ("", 0), 2: ("", 0), 3: ("just text & more", 16), 4: ("T ab c d", 8), 5: ("m", 1), 6: ("pé", 2), 7: ("H x y", 5)}
 
 
 def test_pieces_of_edge_texts(docs):
