@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from growthkit.llm.arrow import slices
+from growthkit.llm.components import stored
 from growthkit.llm.folds import held_out, sampled_ids
 from growthkit.llm.hashing import IS_SPACE, LOWER, spans, sums, word_bounds
 
@@ -51,35 +52,43 @@ def _feature_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(lists, pa.list_(pa.int32()))], ["toxic", "features"])
 
 
-def _rows(lists: list[np.ndarray], number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text, kept feature) pairs; `number` maps features to kept ones or -1."""
-    flat = number[np.concatenate(lists)] if lists else np.zeros(0, np.int64)
-    text = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    return text[flat >= 0], flat[flat >= 0]
+def telling(lists: DataFrame, n_positive: int, n_unlabelled: int) -> np.ndarray:
+    """The features that stand clearly more often in positive than in unlabelled texts, at most FEATURES of them,
+    by the strength of the difference. Counted by Spark; only these features come to the driver."""
+    counts = lists.select("toxic", F.explode("features").alias("feature")).groupBy("feature").agg(
+        (F.count_if(F.col("toxic") == 1) / n_positive).alias("p"),
+        ((F.count_if(F.col("toxic") != 1) + 1) / (n_unlabelled + 1)).alias("u"),
+    )
+    clear = counts.where(f"p > 2 * u AND p - u > 5 * sqrt(u / {n_positive})")  # five standard errors
+    best = clear.orderBy(F.desc(F.expr("p * ln(p / u)")), "feature").limit(FEATURES).select("feature").collect()
+    return np.sort(np.array([r[0] for r in best], np.int64))
 
 
-def learn(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 400) -> tuple[np.ndarray, np.ndarray, float]:
-    """(features, weights, bias) of a logistic classifier by the non-negative risk, with Adam on all rows.
+def _only(kept: np.ndarray):
+    """The features of each text that are in `kept`, as places in it."""
 
-    Kept are the features that stand clearly more often in positive than in unlabelled texts, by the strength
-    of the difference.
-    """
-    none = np.zeros(0, np.int64), np.zeros(0), -20.0
-    if not positive or not unlabelled:
-        return none
-    in_p = np.bincount(np.concatenate(positive), minlength=1 << BITS)
-    in_u = np.bincount(np.concatenate(unlabelled), minlength=1 << BITS)
-    rate_p, rate_u = in_p / len(positive), (in_u + 1) / (len(unlabelled) + 1)
-    clear = rate_p - rate_u > 5 * np.sqrt(rate_u / len(positive))  # five standard errors
-    gain = np.where(clear & (rate_p > 2 * rate_u), rate_p * np.log(np.maximum(rate_p, 1e-12) / rate_u), 0)
-    kept = np.sort(np.argsort(-gain, kind="stable")[:FEATURES])
-    kept = kept[gain[kept] > 0]
-    if not len(kept):
-        return none
-    number = np.full(1 << BITS, -1, np.int64)
-    number[kept] = np.arange(len(kept))
-    sets = [(*_rows(x, number), len(x)) for x in (positive, unlabelled)]
-    weights = np.zeros(len(kept) + 1)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.searchsorted(kept, x[np.isin(x, kept)]) for x in (v.values.to_numpy() for v in batch.column(1))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([x.astype(np.int32) for x in found], pa.list_(pa.int32()))], ["toxic", "features"]
+            )
+
+    return run
+
+
+def _rows(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, int]:
+    """(text, feature) pairs and the number of texts."""
+    flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
+    return np.repeat(np.arange(len(lists)), [len(x) for x in lists]), flat, len(lists)
+
+
+def learn(
+    positive: list[np.ndarray], unlabelled: list[np.ndarray], features: int, prior: float, steps: int = 400
+) -> tuple[np.ndarray, float]:
+    """(weights, bias) of a logistic classifier by the non-negative risk, with Adam on all texts' features."""
+    sets = [_rows(x) for x in (positive, unlabelled)]
+    weights = np.zeros(features + 1)
     weights[-1] = np.log(prior / (1 - prior))
     first, second = np.zeros_like(weights), np.zeros_like(weights)
 
@@ -108,7 +117,7 @@ def learn(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
         weights -= 0.05 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    return kept, weights[:-1], float(weights[-1])
+    return weights[:-1], float(weights[-1])
 
 
 def _score(shared):
@@ -149,16 +158,19 @@ def toxicity(
     known = known.groupBy("id").agg(F.max("toxic").alias("toxic")).where(~held_out("id"))
     rows = docs.select(F.col(id).alias("id"), held_out(id).alias("held_out"), F.col(text).alias("text"))
     prior = known.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
-    if not prior:
-        model = np.zeros(0, np.int64), np.zeros(0), -800.0
-    else:
+    model = np.zeros(0, np.int64), np.zeros(0), -800.0
+    if prior:
         kind = rows.where("NOT held_out").select("id").join(known, "id", "left")
         kind = kind.select("id", F.coalesce("toxic", F.lit(-1)).alias("toxic")).where("toxic <> 0")
         chosen = sampled_ids(kind.distinct(), "id", "toxic", sample)
         texts = rows.join(F.broadcast(chosen), "id").select("toxic", "text")  # at most 2 * sample ids
-        lists = texts.mapInArrow(_feature_lists, "toxic int, features array<int>").toPandas()
-        given = [[np.asarray(x, np.int64) for x in lists.features[lists.toxic == y]] for y in (1, -1)]
-        model = learn(*given, min(max(prior, 1e-4), 0.9))
+        lists = stored(texts.mapInArrow(_feature_lists, "toxic int, features array<int>"), "features")
+        sizes = {r[0]: r[1] for r in lists.groupBy("toxic").count().collect()}
+        if sizes.get(1) and sizes.get(-1):
+            kept = telling(lists, sizes[1], sizes[-1])
+            found = lists.mapInArrow(_only(kept), "toxic int, features array<int>").toPandas()
+            given = [[np.asarray(x, np.int64) for x in found.features[found.toxic == y]] for y in (1, -1)]
+            model = kept, *learn(*given, len(kept), min(max(prior, 1e-4), 0.9))
     shared = spark.sparkContext.broadcast(model)
     out = rows.mapInArrow(
         _score(shared), f"id {rows.schema['id'].dataType.simpleString()}, held_out boolean, score double, predicted int"
