@@ -18,7 +18,7 @@ from growthkit.llm.folds import held_out, sampled_ids
 from growthkit.llm.hashing import LOWER, mix
 
 #: Bits of a feature's number, bytes of the n-grams, and most texts of a language that are learned from.
-BITS, GRAMS, SAMPLE = 12, (2, 3, 4), 1000
+BITS, GRAMS, SAMPLE = 12, (2, 3, 4), 600
 UNKNOWN = "und"
 
 # Families of related languages by ISO 639-1 code; any other code is a family of its own.
