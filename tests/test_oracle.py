@@ -9,6 +9,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from growthkit.plans import catalog
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -35,7 +36,7 @@ def in_order(rows):
     return sorted(rows, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.ORACLES))
 def test_matches_sql(spark, con, name):
     df = entry.queries()[name](spark, DATA)
     columns = sorted(df.columns)
@@ -49,7 +50,7 @@ def test_matches_sql(spark, con, name):
         assert all(same(x, y) for x, y in zip(a, b)), (a, b)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLES)))
 def test_runs_without_sql(spark, name):
     assert entry.queries()[name](spark, DATA).count() > 0
 

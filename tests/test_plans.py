@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from growthkit.plans import catalog
 from growthkit.operators import explore, metrics, paths, prepare
 from growthkit.plans.adapters import event_log, event_revenue, order_log, table
 
@@ -31,7 +32,7 @@ def no_broadcast(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - FITTED))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - FITTED))
 def test_no_cross_join_at_scale(spark, no_broadcast, name):
     text = plan(entry.queries()[name](spark, DATA))
     assert "CartesianProduct" not in text
@@ -94,7 +95,7 @@ def test_users_are_reduced_before_the_exchange(spark):
 
 
 def test_no_window_gathers_rows_in_one_task(spark, no_broadcast):
-    for name in set(entry.queries()) - FITTED:
+    for name in set(catalog.QUERIES) - FITTED:
         text = plan(entry.queries()[name](spark, DATA))
         if "SinglePartition" not in text:
             continue
