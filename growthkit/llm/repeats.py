@@ -212,7 +212,9 @@ def repeated_spans(
     wanted = distinct.join(of_gram, "gram").groupBy("tid").agg(
         F.collect_list(F.struct("gram", "context", "n", "many", "lo", "hi")).alias("wanted")
     )
-    packed = texts.mapInArrow(_pack, "tid long, packed binary").join(wanted, "tid").select("packed", "wanted")
+    # one row for each distinct text, however many rows hold it
+    packed = texts.mapInArrow(_pack, "tid long, packed binary").groupBy("tid").agg(F.first("packed").alias("packed"))
+    packed = packed.join(wanted, "tid").select("packed", "wanted")
     kind = "gram long, context long, n long, many boolean, place int, bytes binary"
     cut = stored(packed.mapInArrow(_cut_out(length), kind), "cut")
 

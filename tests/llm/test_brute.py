@@ -14,7 +14,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from growthkit.llm import near_text
+from growthkit.llm import near_text, repeats
 from growthkit.llm.bpe import Merges
 from growthkit.llm.byte_bpe import fold_words, rank_file, token_report
 from growthkit.llm.components import components
@@ -142,6 +142,19 @@ def test_repeats(spark, shard):
         assert stripped[i].encode().replace("é".encode(), b"") == np.frombuffer(t, np.uint8)[~g].tobytes().replace("é".encode(), b"").decode("utf-8", "ignore").encode() or "é" in texts[i]
 
 
+def test_copies_of_a_text_are_cut_out_once(spark, monkeypatch):
+    shared = "".join(f"s{i} " for i in range(30))
+    text, variant = (shared + "".join(f"{c}{i} " for i in range(60)) for c in "ab")
+    df = spark.createDataFrame([(i, variant if i == 0 else text) for i in range(200)], "doc_id long, text string").repartition(4)
+    frames = {}
+    kept = repeats.stored
+    monkeypatch.setattr(repeats, "stored", lambda d, label: frames.setdefault(label, kept(d, label)))
+    got = {r["doc_id"]: r["n_removed"] for r in repeated_bytes(df, length=50).collect()}
+    assert got == {i: len(shared) if i == 0 else len(text) for i in range(200)}
+    cut = frames["cut"]
+    assert 0 < cut.count() == cut.dropDuplicates(["gram", "context"]).count()
+
+
 def test_merges_equal_the_library():
     ranks = rank_file(BYTES)
     library = tiktoken.Encoding("t", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
