@@ -18,8 +18,8 @@ from growthkit.llm.quality import keep_good
 from growthkit.llm.repeats import without_repeats
 from growthkit.llm.secret_scan import without_secrets
 
-#: Words of a shingle, and bytes of a repeated string: fifty words have that many at least.
-SHINGLE, REPEAT = 5, 250
+#: Words of a shingle, bytes of a repeated string, and words of one that takes fewer bytes.
+SHINGLE, REPEAT, REPEAT_WORDS = 5, 250, 50
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -44,7 +44,7 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the strings that also stand elsewhere; a text may end up empty."""
-    return _counted(without_repeats(docs, length=REPEAT))
+    return _counted(without_repeats(docs, length=REPEAT, words=REPEAT_WORDS))
 
 
 def secret(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,11 +16,13 @@ Texts cross a shuffle compressed and by digest, at most twice; contexts cross on
 
 from __future__ import annotations
 
+import base64
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +35,10 @@ from growthkit.llm.suffix_array import sorted_rows
 #: Bytes of contexts whose suffixes one shard sorts at once, and contexts of one anchor it takes.
 SHARD_BYTES = 4 << 20
 SHARD_CONTEXTS = 4096
+#: Bytes that stand for a word when words are compared.
+CODE = 8
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, *range(9, 14)]] = True
 
 
 def _contexts(length: int):
@@ -234,6 +240,57 @@ def repeated_spans(
     return covered.groupBy("tid").agg(F.collect_set(F.struct(lo.alias("lo"), hi.alias("hi"))).alias("spans"))
 
 
+def _short_words(words: int, length: int):
+    """(tid, text) in; out each stretch of a text in which every word is one of `words` in a row that take fewer
+    than `length` bytes: its words as CODE characters each, and their starts and ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, offsets in slices(batches, "text"):
+            body = data.tobytes()
+            out: list[list] = [[], [], [], []]
+            for tid, lo, hi in zip(rows.column(0).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                inside = np.concatenate(([False], ~_SPACE[data[lo:hi]], [False]))
+                edges = np.flatnonzero(inside[1:] != inside[:-1])
+                starts, ends = edges[::2], edges[1::2]
+                if len(starts) < words:
+                    continue
+                short = np.flatnonzero(ends[words - 1 :] - starts[: len(starts) - words + 1] < length)
+                if not len(short):
+                    continue
+                step = np.zeros(len(starts) + 1, np.int64)
+                step[short] += 1
+                step[short + words] -= 1
+                taken = np.concatenate(([False], np.cumsum(step[:-1]) > 0, [False]))
+                edges = np.flatnonzero(taken[1:] != taken[:-1])
+                for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+                    spans = zip((starts[a:b] + lo).tolist(), (ends[a:b] + lo).tolist(), strict=True)
+                    code = base64.b64encode(b"".join(xxhash.xxh3_64_digest(body[x:y])[:6] for x, y in spans))
+                    for column, value in zip(out, (tid, code.decode(), starts[a:b], ends[a:b]), strict=True):
+                        column.append(value)
+            kinds = [pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["tid", "code", "starts", "ends"]
+            )
+
+    return run
+
+
+def repeated_words(docs: DataFrame, text: str, words: int, length: int, **shard: int) -> DataFrame:
+    """(tid, spans) like `repeated_spans`, of strings of `words` words that take fewer than `length` bytes.
+
+    A word is a run of other bytes than space and \\t to \\r; words are compared by 48-bit hashes, white space
+    between them is not.
+    """
+    texts = docs.select(text_digest(text).alias("tid"), F.col(text).alias("text"))
+    kind = "tid long, code string, starts array<int>, ends array<int>"
+    short = stored(texts.mapInArrow(_short_words(words, length), kind), "short")
+    spans = repeated_spans(short, "code", CODE * words, **shard).withColumnRenamed("tid", "cid")
+    found = short.withColumn("cid", text_digest("code")).join(spans, "cid").selectExpr("tid", "starts", "ends", "inline(spans)")
+    found = found.selectExpr("tid", "starts", "ends", f"int(ceil(lo / {CODE})) AS a", f"int(floor(hi / {CODE})) AS b")
+    found = found.where(F.col("b") - F.col("a") >= words).selectExpr("tid", "struct(starts[a] AS lo, ends[b - 1] AS hi) AS span")
+    return found.groupBy("tid").agg(F.collect_set("span").alias("spans"))
+
+
 def text_digest(text: str) -> Column:
     """Null counts as empty."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
@@ -319,13 +376,19 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def without_repeats(docs: DataFrame, text: str = "text", length: int = 400, **shard: int) -> DataFrame:
+def without_repeats(
+    docs: DataFrame, text: str = "text", length: int = 400, words: int | None = None, **shard: int
+) -> DataFrame:
     """`docs` with the repeated bytes taken out of `text`, as `repeated_bytes` judges them.
 
+    With `words`, repeated strings of so many words are taken out too if they take fewer than `length` bytes.
     A character at the border of a removed run stays if any of its bytes does. A null text stays null. All
     columns and their order stay. Spark jobs run when this is called.
     """
     spans = repeated_spans(docs, text, length, **shard)
+    if words is not None:
+        spans = spans.unionByName(repeated_words(docs, text, words, length, **shard))
+        spans = spans.groupBy("tid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("rest"),
         F.col(text).isNull().alias("missing"),

@@ -101,3 +101,16 @@ def test_stages_take_effect(spark):
     assert "shared20" not in text[5] + text[6] and "left59" in text[5] and "right0" in text[6] and text[1] == clean
     hidden = dict(stages["secret"](spark, single, DATA).select("doc_id", "text").collect())
     assert "hunter2" not in hidden[6] and "[SECRET] the end" in hidden[6] and hidden[1] == clean
+
+
+def test_repeats_of_short_words(spark):
+    def letters(seed: int, n: int) -> str:
+        return " ".join(chr(97 + (seed + i * i * i + i // 7) % 26) for i in range(n))
+
+    passage, few = letters(3, 51), " ".join(f"f{i % 7}{i}" for i in range(45))
+    assert len(passage) == 101 and len(few) < 250
+    own = [" ".join(f"document{d}word{i}" for i in range(30)) for d in range(4)]
+    texts = [f"{own[0]} {passage} {own[1]}", f"{own[2]}\n{passage}", f"{own[3]} {few}", f"{few} {own[1][::-1]}"]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], table(spark, "documents").schema)
+    got = dict(corpus_pipeline.repeats(spark, docs, DATA).select("doc_id", "text").collect())
+    assert got == {0: f"{own[0]}  {own[1]}", 1: f"{own[2]}\n", 2: texts[2], 3: texts[3]}
