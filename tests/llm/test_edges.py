@@ -163,3 +163,10 @@ def test_boilerplate_of_pages_without_article(spark):
         got = {r["page_id"]: r["text"] for r in main_text(df, shard=shard).collect()}
         assert all(got[i] == f"{i} stories tell what happened on day {i}" for i in range(40))
         assert got[100] == got[101] == menu
+
+
+def test_boilerplate_of_marked_pages_is_counted(spark):
+    menu = "home news about shop jobs press help contact login"
+    rows = [(i, f"https://h.example/{i}", f"<nav>{menu}</nav><article>story {i}</article>") for i in range(4)]
+    got = main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: (r["text"], r["n_boilerplate"]) for r in got} == {i: (f"story {i}", 9) for i in range(4)}
