@@ -165,6 +165,16 @@ def test_boilerplate_of_pages_without_article(spark):
         assert got[100] == got[101] == menu
 
 
+def test_boilerplate_is_counted_over_all_shards_of_a_host(spark):
+    notice = "this notice stands on only three pages of the large host"
+    rows = [(i, f"https://h.example/{i}", f"<p>{' '.join(f'w{i}x{k}' for k in range(9))}</p>") for i in range(60)]
+    rows = [(i, u, h + f"<p>{notice}</p>" if i in (3, 30, 50) else h) for i, u, h in rows]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for shard in (512, 2):
+        got = {r["page_id"]: (r["text"], r["n_boilerplate"]) for r in main_text(df, shard=shard).collect()}
+        assert got == {i: (" ".join(f"w{i}x{k}" for k in range(9)), 11 * (i in (3, 30, 50))) for i in range(60)}
+
+
 def test_boilerplate_of_marked_pages_is_counted(spark):
     menu = "home news about shop jobs press help contact login"
     rows = [(i, f"https://h.example/{i}", f"<nav>{menu}</nav><article>story {i}</article>") for i in range(4)]
