@@ -1,4 +1,4 @@
-"""Operators for training-data pipelines: ten operators over documents, pages and vectors.
+"""Operators for training-data pipelines, over documents, pages, vectors and conversations.
 
 Nothing else in the library imports this package. Its functions travel to the Python
 workers by value, so that workers need no copy of the package.

@@ -6,6 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 #: Bytes of text that are worked on at once; one longer text makes a slice of its own.
 SLICE_BYTES = 1 << 20
@@ -34,3 +36,8 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
             to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
             yield batch.slice(at, to - at), data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
             at = to
+
+
+def arrow_type(kind: DataType) -> pa.DataType:
+    """The Arrow type of a column that goes back to Spark as `kind`; every type of Spark that Arrow has."""
+    return to_arrow_type(kind)

@@ -9,9 +9,9 @@ from pyspark.sql.window import Window
 from growthkit.functions.columns import salts_of
 
 
-def held_out(id: str) -> Column:
-    """True for rows that no model learns from: crc32 of the id as text divisible by 5, or no id."""
-    return F.coalesce(F.crc32(F.col(id).cast("string").cast("binary")) % 5 == 0, F.lit(True))
+def held_out(id: str, folds: int = 5, fold: int = 0) -> Column:
+    """True for rows that no model learns from: crc32 of the id as text modulo `folds` is `fold`, or no id."""
+    return F.coalesce(F.crc32(F.col(id).cast("string").cast("binary")) % folds == fold, F.lit(True))
 
 
 def sampled_ids(rows: DataFrame, id: str, by: str, most: int) -> DataFrame:

@@ -11,12 +11,15 @@ from growthkit.llm.byte_bpe import token_report
 from growthkit.llm.language import languages
 from growthkit.llm.near_text import near_duplicates
 from growthkit.llm.near_vectors import near_vectors
+from growthkit.llm.neighbours import neighbour_quality
 from growthkit.llm.packing import packed
 from growthkit.llm.page_text import main_text
 from growthkit.llm.quality import oracle, quality_report
 from growthkit.llm.repeats import repeated_bytes
 from growthkit.llm.secret_scan import secrets
+from growthkit.llm.token_links import token_links
 from growthkit.llm.toxicity import toxicity
+from growthkit.llm.turns import repaired
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +70,19 @@ def op10_pivot_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_merge_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    byte_level, pieces = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return token_links(table(spark, sf_dir, "documents"), byte_level, pieces)
+
+
+def op12_wagner_fischer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired(table(spark, sf_dir, "conversations"))
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_efficiency": op1_token_efficiency,
     "op2_host_suffix_array": op2_host_suffix_array,
@@ -78,6 +94,9 @@ QUERIES: dict[str, Query] = {
     "op8_sum_of_squares": op8_sum_of_squares,
     "op9_superminhash": op9_superminhash,
     "op10_pivot_range_join": op10_pivot_range_join,
+    "op11_merge_path": op11_merge_path,
+    "op12_wagner_fischer": op12_wagner_fischer,
+    "op13_nearest_neighbours": op13_nearest_neighbours,
 }
 
 ORACLES: dict[str, str] = {"op5_threshold_table": oracle()}
