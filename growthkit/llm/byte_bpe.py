@@ -23,6 +23,7 @@ from growthkit.llm.arrow import slices
 from growthkit.llm.bpe import Merges
 from growthkit.llm.chunk_memo import NO_LETTER, ChunkMemo, gathered, ordered, two_byte
 from growthkit.llm.hashing import IS_SPACE
+from growthkit.llm.shared import Shared
 
 
 def rank_file(path: str) -> dict[bytes, int]:
@@ -133,7 +134,7 @@ class ByteTokens(ChunkMemo):
 def _report(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = ByteTokens(shared.value)
-        of_id = shared.value["bytes"]
+        of_id = tokens.vocabulary["bytes"]
         names = [str(i) for i in range(len(of_id))]
         for rows, data, offsets in slices(batches, "text"):
             ids, ends = tokens.texts(data, offsets)
@@ -162,8 +163,8 @@ def _ids(shared):
     return run
 
 
-def _shared(docs: DataFrame, path: str, pattern: str):
-    return docs.sparkSession.sparkContext.broadcast(vocabulary(path, pattern))  # its size is the vocabulary's
+def _shared(docs: DataFrame, path: str, pattern: str) -> Shared:
+    return Shared(docs.sparkSession, vocabulary(path, pattern))  # its size is the vocabulary's
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from growthkit.llm.arrow import slices
 from growthkit.llm.folds import held_out, sampled_ids
 from growthkit.llm.hashing import LOWER, mix
+from growthkit.llm.shared import Shared
 
 #: Bits of a feature's number, bytes of the n-grams, and most texts of a language that are learned from.
 BITS, GRAMS, SAMPLE = 12, (2, 3, 4), 600
@@ -184,7 +185,7 @@ def languages(
         found = found.sort_values(["lang", "features"], kind="stable")
         x = np.frombuffer(b"".join(found.features), np.float32).reshape(len(found), -1)
         model = Hierarchy(x, found.lang.to_numpy())
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
     kind = rows.schema["id"].dataType.simpleString()
     out = rows.select("id", "held_out", "text").mapInArrow(
         _predict(shared), f"id {kind}, held_out boolean, lang_pred string, score double"

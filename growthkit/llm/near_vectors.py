@@ -18,9 +18,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from growthkit.llm.arrow import arrow_type
 from growthkit.llm.components import components, stored
 
 #: Nodes of a group for each pivot, the most pivots of a group, and home vectors that one task joins at once.
@@ -190,8 +190,7 @@ def near_vectors(
     dealt = own.unionByName(all_.withColumn("side", F.lit(1)))
     dealt = dealt.select(F.xxhash64("g", "block").alias("key"), "side", "node", "n", "unit")
     dealt = dealt.repartition("key").sortWithinPartitions("key", "side")
-    arrow = {T.IntegerType(): pa.int32(), T.LongType(): pa.int64(), T.StringType(): pa.string()}[kind]
-    found = dealt.mapInArrow(_join(threshold, arrow), f"what string, a {name}, b {name}, n long")
+    found = dealt.mapInArrow(_join(threshold, arrow_type(kind)), f"what string, a {name}, b {name}, n long")
     found = stored(found, "links")
 
     parts = components(found.where("what = 'edge'"), "a", "b").withColumnRenamed("node", "a")
