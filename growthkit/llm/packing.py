@@ -1,8 +1,8 @@
 """Packing of documents into windows of a fixed number of tokens by the sum-of-squares rule.
 
 A partition packs its documents one after another. What a document has beyond full windows goes to the
-fill level that makes the sum of squares of the numbers of open windows by level smallest. Windows still
-open at the end are laid out anew in a row and cut, the rest of them at powers of two, so nothing is padded.
+fill level that makes the sum of squares of the numbers of open windows by level smallest. Of the windows still
+open at the end, the emptiest are cut up to fill the others, the rest of them at powers of two, so nothing is padded.
 """
 
 from __future__ import annotations
@@ -16,23 +16,26 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from growthkit.llm.arrow import slices
+from growthkit.llm.arrow import arrow_type, slices
+from growthkit.llm.shared import Shared
 from growthkit.llm.word_tokens import WordTokens, vocabulary
 
-#: Tokens of a window, the id that ends a document, and the open windows a task holds before it cuts them.
-WINDOW, END, OPEN = 2048, 1, 4096
+#: Tokens of a window, and the id that ends a document.
+WINDOW, END = 2048, 1
 COLUMNS = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
 class Packer:
-    """The open windows of one partition; `rows` collects placed pieces."""
+    """The open windows of one partition; `rows` collects placed pieces.
 
-    def __init__(self, window: int, first_sequence: int, most_open: int = OPEN) -> None:
-        self.window, self.most_open = window, most_open
+    Open windows keep the ids of their pieces, in two bytes each where the vocabulary allows it.
+    """
+
+    def __init__(self, window: int, first_sequence: int) -> None:
+        self.window = window
         self.next = first_sequence
         self.count = np.zeros(window + 1, np.int64)  # open windows by fill level
         self.open: list[list] = [[] for _ in range(window)]
-        self.n_open = 0
         self.rows: list[tuple] = []
 
     def add(self, id, ids: np.ndarray) -> None:
@@ -41,9 +44,9 @@ class Packer:
         for at in range(0, whole, self.window):
             self._close([(id, at, ids[at : at + self.window], len(ids))])
         if whole < len(ids):
-            self._place((id, whole, ids[whole:], len(ids)))
-        if self.n_open > self.most_open:
-            self._lay_out(False)
+            tail = ids[whole:]
+            tail = tail.astype(np.uint16) if tail.max() < 1 << 16 else tail.copy()
+            self._place((id, whole, tail, len(ids)))
 
     def level(self, size: int) -> int:
         """The fill level, 0 for a new window, whose change of the sum of squares is smallest; the fullest on ties."""
@@ -60,14 +63,12 @@ class Packer:
         if level:
             pieces = self.open[level].pop()
             self.count[level] -= 1
-            self.n_open -= 1
         pieces.append(piece)
         if level + size == self.window:
             self._close(pieces)
         else:
             self.open[level + size].append(pieces)
             self.count[level + size] += 1
-            self.n_open += 1
 
     def _close(self, pieces: list[tuple]) -> None:
         offset = 0
@@ -77,34 +78,45 @@ class Packer:
             offset += len(ids)
         self.next += 1
 
-    def _lay_out(self, final: bool) -> None:
-        row = [piece for level in reversed(self.open) for pieces in level for piece in pieces]
+    def finish(self) -> None:
+        """Close all windows without padding.
+
+        The fullest open windows stay as the rule filled them; the emptiest are taken apart, and their pieces, cut
+        where needed, fill the others up. The last of them make windows of powers of two.
+        """
+        windows = [pieces for level in reversed(self.open) for pieces in level]
         self.open = [[] for _ in range(self.window)]
         self.count[:] = 0
-        self.n_open = 0
-        left = sum(len(p[2]) for p in row)
-        pieces, room = [], self._room(left, final)
-        for id, start, ids, total in row:
-            while len(ids):
-                piece = (id, start, ids[:room], total)
-                pieces.append(piece)
-                start, ids = start + len(piece[2]), ids[room:]
-                room -= len(piece[2])
-                left -= len(piece[2])
-                if not room:
-                    self._close(pieces)
-                    pieces, room = [], self._room(left, final)
-        if pieces:
-            fill = sum(len(p[2]) for p in pieces)
-            self.open[fill].append(pieces)
-            self.count[fill] = self.n_open = 1
-
-    def _room(self, left: int, final: bool) -> int:
-        """Tokens of the next window: a power of two at the very end."""
-        return self.window if left >= self.window or not final else 1 << max(0, left.bit_length() - 1)
+        loose: list[tuple] = []
+        at, end = 0, len(windows)
+        while at < end:
+            pieces, room = windows[at], self.window - sum(len(p[2]) for p in windows[at])
+            while room and (loose or end > at + 1):
+                if not loose:
+                    end -= 1
+                    loose = windows[end][::-1]
+                room -= self._cut(loose, room, pieces)
+            if room:
+                loose = pieces[::-1]
+            else:
+                self._close(pieces)
+            at += 1
+        left = sum(len(p[2]) for p in loose)
+        while left:
+            pieces, room = [], 1 << (left.bit_length() - 1)
+            left -= room
+            while room:
+                room -= self._cut(loose, room, pieces)
+            self._close(pieces)
 
-    def finish(self) -> None:
-        self._lay_out(True)
+    @staticmethod
+    def _cut(loose: list[tuple], room: int, pieces: list[tuple]) -> int:
+        """Move the last of `loose`, or as much of it as there is room for, to `pieces`; the number of ids moved."""
+        id, start, ids, total = loose.pop()
+        if len(ids) > room:
+            loose.append((id, start + room, ids[room:], total))
+        pieces.append((id, start, ids[:room], total))
+        return min(room, len(ids))
 
 
 def _pack(shared, kind: pa.DataType, window: int, end: int):
@@ -142,11 +154,11 @@ def packed(
 
     Nothing is shuffled: each partition packs its own rows in their order, and sequence_id starts with the
     partition's number, so that a task run again after a loss gives the same rows. `docs` must therefore have
-    the same rows in the same order when a task is repeated, as files have.
+    the same rows in the same order when a task is repeated, as files have. A task holds the ids of its open windows,
+    at most those of its partition's documents beyond full windows.
     """
     docs = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     kind = docs.schema["id"].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary(tokenizer))  # its size is the vocabulary's
+    shared = Shared(docs.sparkSession, vocabulary(tokenizer))  # its size is the vocabulary's
     schema = f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    arrow = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}[kind]
-    return docs.mapInArrow(_pack(shared, arrow, window, end), schema).withColumnRenamed("id", id)
+    return docs.mapInArrow(_pack(shared, arrow_type(docs.schema["id"].dataType), window, end), schema).withColumnRenamed("id", id)

@@ -243,13 +243,38 @@ def test_level_minimises_the_sum_of_squares():
     assert sum(r[2] for r in packer.rows) == sum(r[2] for r in {(r[0], r[1]): r for r in packer.rows}.values())
 
 
-def test_few_open_windows_are_held():
-    packer = Packer(64, 0, most_open=3)
-    for i in range(200):
-        packer.add(i, np.arange(33 + i % 7))
-        assert packer.n_open <= 4
-    packer.finish()
-    assert sum(r[2] for r in packer.rows) == sum(33 + i % 7 for i in range(200))
+def test_windows_stay_as_the_rule_filled_them():
+    """Only what padding forces is cut: the emptiest open windows, whose tokens fill the gaps of the others."""
+    rnd = random.Random(9)
+    for sizes in ([33 + i % 7 for i in range(200)], [rnd.randint(1, 200) for _ in range(300)], [5], [64], [1, 62], [40, 40]):
+        packer = Packer(64, 0)
+        for i, n in enumerate(sizes):
+            packer.add(i, np.arange(n))
+        still = [list(w) for level in reversed(packer.open) for w in level]
+        packer.finish()
+        pieces = sorted((r[0], r[1], r[2]) for r in packer.rows)
+        for i, n in enumerate(sizes):
+            own = [(start, length) for id, start, length in pieces if id == i]
+            assert [start for start, _ in own] == [sum(k for _, k in own[:j]) for j in range(len(own))]
+            assert sum(k for _, k in own) == n
+        fill = Counter()
+        for r in packer.rows:
+            assert r[6] == fill[r[5]]
+            fill[r[5]] += r[2]
+        assert all(f == 64 or f & (f - 1) == 0 for f in fill.values())
+        assert sum(f != 64 for f in fill.values()) <= 6
+        # the windows that were not taken apart still hold their pieces, whole
+        spare = sum(sum(len(p[2]) for p in w) for w in still)
+        gaps, kept = 0, 0
+        for w in still:
+            size = sum(len(p[2]) for p in w)
+            spare, gaps = spare - size, gaps + 64 - size
+            if gaps > spare:
+                break
+            kept += 1
+        placed = {(r[0], r[1], r[2]): r[5] for r in packer.rows}
+        for w in still[:kept]:
+            assert len({placed[p[0], p[1], len(p[2])] for p in w}) == 1
 
 
 @pytest.mark.parametrize("pivots,block", [(1, 1024), (4, 7)])
