@@ -1,9 +1,12 @@
-"""Main text of web pages: page structure first, then runs that a host repeats over its pages.
+"""Main text of web pages: page structure, and what a host repeats over its pages.
 
 A page whose article is marked (article, main, their roles, or a container named as content) gives the text inside, whatever else repeats it:
-copies of an article are still articles. On every host the token streams of its pages (of those with a marked
-article, what stands outside it) are concatenated, a suffix array finds long substrings on several pages, and
-what they cover is boilerplate: it is counted, and the unique runs of a page without a marked article are its text.
+copies of an article are still articles. Inside it, blocks named as notices, adverts and the like go. A block that
+only resembles one, by a part of its name or by its links, goes if the host repeats it.
+
+On every host the token streams of its pages (of those with a marked article, what stands outside it, and such blocks) are
+concatenated, a suffix array finds long substrings on several pages, and what they cover is boilerplate: it is
+counted, and the unique runs of a page without a marked article, or of such blocks, are text.
 """
 
 from __future__ import annotations
@@ -14,7 +17,6 @@ from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -39,23 +41,47 @@ DROPPED = set(
 )
 CONTAINER_WORDS = set("article articlebody content entry main post story".split())
 DROPPED_WORDS = set(
-    "ad ads advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments complementary"
-    " consent contentinfo cookie cookies disqus footer form login menu modal nav navbar navigation newsletter notice"
+    "ad ads advert adverts advertisement advertising alert banner breadcrumb breadcrumbs complementary"
+    " consent contentinfo cookie cookies footer form login menu modal nav navbar navigation newsletter notice"
     " popup promo promotion recommended related search share sidebar signup social sponsor sponsored subscribe toolbar"
     " widget".split()
 )
 
 
+#: Words of a class, id or role that mark reader comments, and the share of a block's characters in links from which
+#: it resembles a menu.
+COMMENT_WORDS = {"comment", "comments", "comment-list", "commentlist", "disqus"}
+LINKS = 0.5
+_NAME = re.compile(r"[^a-z0-9]+")
+# a declaration that is neither a comment, a doctype nor character data ends at the next >, as browsers read it
+_BOGUS = re.compile(r"<!(?!--|doctype|\[CDATA\[)[^>]*>?", re.IGNORECASE)
+_TAG = re.compile(r"<[^>]*>")
+#: How a piece of text stands to its page: outside the text, part of it, or in a block that may be either.
+OUT, IN, PERHAPS = range(3)
+
+
+class _Open:
+    """An open element: what its text is, the level of its article, and the block that may go with it."""
+
+    def __init__(self, tag: str, hard: bool, soft: bool, level: int, block: int) -> None:
+        self.tag, self.hard, self.soft, self.level, self.block = tag, hard, soft, level, block
+
+
 class _Reader(HTMLParser):
-    """Collects (level, text) pieces: 2 inside an article, 1 inside main or a container named as content, 0
-    elsewhere; and what is dropped."""
+    """Collects (level, block, kept, text) pieces.
+
+    Levels are 2 inside an article, 1 inside main or a container named as content, 0 elsewhere. A piece is not kept in an element
+    that is never text (`hard`), or in one named as boilerplate (`soft`), unless an article or main begins inside the latter. `block`
+    is the number of the innermost block, or of the outermost whose name has a word of boilerplate in it.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int]] = []
-        self.pieces: list[tuple[int, str]] = []
-        self.outside: list[str] = []
-        self.dropped, self.level, self.marked = False, 0, 0
+        self.open: list[_Open] = [_Open("", False, False, 0, 0)]
+        self.pieces: list[tuple[int, int, bool, str]] = []
+        self.marked, self.blocks, self.links = 0, 0, 0
+        self.resembles: set[int] = set()
+        self.size: dict[int, list[int]] = {}
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag not in INLINE:
@@ -63,26 +89,36 @@ class _Reader(HTMLParser):
         if tag in VOID:
             return
         given = {k: v or "" for k, v in attrs}
-        names = set(re.split(r"[^a-z0-9]+", f"{given.get('class', '')} {given.get('id', '')} {given.get('role', '')}".lower()))
-        level = self.level
-        if tag == "article" or given.get("itemprop") == "articleBody" or given.get("role") == "article":
-            level = 2
-        elif tag == "main" or given.get("role") == "main" or (tag in ("div", "section", "td") and names & CONTAINER_WORDS):
-            level = max(level, 1)
-        drop = tag in DROPPED or bool(names & DROPPED_WORDS and tag not in ("html", "body"))
-        drop = drop or (tag == "header" and not level) or "hidden" in given
-        drop = drop or "display:none" in given.get("style", "").replace(" ", "").lower()
-        self.open.append((tag, self.dropped, self.level))
-        self.dropped, self.level = self.dropped or drop, level
-        if not self.dropped:
+        labels = f"{given.get('class', '')} {given.get('id', '')} {given.get('role', '')}".lower()
+        whole, parts = set(labels.split()), set(_NAME.split(labels))
+        at = self.open[-1]
+        hard, soft, level, block = at.hard, at.soft, at.level, at.block
+        article = tag == "article" or given.get("itemprop") == "articleBody" or given.get("role") == "article"
+        main = tag == "main" or given.get("role") == "main"
+        if (article or main) and not (self.marked == 2 and (whole & COMMENT_WORDS or soft)):
+            soft, block, level = False, 0, 2 if article else max(level, 1)
+        elif tag not in ("html", "body"):
+            if tag in ("div", "section", "td") and parts & CONTAINER_WORDS and not parts & DROPPED_WORDS:
+                level = max(level, 1)
+            soft = soft or bool(whole & (DROPPED_WORDS | COMMENT_WORDS))
+            if tag not in INLINE and block not in self.resembles and not soft:
+                self.blocks += 1
+                block = self.blocks
+                if parts & DROPPED_WORDS:
+                    self.resembles.add(block)
+        hard = hard or tag in DROPPED or (tag == "header" and not level) or "hidden" in given
+        hard = hard or "display:none" in given.get("style", "").replace(" ", "").lower()
+        self.links += tag == "a"
+        self.open.append(_Open(tag, hard, soft, level, block))
+        if not hard and not soft:
             self.marked = max(self.marked, level)
 
     def handle_endtag(self, tag: str) -> None:
         if tag not in INLINE:
             self._break()
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                _, self.dropped, self.level = self.open[i]
+        for i in range(len(self.open) - 1, 0, -1):
+            if self.open[i].tag == tag:
+                self.links -= sum(x.tag == "a" for x in self.open[i:])
                 del self.open[i:]
                 return
 
@@ -91,49 +127,80 @@ class _Reader(HTMLParser):
             self._break()
 
     def handle_data(self, data: str) -> None:
-        if self.dropped:
-            if not self.open or self.open[-1][0] not in ("script", "style"):
-                self.outside.append(data)
-        else:
-            self.pieces.append((self.level, data))
+        at = self.open[-1]
+        if at.tag in ("script", "style"):
+            return
+        self.pieces.append((at.level, at.block, not (at.hard or at.soft), data))
+        if at.block and data.strip():
+            size = self.size.setdefault(at.block, [0, 0])
+            size[bool(self.links)] += len(data)
 
     def _break(self) -> None:
-        self.pieces.append((self.level, " "))
-        self.outside.append(" ")
+        at = self.open[-1]
+        self.pieces.append((at.level, at.block, not (at.hard or at.soft), " "))
+
+    def like_boilerplate(self, block: int) -> bool:
+        plain, linked = self.size.get(block, (0, 0))
+        return block in self.resembles or linked > LINKS * (plain + linked)
 
 
-def read_page(html: str) -> tuple[bool, list[str], list[str]]:
-    """(whether an article is marked, words of the text, words of the rest) of one page.
+def read_page(html: str) -> tuple[bool, list[str], list[int], list[str]]:
+    """(whether an article is marked, words that may be text, OUT, IN or PERHAPS of each, other words) of one page.
 
-    White space and borders of blocks part words; other markup does not.
+    White space and borders of blocks part words; other markup does not. On a page without a marked article all
+    words may be text and are PERHAPS. Markup that cannot be read leaves what stands between its tags, unmarked.
     """
     reader = _Reader()
-    reader.feed(html)
-    reader.close()
-    inside = "".join(text for level, text in reader.pieces if level >= reader.marked).split()
-    rest = "".join([*(text for level, text in reader.pieces if level < reader.marked), " ", *reader.outside]).split()
-    return reader.marked > 0, inside, rest
+    try:
+        reader.feed(_BOGUS.sub(" ", html))
+        reader.close()
+    except (AssertionError, ValueError, IndexError):
+        words = _TAG.sub(" ", html).split()
+        return False, words, [PERHAPS] * len(words), []
+    marked = reader.marked > 0
+    inside: list[tuple[int, list[str]]] = []
+    rest: list[str] = []
+    for level, block, kept, text in reader.pieces:
+        if not kept or level < reader.marked:
+            rest.append(text)
+            continue
+        rest.append(" ")
+        what = PERHAPS if not marked or block and reader.like_boilerplate(block) else IN
+        if inside and inside[-1][0] == what:
+            inside[-1][1].append(text)
+        else:
+            inside.append((what, [text]))
+    words, kinds = [], []
+    for what, texts in inside:
+        found = "".join(texts).split()
+        words += found
+        kinds += [what] * len(found)
+    return marked, words, kinds, "".join(rest).split()
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, url, host, html) to (id, url, host, marked, packed, stream): the stream is what boilerplate is sought in."""
+    """(id, url, host, key, alone, html) to (id, url, host, key, alone, packed, kinds, stream).
+
+    The stream is what boilerplate is sought in: the words that may go (PERHAPS), then the rest of a marked page. `kinds` has a
+    byte for each word of the text, or is null if all of them stay.
+    """
     press = zstandard.ZstdCompressor(level=3)
     for batch in batches:
-        marked, texts, streams = [], [], []
-        for html in batch.column(3):
-            has, words, rest = read_page(html.as_py() or "")
-            marked.append(has)
+        texts, kinds, streams = [], [], []
+        for html in batch.column(5):
+            _, words, kind, rest = read_page(html.as_py() or "")
             texts.append(press.compress(" ".join(words).encode("utf-8", "replace")))
-            sought = rest if has else words
-            streams.append([xxhash.xxh3_64_intdigest(w) >> 1 for w in sought])
+            sought = [w for w, k in zip(words, kind, strict=True) if k == PERHAPS] if PERHAPS in kind else []
+            kinds.append(bytes(kind) if sought else None)
+            streams.append([xxhash.xxh3_64_intdigest(w) >> 1 for w in (*sought, *rest)])
         yield pa.RecordBatch.from_arrays(
             [
-                *batch.columns[:3],
-                pa.array(marked, pa.bool_()),
+                *batch.columns[:5],
                 pa.array(texts, pa.binary()),
+                pa.array(kinds, pa.binary()),
                 pa.array(streams, pa.list_(pa.int64())),
             ],
-            ["id", "url", "host", "marked", "packed", "stream"],
+            ["id", "url", "host", "key", "alone", "packed", "kinds", "stream"],
         )
 
 
@@ -192,71 +259,54 @@ def boilerplate(
     return covered
 
 
-def _by_shard(of_shard):
-    """`of_shard` on the rows of each key; rows come in order of the key, their first column."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            key = batch.column(0).to_numpy()
-            cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), batch.num_rows]
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                if b == a:
-                    continue
-                if held and held[-1].column(0)[0].as_py() != key[a]:
-                    yield of_shard(pa.Table.from_batches(held))
-                    held = []
-                held.append(batch.slice(a, b - a))
-        if held:
-            yield of_shard(pa.Table.from_batches(held))
-
-    return run
-
-
 def _streams(table: pa.Table) -> list[np.ndarray]:
     return [np.array(s, np.int64) for s in table.column("stream").to_pylist()]
 
 
 def _shard_runs(run: int):
-    """Streams of a shard in; (key, run, pages) of each of its distinct runs out, the run by its hash."""
+    """Pages of a shard in; (key, run, pages) of each of its distinct runs out, the run by its hash. Nothing for the only shard
+    of a host."""
 
-    def of_shard(table: pa.Table) -> pa.RecordBatch:
-        streams = _streams(table)
-        key, host = (table.column(c)[0].as_py() for c in ("key", "host"))
+    def of_shard(table: pa.Table) -> pa.Table:
         pages = hashes = np.zeros(0, np.int64)
+        key, host, alone = (table.column(c)[0].as_py() for c in ("key", "host", "alone"))
+        streams = [] if alone else _streams(table)
         if sum(map(len, streams)) >= run:
             *_, pages, hashes = _pages_of(streams, run, host)
             pages, hashes = pages[hashes != 0], hashes[hashes != 0]
         columns = [np.full(len(pages), key, np.int64), hashes, pages.astype(np.int32)]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "run", "pages"])
+        return pa.table([pa.array(c) for c in columns], ["key", "run", "pages"])
 
-    return _by_shard(of_shard)
+    return of_shard
 
 
 def _unique_runs(run: int, pages: int):
-    """Pages of a shard and a row of known runs (no `marked`) in; (id, url, text, n_boilerplate) of the pages out."""
+    """Pages of a shard, and the row of runs known on other shards; (id, url, text, n_boilerplate) of the pages out."""
 
-    def of_shard(table: pa.Table) -> pa.RecordBatch:
+    def of_shard(table: pa.Table, known: pa.Table) -> pa.Table:
         press = zstandard.ZstdDecompressor()
-        is_page = table.column("marked").is_valid()
-        known = _streams(table.filter(pc.invert(is_page)))
-        table = table.filter(is_page)
-        host = table.column("host")[0].as_py()
-        covered = boilerplate(_streams(table), run, pages, known[0] if known else None, host)
-        texts = [press.decompress(x).decode() for x in table.column("packed").to_pylist()]
-        for i, marked in enumerate(table.column("marked").to_pylist()):
-            if not marked:
-                texts[i] = " ".join(w for w, gone in zip(texts[i].split(), covered[i].tolist(), strict=True) if not gone)
-        return pa.RecordBatch.from_arrays(
+        host = table.column("host")[0].as_py() if table.num_rows else 0
+        runs = _streams(known)[0] if known.num_rows else None
+        covered = boilerplate(_streams(table), run, pages, runs, host)
+        texts = []
+        for packed, kinds, gone in zip(*(table.column(c).to_pylist() for c in ("packed", "kinds")), covered, strict=True):
+            text = press.decompress(packed).decode()
+            if kinds is not None:
+                # the stream begins with the words that may go
+                goes = np.frombuffer(kinds, np.uint8) == PERHAPS
+                goes[goes] = gone[: int(goes.sum())]
+                text = " ".join(w for w, g in zip(text.split(), goes.tolist(), strict=True) if not g)
+            texts.append(text)
+        return pa.table(
             [
-                *(table.column(c).combine_chunks() for c in ("id", "url")),
+                *(table.column(c) for c in ("id", "url")),
                 pa.array(texts, pa.string()),
                 pa.array([int(c.sum()) for c in covered], pa.int64()),
             ],
             ["id", "url", "text", "n_boilerplate"],
         )
 
-    return _by_shard(of_shard)
+    return of_shard
 
 
 def main_text(
@@ -272,14 +322,16 @@ def main_text(
 
     The text is the article without menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
     and reader comments; references are decoded, white space is one space. n_chars counts its code points. On a
-    page without a marked article, runs of `run` tokens that stand on `least_pages` pages of its host are left
-    out. n_boilerplate counts the tokens in such runs, on a page with a marked article those outside it. A host
+    page without a marked article, and in blocks of an article that resemble boilerplate, runs of `run` tokens that
+    stand on `least_pages` pages of its host are left out. No class or id drops an article, main, or what they stand in.
+    n_boilerplate counts the tokens in such runs, on a page with a marked article those outside it and in such blocks. A page
+    whose markup cannot be read counts as one without a marked article, its tags taken out. A host
     with more than `shard` pages is dealt to several shards by a hash of page and address; their runs are added up
     by 64-bit hashes, so that the result does not depend on the shards. Null and empty pages have an empty text;
     all null addresses are one host. Repeated rows are pages like others; other columns are not read. A Spark job
     runs when this is called.
 
-    Texts cross one shuffle, compressed; streams cross one as hashes, those of a host of several shards two.
+    Every page is read once; its text crosses one shuffle, compressed, and its stream with it, as hashes.
     """
     rows = pages.select(F.col(id).alias("id"), F.col(url).alias("url"), F.col(html).alias("html"))
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
@@ -288,22 +340,24 @@ def main_text(
     # few hosts are large; their stored table tells its size, so that Spark need not shuffle pages to join it
     hosts = rows.groupBy("host").agg(F.ceil(F.count("*") / shard).alias("shards")).where("shards > 1")
     hosts = stored(hosts, "hosts")
-    read = rows.mapInArrow(
-        _read, f"id {kind}, url {of_url}, host long, marked boolean, packed binary, stream array<long>"
-    ).join(hosts, "host", "left")
     part = F.pmod(F.xxhash64("id", "url"), F.coalesce("shards", F.lit(1)))
-    key = F.xxhash64("host", part).alias("key")
-
-    dealt = read.where("shards > 1").select(key, "host", "stream").repartition("key").sortWithinPartitions("key")
-    runs = dealt.mapInArrow(_shard_runs(run), "key long, run long, pages int")
+    rows = rows.join(hosts, "host", "left").select(
+        "id", "url", "host", F.xxhash64("host", part).alias("key"), F.col("shards").isNull().alias("alone"), "html"
+    )
+    # pages are read once: both uses group the same rows by the same key, and Spark shares that exchange
+    read = rows.mapInArrow(
+        _read,
+        f"id {kind}, url {of_url}, host long, key long, alone boolean, packed binary, kinds binary, stream array<long>",
+    )
+    runs = read.groupBy("key").applyInArrow(_shard_runs(run), "key long, run long, pages int")
     # a run on enough pages of one shard is known there without the others
     wanting = F.when(F.col("pages") < least_pages, F.col("key"))
     often = runs.groupBy("run").agg(F.sum("pages").alias("pages"), F.collect_list(wanting).alias("keys"))
     known = often.where(F.col("pages") >= least_pages).select(F.explode("keys").alias("key"), "run")
     known = known.groupBy("key").agg(F.collect_list("run").alias("stream"))
 
-    whole = read.select(key, "id", "url", "host", "marked", "packed", "stream").unionByName(known, allowMissingColumns=True)
-    whole = whole.repartition("key").sortWithinPartitions("key")
-    out = whole.mapInArrow(_unique_runs(run, least_pages), f"id {kind}, url {of_url}, text string, n_boilerplate long")
+    out = read.groupBy("key").cogroup(known.groupBy("key")).applyInArrow(
+        _unique_runs(run, least_pages), f"id {kind}, url {of_url}, text string, n_boilerplate long"
+    )
     out = out.select("id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_boilerplate")
     return out.withColumnRenamed("id", id).withColumnRenamed("url", url)

@@ -180,3 +180,76 @@ def test_boilerplate_of_marked_pages_is_counted(spark):
     rows = [(i, f"https://h.example/{i}", f"<nav>{menu}</nav><article>story {i}</article>") for i in range(4)]
     got = main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert {r["page_id"]: (r["text"], r["n_boilerplate"]) for r in got} == {i: (f"story {i}", 9) for i in range(4)}
+
+
+HARD_PAGES = {
+    "<![foo[ x > <article>a b</article>": "a b",
+    "<![ x": "",
+    "<!doctype html [<!ENTITY x 'y'>]><article>z</article>": "z",
+    "<article>a <![CDATA[ b ]]> c <!-- d --> e &amp; f</article>": "a c e & f",
+    "<article>x &#xD800; &#99999999; y<!b": "x \ufffd \ufffd y",
+    '<div class="content-area no-sidebar"><article>one two</article></div>': "one two",
+    '<div class="sidebar widget"><main>one two</main></div>': "one two",
+    '<article class="post hentry comments-open">one</article>': "one",
+    '<article>a<div class="notice">b</div><p id="related-work">c</p></article>': "a c",
+    '<article>main</article><div id="comments"><article class="comment">c1</article></div>': "main",
+    '<div id="comments"><article>lone</article></div>': "lone",
+    "<article>a<aside>b</aside><nav><p>c</p></nav>d</article>": "a d",
+    "<article>" + "<div>" * 3000 + "deep" + "</div>" * 3000 + "</article>": "deep",
+}
+
+
+def test_markup_of_any_kind(spark):
+    rows = [(i, f"http://h{i}.example/", html) for i, html in enumerate(HARD_PAGES)]
+    got = main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == dict(enumerate(HARD_PAGES.values()))
+
+
+@pytest.mark.parametrize("shard", [512, 4])
+def test_blocks_like_boilerplate_go_where_the_host_repeats_them(spark, shard):
+    """A block of an article that is named like an advert, or is all links, goes if the host repeats it; prose never does."""
+    advert = " ".join(f"buy{i}" for i in range(12))
+    links = " ".join(f"<a href='#'>topic{i} more</a>" for i in range(8))
+    prose = " ".join(f"copied{i}" for i in range(30))
+    rows = [
+        (i, "http://h.example/p", f"<article><p>own{i} text</p><div class='promo-box'>{advert}</div><p>{prose}</p><ul>{links}</ul></article>")
+        for i in range(12)
+    ]
+    rows.append((99, "http://other.example/p", rows[0][2]))
+    got = main_text(spark.createDataFrame(rows, "page_id long, url string, html string"), shard=shard).collect()
+    texts = {r["page_id"]: r["text"] for r in got}
+    for i in range(12):
+        assert texts[i] == f"own{i} text {prose}"
+    assert advert in texts[99] and "topic3 more" in texts[99]
+
+
+def test_text_of_the_test_pages_is_their_article(spark):
+    """Accuracy of the registered query: every page's text, against its article with all tags taken out."""
+    import html as references
+    import re
+
+    import __spark_entry__ as entry
+
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = {r["page_id"]: r["text"] for r in entry.queries()["op2_host_suffix_array"](spark, "/root/testdata/sf0.01").collect()}
+    for r in pages.collect():
+        inside = re.search("<article>(.*)</article>", r["html"], re.S)[1]
+        inside = re.sub("<[^>]*>", " ", re.sub("</?b>", "", inside))
+        assert got[r["page_id"]] == " ".join(references.unescape(inside).split())
+
+
+def test_ids_of_other_types(spark):
+    """Ids may be of any type that Spark and Arrow share."""
+    for kind in ("short", "decimal(20,0)", "string", "int"):
+        rows = spark.createDataFrame([(1, "one two", [1.0, 0.5]), (2, "one two", [1.0, 0.5])], "i int, text string, embedding array<double>")
+        rows = rows.select(F.col("i").cast(kind).alias("doc_id"), "text", "embedding", F.lit(1).alias("label"))
+        assert packed(rows, WORDS).schema["doc_id"].dataType == rows.schema["doc_id"].dataType
+        assert {str(r["doc_id"]) for r in packed(rows, WORDS).collect()} == {"1", "2"}
+        assert [r["n_links"] for r in near_vectors(rows, id="doc_id").collect()] == [1, 1]
+
+
+def test_many_tiny_texts(spark):
+    """Rows are bounded by bytes of text; many texts of a few bytes must not take memory for each."""
+    df = spark.range(10000).select(F.col("id").alias("doc_id"), F.concat(F.lit("to be "), F.col("id")).alias("text"), F.lit("en").alias("lang"))
+    got = languages(df.coalesce(1)).groupBy("lang_pred").count().collect()
+    assert [tuple(r) for r in got] == [("en", 10000)]
