@@ -133,8 +133,10 @@ def latent(lists: list[tuple[np.ndarray, np.ndarray]], rank: int = RANK) -> tupl
     for _ in range(6):
         axes, _ = np.linalg.qr(table.T @ (table @ axes))
     _, _, turn = np.linalg.svd(table @ axes, full_matrices=False)
-    axes = (axes @ turn.T)[:, :rank] * rarity[:, None]
-    return axes, _projected(text, term, weight, n, axes)
+    axes = (axes @ turn.T)[:, :rank]
+    vectors = table @ axes
+    size = np.linalg.norm(vectors, axis=1, keepdims=True)
+    return axes * rarity[:, None], vectors / np.where(size > 0, size, 1)
 
 
 def votes(vectors: np.ndarray, known: np.ndarray, labels: np.ndarray, k: int = NEIGHBOURS, block: int = BLOCK) -> np.ndarray:
