@@ -1,4 +1,4 @@
-"""Distribution of a value per group, with exact quantiles, without gathering a group in one task."""
+"""Distribution of a value per group, with exact quantiles, without gathering or shuffling a group's values."""
 
 from __future__ import annotations
 
@@ -7,14 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from growthkit.functions.columns import names
+from growthkit.functions.columns import attach, join_groups, names
 
-# Buckets per doubling of 1+|x|; a bucket is about 0.07 % wide. Parts of a bucket between its ends.
-RESOLUTION = 1024
-PARTS = 4096
-# The bucket of unknown values; it sorts before all others.
-UNKNOWN = -(2**62)
-MOMENTS = ["n_rows", "n", "mean"]
+#: Ranks of a sketch are right to one in ACCURACY of a group. A bracket around a wanted rank reaches so many of these
+#: errors to each side, and its values are cut into PARTS more.
+ACCURACY, MARGIN, PARTS = 10000, 3, 4096
+MOMENTS = ["n_rows", "n", "mean", "sd"]
 
 
 def distribution(
@@ -23,19 +21,19 @@ def distribution(
     probs: dict[str, float],
     by: str | Sequence[str] = (),
     exact: bool = True,
-    accuracy: int = 10000,
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
-    """One row per group -> by, n_rows, n, mean, and an interpolated quantile per name in `probs`.
+    """One row per group -> by, n_rows, n, mean, sd, and an interpolated quantile per name in `probs`.
 
     `n` counts known values; NULL and NaN are unknown. With `exact=False` quantiles come from the
     sketch of `percentile_approx`: one small state per group and task, one shuffle.
 
-    The exact form counts equal values, then counts per value bucket and finds the few buckets that hold a
-    wanted rank. Since buckets follow the magnitude of values, values close to each other may share one: each
-    bucket found is therefore cut into equal parts between its own least and greatest value, these are counted
-    too, and the rank is looked up inside the few parts that hold it. Values, buckets, parts and
-    groups are separate shuffles, so a group with a third of all rows is spread over its parts, and a value
-    with a third of all rows is counted before it is sent.
+    The exact form takes the same sketch for a first look: it gives two split points around each wanted rank, a
+    few ten thousandths of the group apart, whatever the distribution. A second pass counts the values below, between and above
+    the split points exactly; only those inside a bracket are told apart, after they are counted, and cut into
+    parts. The rank is looked up in the one part that holds it. So a group with a third of all rows leaves its tasks as counts, a value with a
+    third of all rows as one, and no lookup sees more than a small part of the values. Groups no larger than `accuracy` are
+    one bracket. Were a sketch worse than it promises, the query would fail and not be wrong.
     """
     by = names(by)
     value = F.col(col).cast("double")
@@ -43,70 +41,72 @@ def distribution(
     # A struct is never NULL itself, and structs with NULL fields are equal to each other.
     key = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(1).alias("__all"))
     rows = df.select(key.alias("__g"), known.alias("__v"))
+    moments = [
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("__v").alias("n"),
+        F.avg("__v").alias("mean"),
+        F.stddev_samp("__v").alias("sd"),
+    ]
     if not exact:
-        return _unpack(
-            rows.groupBy("__g").agg(
-                F.count(F.lit(1)).alias("n_rows"),
-                F.count("__v").alias("n"),
-                F.avg("__v").alias("mean"),
-                *[F.percentile_approx("__v", float(p), accuracy).alias(n) for n, p in probs.items()],
-            ),
-            by,
-            probs,
-        )
-
-    bucket = f"CAST(signum(__v) * floor(log2(abs(__v) + 1) * {RESOLUTION}) AS BIGINT)"
-    counts = (
-        rows.withColumn("__b", F.expr(f"coalesce({bucket}, {UNKNOWN}L)"))
-        .groupBy("__g", "__b", "__v")
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
-    buckets = counts.groupBy("__g", "__b").agg(
-        F.sum("__n").alias("__rows"),
-        F.expr("sum(CASE WHEN __v IS NULL THEN 0L ELSE __n END)").alias("__c"),
-        F.expr("sum(__n * __v)").alias("__sum"),
-        F.min("__v").alias("__lo"),
-        F.max("__v").alias("__hi"),
+        sketched = [F.percentile_approx("__v", float(p), accuracy).alias(n) for n, p in probs.items()]
+        return _unpack(rows.groupBy("__g").agg(*moments, *sketched), by, probs)
+
+    # Split points in order of their ranks, and for each probability the first and last of its bracket.
+    reach = MARGIN / accuracy
+    ends = {n: (max(0.0, float(p) - reach), min(1.0, float(p) + reach)) for n, p in probs.items()}
+    points = sorted({x for pair in ends.values() for x in pair})
+    brackets = sorted({(points.index(lo), points.index(hi)) for lo, hi in ends.values()})
+    look = rows.groupBy("__g").agg(*moments, F.percentile_approx("__v", points, accuracy).alias("__s"))
+    splits = look.select("__g", F.struct("__s", (F.col("n") <= accuracy).alias("whole")).alias("__look"))
+    if by:
+        placed = attach(rows.where("__v IS NOT NULL"), splits, ["__g"])
+    else:
+        placed = rows.where("__v IS NOT NULL").withColumn("__look", splits.select("__look").scalar())
+
+    # Twice the number of points passed, less one on a point itself: even codes are open intervals, odd ones points.
+    passed = " + ".join(f"CAST(__v >= __look.__s[{i}] AS INT) + CAST(__v > __look.__s[{i}] AS INT)" for i in range(len(points)))
+    inside = " OR ".join(f"__code BETWEEN {2 * lo + 1} AND {2 * hi + 1}" for lo, hi in brackets)
+    least, most = (f"get(__look.__s, CAST(__code div 2 AS INT) - {i})" for i in (1, 0))
+    part = f"coalesce(CAST(floor(try_divide(__v - {least}, {most} - {least}) * {PARTS}) AS INT), 0)"
+    placed = placed.withColumn("__code", F.expr(f"CASE WHEN __look.whole THEN 0 ELSE {passed} END"))
+    placed = placed.withColumn("__in", F.expr(f"__look.whole OR {inside}")).select(
+        "__g",
+        "__v",
+        "__code",
+        F.expr(f"CASE WHEN __in AND NOT __look.whole AND __code > 0 THEN {part} ELSE 0 END").alias("__p"),
+        F.expr("CASE WHEN __in THEN __v END").alias("__x"),
     )
-    whole = W.partitionBy("__g")
-    running = whole.orderBy("__b").rowsBetween(W.unboundedPreceding, W.currentRow)
-    placed = buckets.withColumns(
-        {
-            "__start": F.sum("__c").over(running) - F.col("__c"),
-            "__total": F.sum("__c").over(whole),
-            "n_rows": F.sum("__rows").over(whole),
-            "__sum": F.sum("__sum").over(whole),
-        }
+    place = ["__g", "__code", "__p"]
+    counts = placed.groupBy(*place, "__x").agg(
+        F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi")
     )
 
-    # SQL texts: with many probabilities they are built faster than Column objects.
     at = {n: f"({float(p)!r}D * (__total - 1))" for n, p in probs.items()}
     low = {n: f"CAST(floor({position}) AS BIGINT)" for n, position in at.items()}
     high = {n: f"CAST(ceil({position}) AS BIGINT)" for n, position in at.items()}
-    # The lowest bucket is kept as well, so that every group has a row.
-    wanted = " OR ".join(f"({r} >= __start AND {r} < __start + __c)" for r in [*low.values(), *high.values()])
-    known_of = ["__total", "n_rows", "__sum"]
-    hit = placed.where(f"__start = 0 OR {wanted}").select("__g", "__b", "__start", "__lo", "__hi", *known_of)
-    part = f"coalesce(CAST(floor(try_divide(__v - __lo, __hi - __lo) * {PARTS}) AS INT), 0)"
-    near = counts.join(hit, ["__g", "__b"]).withColumn("__p", F.expr(part))
-    parts = near.groupBy("__g", "__b", "__p").agg(
-        F.expr("sum(CASE WHEN __v IS NULL THEN 0L ELSE __n END)").alias("__c"),
-        *[F.first(c).alias(c) for c in ("__start", *known_of)],
+    # A group has at most PARTS parts for each interval of its brackets.
+    whole = W.partitionBy("__g")
+    running = whole.orderBy("__code", "__p").rowsBetween(W.unboundedPreceding, W.currentRow)
+    parts = counts.groupBy(*place).agg(F.sum("__n").alias("__c"))
+    parts = parts.withColumn("__start", F.sum("__c").over(running) - F.col("__c"))
+    parts = parts.withColumn("__total", F.sum("__c").over(whole))
+    wanted = " OR ".join(f"({r} >= __start AND {r} < __start + __c)" for r in {**low, **{f"{n} ": r for n, r in high.items()}}.values())
+    found = parts.where(wanted).select(*place, "__start", "__total")
+    along = W.partitionBy(*place).orderBy("__x").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = counts.join(found, place).withColumn("__first", F.col("__start") + F.sum("__n").over(along) - F.col("__n"))
+    # Outside the brackets values are only counted; a rank falls there only on a value that fills its interval.
+    ranked = ranked.withColumn(
+        "__x",
+        F.when(F.col("__x").isNotNull(), F.col("__x"))
+        .when(F.col("__lo") == F.col("__hi"), F.col("__lo"))
+        .otherwise(F.raise_error(F.lit("a quantile sketch is worse than it promises")).cast("double")),
     )
-    before = W.partitionBy("__g", "__b").orderBy("__p").rowsBetween(W.unboundedPreceding, W.currentRow)
-    parts = parts.withColumn("__start", F.col("__start") + F.sum("__c").over(before) - F.col("__c"))
-    found = parts.where(f"__start = 0 OR {wanted}").select("__g", "__b", "__p", "__start", *known_of)
-    inside = W.partitionBy("__g", "__b", "__p").orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = near.select("__g", "__b", "__p", "__v", "__n").join(found, ["__g", "__b", "__p"])
-    ranked = ranked.withColumn("__first", F.col("__start") + F.sum("__n").over(inside) - F.col("__n"))
 
     def value_at(rank: str) -> str:
-        return f"max(CASE WHEN {rank} >= __first AND {rank} < __first + __n THEN __v END)"
+        return f"max(CASE WHEN {rank} >= __first AND {rank} < __first + __n THEN __x END)"
 
     picked = ranked.groupBy("__g").agg(
         F.max("__total").alias("__total"),
-        F.max("n_rows").alias("n_rows"),
-        F.max("__sum").alias("__sum"),
         *[F.expr(value_at(rank)).alias(f"__low_{n}") for n, rank in low.items()],
         *[F.expr(value_at(rank)).alias(f"__high_{n}") for n, rank in high.items()],
     )
@@ -114,17 +114,11 @@ def distribution(
         F.expr(f"`__low_{n}` + (`__high_{n}` - `__low_{n}`) * ({position} - floor({position}))").alias(n)
         for n, position in at.items()
     ]
-    return _unpack(
-        picked.select(
-            "__g",
-            "n_rows",
-            F.col("__total").alias("n"),
-            F.try_divide("__sum", "__total").alias("mean"),
-            *between,
-        ),
-        by,
-        probs,
-    )
+    look = look.select("__g", *MOMENTS)
+    if by:
+        return _unpack(join_groups(look, picked.select("__g", *between), ["__g"]), by, probs)
+    one = look.withColumn("__q", picked.select(F.struct(*between)).scalar())
+    return one.select(*MOMENTS, *[F.col("__q")[n].alias(n) for n in probs])
 
 
 def _unpack(out: DataFrame, by: Sequence[str], probs: dict[str, float]) -> DataFrame:
@@ -137,7 +131,7 @@ def quantiles(
     probs: dict[str, float],
     by: str | Sequence[str] = (),
     exact: bool = True,
-    accuracy: int = 10000,
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
     """Interpolated quantiles of `col` per group -> by, one column per name. See `distribution`."""
     return distribution(df, col, probs, by, exact, accuracy).drop(*MOMENTS)

@@ -29,11 +29,8 @@ def market_share(
 def summarize(df: DataFrame, dims: str | Sequence[str], col: str, exact: bool = True) -> DataFrame:
     """Distribution per group -> dims, n, mean, sd, median, p05, p95. `n` counts known values."""
     dims = names(dims)
-    keyed, group = (df, dims) if dims else (df.withColumn("__all", F.lit(1)), ["__all"])
-    value = F.col(col).cast("double")
-    spread = keyed.groupBy(*group).agg(F.stddev_samp(F.when(~F.isnan(value), value)).alias("sd"))
-    points = distribution(keyed, col, {"median": 0.5, "p05": 0.05, "p95": 0.95}, group, exact)
-    return join_groups(points, spread, group).select(*dims, "n", "mean", "sd", "median", "p05", "p95")
+    points = distribution(df, col, {"median": 0.5, "p05": 0.05, "p95": 0.95}, dims, exact)
+    return points.select(*dims, "n", "mean", "sd", "median", "p05", "p95")
 
 
 def avg_members(df: DataFrame, container: str | Sequence[str], member: str) -> DataFrame:
@@ -156,7 +153,7 @@ def compare_groups(df: DataFrame, group: str, cols: str | Sequence[str], exact:
     """Several metrics side by side for groups -> metric, group, n, mean, median."""
     cols = names(cols)
     long = to_long(df.select(F.col(group).alias("group"), *cols), ["group"], cols, "metric", "value")
-    return distribution(long, "value", {"median": 0.5}, ["metric", "group"], exact).drop("n_rows")
+    return distribution(long, "value", {"median": 0.5}, ["metric", "group"], exact).drop("n_rows", "sd")
 
 
 def plan_value(

@@ -41,18 +41,16 @@ def rfm(
     cuts = {f"q{i}": i / bins for i in range(1, bins)}
     measures = ["r_days", "freq", "monetary"]
     long = to_long(per_user, [], measures, "k", "v")
-    # Three rows of thresholds, folded into one scalar value of the plan.
+    # Three rows of thresholds, folded into one scalar value that the plan names once.
     edges = quantiles(long, "v", cuts, "k", exact).agg(
         F.map_from_entries(F.collect_list(F.struct("k", F.array(*cuts)))).alias("e")
     ).scalar()
 
     def above(col: str) -> Column:
-        passed = [(F.col(col) > edges[col][i]).cast("bigint") for i in range(bins - 1)]
-        return reduce(add, passed)
+        return F.size(F.filter(F.element_at("__edges", F.lit(col)), lambda edge: edge < F.col(col))).cast("bigint")
 
-    return per_user.withColumns(
-        {"r": F.lit(bins).cast("bigint") - above("r_days"), "f": above("freq") + 1, "m": above("monetary") + 1}
-    )
+    scores = {"r": F.lit(bins).cast("bigint") - above("r_days"), "f": above("freq") + 1, "m": above("monetary") + 1}
+    return per_user.withColumn("__edges", edges).withColumns(scores).drop("__edges")
 
 
 def rfm_summary(scores: DataFrame) -> DataFrame:

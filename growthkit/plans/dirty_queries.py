@@ -3,6 +3,8 @@ late cohorts, values close together."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from growthkit.operators import experiments, explore, metrics, paths, prepare, segments, unit_econ
@@ -53,6 +55,24 @@ def pm_sessions_anonymous(spark, sf_dir):
     return visits.groupBy("user_id").agg(F.count("*").alias("sessions"), F.sum("n_events").alias("n_events"))
 
 
+@query(
+    "pm_sessions_short_gap",
+    """WITH e AS (SELECT l_suppkey AS user_id, o_orderdate + to_seconds(l_partkey % 5000) AS ts
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+ s AS (SELECT user_id, ts, sum(CASE WHEN ts - before <= INTERVAL 1 SECOND THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts
+   ROWS UNBOUNDED PRECEDING) AS session_no FROM
+  (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM e) AS x)
+ SELECT user_id, CAST(session_no AS BIGINT) AS session_no, min(ts) AS started, max(ts) AS ended, count(*) AS n_events,
+ date_sub('second', min(ts), max(ts)) AS seconds FROM s GROUP BY 1, 2""",
+)
+def pm_sessions_short_gap(spark, sf_dir):
+    """Nearly every event is a session: the numbers must run through years of a user's slices."""
+    at = "o_orderdate + make_interval(0, 0, 0, 0, 0, 0, l_partkey % 5000)"
+    lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey"))
+    events = lines.select(F.col("l_suppkey").alias("user_id"), F.expr(at).alias("ts"))
+    return paths.sessions(events, "user_id", "ts", dt.timedelta(seconds=1))
+
+
 @query(
     "pm_transitions_untimed",
     f"""WITH m AS (SELECT event_type AS f, lead(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS t

@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from growthkit.functions.ordering import with_neighbour
-from growthkit.functions.quantiles import PARTS, distribution, quantiles
+from growthkit.functions.quantiles import distribution, quantiles
 
 PROBS = {"p01": 0.01, "q1": 0.25, "med": 0.5, "p99": 0.99, "low": 0.0, "top": 1.0}
 
@@ -110,18 +110,62 @@ def test_same_result_without_broadcast_joins(spark):
     assert got == {None: (9, 9, 3.0), "a": (3, 0, None), "b": (6, 6, 6.0)}
 
 
-@pytest.mark.parametrize(
-    "value",
-    ["id / 1e9", "1700000000D + id * 2.592", "CAST(id + 4000000000 AS DOUBLE)"],
-    ids=["rates", "seconds", "ids"],
-)
-def test_values_close_together_are_spread(spark, value):
-    """No task that looks up a rank holds more than a fiftieth of 100,000 distinct values."""
-    df = spark.range(100000).selectExpr(f"{value} AS v")
-    got = quantiles(df, "v", {"q": 0.5}).first()["q"]
-    exact = df.selectExpr("percentile(v, 0.5)").first()[0]
-    assert got == pytest.approx(exact, rel=1e-12)
-    lo, hi = df.selectExpr("min(v)", "max(v)").first()
-    part = f"CAST(floor((v - {lo!r}D) / ({hi!r}D - {lo!r}D) * {PARTS}) AS INT)"
-    # The worst case is a group whose values all share one bucket.
-    assert df.groupBy(F.expr(part)).count().agg({"count": "max"}).first()[0] <= 2000
+SPREADS = {
+    "rates": "id / 1e9",
+    "seconds": "1700000000D + id * 2.592",
+    "ids": "CAST(id + 4000000000 AS DOUBLE)",
+    "log-uniform": "exp(pmod(xxhash64(id), 1000000007) / 1000000007D * 40 - 20)",
+    "two clusters": "CASE WHEN id % 2 = 0 THEN id / 1e12 ELSE 1e12 + id END",
+    "a hot value": "CASE WHEN id % 3 = 0 THEN 7D ELSE rand(1) * id END",
+}
+
+
+@pytest.mark.parametrize("name", SPREADS)
+def test_values_are_exact_and_spread(spark, name):
+    """Exact for a million values of any distribution, and no task that looks up a rank holds a fiftieth of them."""
+    df = spark.range(0, 1_000_000, 1, 8).selectExpr("id % 2 AS g", f"{SPREADS[name]} AS v").persist()
+    probs = {"low": 0.01, "q": 0.5, "high": 0.95}
+    out = quantiles(df, "v", probs, "g")
+    got = {r["g"]: [r[n] for n in probs] for r in out.collect()}
+    want = df.groupBy("g").agg(F.percentile("v", list(probs.values())).alias("p")).collect()
+    df.unpersist()
+    assert set(got) == {r["g"] for r in want}
+    for r in want:
+        assert got[r["g"]] == pytest.approx(r["p"], rel=1e-12)
+    # what is looked up are the distinct values inside the brackets, by part
+    windows = [line for line in plan_metrics(out) if line[0].startswith("Window") and "__x" in line[1]]
+    assert windows and max(rows for _, _, rows in windows) <= 20_000
+
+
+def plan_metrics(df) -> list[tuple[str, str, int]]:
+    """(node, its text, the most rows that its input exchange sends) of the plan that ran."""
+    found = []
+
+    def walk(node) -> None:
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return walk(node.plan())
+        if name.startswith("Window"):
+            found.append((name, node.simpleString(1000), rows_below(node)))
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    def rows_below(node) -> int:
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return rows_below(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return rows_below(node.plan())
+        if name == "ReusedExchange":
+            return rows_below(node.child())
+        metric = node.metrics().get("shuffleRecordsWritten")
+        if metric.isDefined():
+            return int(metric.get().value())
+        children = node.children()
+        return max((rows_below(children.apply(i)) for i in range(children.size())), default=0)
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found

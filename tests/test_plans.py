@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from growthkit.functions.ordering import with_neighbour
 from growthkit.plans import catalog
 from growthkit.operators import explore, metrics, paths, prepare
 from growthkit.plans.adapters import event_log, event_revenue, order_log, table
@@ -107,8 +108,43 @@ def test_no_window_gathers_rows_in_one_task(spark, no_broadcast):
                 assert not re.search(r"Scan", line), (name, line)
 
 
-def test_median_reads_the_table_once(spark, no_broadcast):
-    df = explore.compare_groups(order_log(spark, DATA).withColumn("g", F.col("user_id") % 3), "g", "amount")
+def test_median_shuffles_no_raw_values(spark, no_broadcast):
+    """A sketch, then counts: two reads of the table, and what leaves the first tasks is counted already."""
+    df = explore.summarize(order_log(spark, DATA), [], "amount")
     df.collect()
     final = plan(df).split("== Initial Plan ==")[0]
-    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+    # walk up from each read of the table: an aggregate comes before any exchange
+    lines = [re.sub(r"^[ :+*-]*(?:\(\d+\) )?", "", line) for line in final.splitlines()]
+    reads = [i for i, line in enumerate(lines) if line.startswith("FileScan")]
+    assert reads
+    for i in reads:
+        above = next(line for line in lines[i::-1] if re.match(r"Exchange|\w*HashAggregate|SortAggregate", line))
+        assert "Aggregate" in above, above
+
+
+SLICED = {
+    "sessions": lambda e: paths.sessions(e, "user_id", "ts", dt.timedelta(seconds=1)),
+    "sessionize": lambda e: paths.sessionize(e, "user_id", "ts", dt.timedelta(seconds=1)),
+    "funnel": lambda e: paths.funnel(e, ["view", "click", "purchase"], "user_id", "ts", "event_type"),
+    "transitions": lambda e: paths.transitions(e, "user_id", "ts", "event_type", "event_id"),
+    "next order": lambda e: with_neighbour(e, "user_id", "ts", "event_id", "ts"),
+}
+
+
+@pytest.mark.parametrize("name", SLICED)
+def test_nothing_is_ordered_or_gathered_by_user_alone(spark, no_broadcast, name):
+    """Windows and lists take a user with a time slice or a node of slices, never a user's whole history."""
+    text = plan(SLICED[name](event_log(spark, DATA)))
+    for keys in re.findall(r"Window \[.*?\], \[([^\]]*)\]", text):
+        assert len(keys.split(",")) > 1 or keys.startswith("from"), keys
+    for keys in re.findall(r"ObjectHashAggregate\(keys=\[([^\]]*)\], functions=\[(?:partial_)?collect_list", text):
+        assert len(keys.split(",")) > 1, keys
+
+
+@pytest.mark.parametrize("name", ["transitions", "next order"])
+def test_raw_rows_are_sorted_once(spark, no_broadcast, name):
+    df = SLICED[name](event_log(spark, DATA))
+    df.collect()
+    text = plan(df).split("== Initial Plan ==")[0]
+    # a sort by time is one of raw rows; what else is sorted are slices and nodes
+    assert len([line for line in text.splitlines() if re.search(r"Sort \[.*\bts#", line)]) == 1
