@@ -110,3 +110,10 @@ def with_share(df: DataFrame, value: str, within: Sequence[str] = (), name: str
         return df.withColumn(name, ratio(F.col(value), total))
     totals = df.groupBy(*within).agg(F.sum(value).alias("__total"))
     return attach(df, totals, within).withColumn(name, ratio(F.col(value), F.col("__total"))).drop("__total")
+
+
+def known_number(df: DataFrame, col: str) -> Column:
+    """The column with NaN as NULL; whole numbers and decimals keep their type."""
+    if isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType)):
+        return F.when(~F.isnan(col), F.col(col))
+    return F.col(col)

@@ -121,9 +121,10 @@ def ab_prepare(
     """One row per user with total active time -> user, group, seconds, n_sessions.
 
     `groups` keeps the cities under comparison. A user seen in several groups keeps one row
-    per group, for `overlap` to find. A session that ends before it starts counts 0.
+    per group, for `overlap` to find. A session that ends before it starts counts 0. Sessions without a user are left out.
     """
-    rows = sessions if groups is None else sessions.where(F.col(group).isin(list(groups)))
+    rows = sessions.where(F.col(user).isNotNull())
+    rows = rows if groups is None else rows.where(F.col(group).isin(list(groups)))
     micros = F.unix_micros(F.col(ended).cast("timestamp")) - F.unix_micros(F.col(started).cast("timestamp"))
     length = F.greatest(F.floor(micros / 1_000_000), F.lit(0))
     return rows.groupBy(user, group).agg(
@@ -132,20 +133,20 @@ def ab_prepare(
 
 
 def overlap(df: DataFrame, user: str, group: str) -> DataFrame:
-    """Users in more than one group -> user, n_groups."""
-    pairs = df.where(F.col(group).isNotNull()).select(user, group).distinct()
+    """Users in more than one group -> user, n_groups. Rows without a user or a group are left out."""
+    pairs = df.where(F.col(group).isNotNull() & F.col(user).isNotNull()).select(user, group).distinct()
     return pairs.groupBy(user).agg(F.count(F.lit(1)).alias("n_groups")).where(F.col("n_groups") > 1)
 
 
 def srm(df: DataFrame, group: str, weights: dict[str, float], user: str | None = None) -> DataFrame:
     """Do group sizes fit the planned split? -> n, groups, unplanned, chi2, p.
 
-    With `user` given, users are counted; otherwise rows. A planned group without users counts as 0. Rows
+    With `user` given, users are counted, and rows without one are left out; otherwise rows are. A planned group without users counts as 0. Rows
     (or users) whose group is not planned, or unknown, are no part of the test but are counted in `unplanned`:
     any of them means that the assignment did not follow the plan.
     """
     total = sum(weights.values())
-    kept = df.select(user, group).distinct() if user else df
+    kept = df.where(F.col(user).isNotNull()).select(user, group).distinct() if user else df
     labels = list(weights)
     planned = F.coalesce(F.col(group).isin(labels), F.lit(False))
     sizes = kept.agg(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from growthkit.functions.columns import join_groups, names, period_of, ratio, salts_of, to_long, with_share
+from growthkit.functions.columns import known_number, names, period_of, ratio, salts_of, to_long, with_share
 from growthkit.functions.quantiles import distribution
 
 
@@ -21,8 +21,8 @@ def group_share(df: DataFrame, dims: str | Sequence[str], within: str | Sequence
 def market_share(
     df: DataFrame, entity: str | Sequence[str], amount: str, within: str | Sequence[str] | None = None
 ) -> DataFrame:
-    """Amount per player and its share of the whole -> entity, amount, share."""
-    summed = df.groupBy(*names(entity)).agg(F.sum(amount).alias("amount"))
+    """Amount per player and its share of the whole -> entity, amount, share. NULL and NaN amounts are unknown and add nothing."""
+    summed = df.groupBy(*names(entity)).agg(F.sum(known_number(df, amount)).alias("amount"))
     return with_share(summed, "amount", names(within))
 
 
@@ -66,13 +66,20 @@ def top_k(
     k: int,
     by: str | Sequence[str] | None = None,
     tie: str | Sequence[str] = (),
+    one_task: int = 10_000,
 ) -> DataFrame:
     """The k rows with the highest metric, overall or per group, with their place in `rank`.
 
-    `tie` decides between equal values and should make the order total. Per group, each of many parts
-    of it (by row content) gives its k best rows, and the k best of those are the result, for any k.
+    `tie` decides between equal values and should make the order total. A NULL or NaN metric is unknown and comes last. Per group,
+    each of many parts of it (by row content) gives its k best rows, and the k best of those are the result, for any k.
+
+    Overall, up to `one_task` rows are brought to one task. For a larger k the rows are cut into ranges of the metric, and equal
+    values into ranges of a numeric first tie column; ranges are counted, ranked inside, and the rows of the ranges before are
+    added. The split points are taken from a sketch when this is called, in a Spark job; only they reach the driver.
     """
-    order = [F.col(metric).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in names(tie)]]
+    ties = names(tie)
+    value = known_number(df, metric)
+    order = [value.desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in ties]]
     by = names(by)
     if by:
         content = [f.name for f in df.schema if not isinstance(f.dataType, T.MapType)]
@@ -82,11 +89,55 @@ def top_k(
         df = df.where(F.col("__at") <= k).drop("__part", "__at")
         place = F.row_number().over(W.partitionBy(*by).orderBy(*order))
         return df.withColumn("rank", place.cast("bigint")).where(F.col("rank") <= k)
+    if k > one_task and isinstance(df.schema[metric].dataType, T.NumericType):
+        return _ranked(df, value, k, order, ties)
     # Only k rows reach the window.
     best = df.orderBy(*order).limit(k)
     return best.withColumn("rank", F.row_number().over(W.orderBy(*order)).cast("bigint"))
 
 
+#: Ranges of a metric that `top_k` ranks apart, and of the tie column inside a value that fills one.
+RANGES, TIE_RANGES = 1024, 64
+
+
+def _ranked(df: DataFrame, value: Column, k: int, order: list[Column], ties: list[str]) -> DataFrame:
+    numeric = bool(ties) and isinstance(df.schema[ties[0]].dataType, T.NumericType)
+    looks = {"m": (value, RANGES), "t": (known_number(df, ties[0]), TIE_RANGES)} if numeric else {"m": (value, RANGES)}
+    sketch = df.agg(
+        *[
+            F.percentile_approx(column.cast("double"), [i / n for i in range(1, n)], 10 * n).alias(name)
+            for name, (column, n) in looks.items()
+        ]
+    ).first()
+
+    def range_of(column: Column, points: list[float] | None) -> Column:
+        """Even numbers between the points, odd ones on a point; unknown values after all."""
+        points = sorted(set(points or []))
+        # rows of 32 points are looked through, then points of one row
+        places, rows = (
+            F.expr(f"CAST(array({', '.join(f'{str(float(p))!r}' for p in some)}) AS array<double>)") for some in (points, points[::32])
+        )
+        at = column.cast("double")
+        row = F.greatest(F.size(F.filter(rows, lambda p: p <= at)) - 1, F.lit(0))
+        near = F.slice(places, row * 32 + 1, 32)
+        below, equal = F.size(F.filter(near, lambda p: p <= at)), F.array_contains(near, at)
+        code = 2 * (row * 32 + below) - F.when(equal, 1).otherwise(0)
+        return F.when(at.isNotNull(), code).otherwise(F.lit(2 * len(points) + 1))
+
+    code = F.when(value.isNotNull(), -range_of(value, sketch["m"])).otherwise(F.lit(1))
+    inside = F.lit(0)
+    if numeric:
+        inside = F.when(F.col("__m").isNotNull() & (F.pmod("__m", F.lit(2)) == 1), range_of(looks["t"][0], sketch["t"])).otherwise(F.lit(0))
+    placed = df.withColumn("__m", code).withColumn("__t", inside)
+    # At most 2 * RANGES * TIE_RANGES rows of counts are ordered in one task.
+    sizes = placed.groupBy("__m", "__t").agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(W.orderBy("__m", "__t").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("__n")
+    sizes = sizes.withColumn("__before", before).where(F.col("__before") < k).select("__m", "__t", "__before")
+    within = F.row_number().over(W.partitionBy("__m", "__t").orderBy(*order))
+    ranked = placed.join(sizes, ["__m", "__t"]).withColumn("rank", F.col("__before") + within).where(F.col("rank") <= k)
+    return ranked.select(*df.columns, "rank")
+
+
 def crosstab(df: DataFrame, row: str, col: str, values: Sequence[str], other: str = "other") -> DataFrame:
     """Counts of row category by column category -> row, one column for each of `values`, other.
 
@@ -161,10 +212,10 @@ def plan_value(
 ) -> DataFrame:
     """Revenue per user and month by plan -> plan, month, users, revenue, per_user.
 
-    `plan` is a column of `df`, or of `users` when the plan is a user attribute. Rows without a user are
+    `plan` is a column of `df`, or of `users` when the plan is a user attribute. Rows without a user or a time are
     left out: nobody's plan earned them.
     """
-    df = df.where(F.col(user).isNotNull())
+    df = df.where(F.col(user).isNotNull() & F.col(ts).isNotNull())
     own = [F.col(plan).alias("plan")] if users is None else []
     rows = df.select(F.col(user).alias("user"), *own, period_of(ts, "month").alias("month"), F.col(revenue).alias("r"))
     per_user = rows.groupBy("user", "month", *(["plan"] if own else [])).agg(F.sum("r").alias("r"))

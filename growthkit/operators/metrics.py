@@ -37,12 +37,14 @@ def active_users(
 ) -> DataFrame:
     """Distinct users per period and dim (DAU, WAU, MAU) -> period, dims, users.
 
-    A user seen on two platforms counts once on each; leave `dims` out for the total.
+    A user seen on two platforms counts once on each; leave `dims` out for the total. Events without a user or a
+    time are left out.
     """
     dims = names(dims)
-    seen = events.select(period_of(ts, period).alias("period"), user, *_own(dims, users)).distinct()
+    known = events.where(F.col(user).isNotNull() & F.col(ts).isNotNull())
+    seen = known.select(period_of(ts, period).alias("period"), user, *_own(dims, users)).distinct()
     return (
-        with_users(seen.where(F.col(user).isNotNull()), users, user, dims)
+        with_users(seen, users, user, dims)
         .groupBy("period", *dims)
         .agg(F.count(F.lit(1)).alias("users"))
     )
@@ -51,8 +53,11 @@ def active_users(
 def new_users(
     events: DataFrame, user: str, ts: str, users: DataFrame, channel: str, period: str = "month"
 ) -> DataFrame:
-    """Users by the period of their first event and channel -> period, channel, new_users."""
-    first = events.where(F.col(user).isNotNull()).groupBy(user).agg(F.min(ts).alias("__first"))
+    """Users by the period of their first event and channel -> period, channel, new_users.
+
+    Events without a user or a time are left out.
+    """
+    first = events.where(F.col(user).isNotNull() & F.col(ts).isNotNull()).groupBy(user).agg(F.min(ts).alias("__first"))
     first = first.select(user, period_of("__first", period).alias("period"))
     return with_users(first, users, user, [channel]).groupBy("period", channel).agg(
         F.count(F.lit(1)).alias("new_users")
@@ -169,11 +174,11 @@ def revenue_per_user(
 
     -> period, dims, active, payers, revenue, arpau, arppu. `revenue` is NULL on rows that
     are no purchase. ARPAU divides by users active in the period, ARPPU by users
-    with a purchase; without payers ARPPU is NULL.
+    with a purchase; without payers ARPPU is NULL. Events without a user or a time are left out.
     """
     dims = names(dims)
     own = _own(dims, users)
-    rows = events.where(F.col(user).isNotNull()).select(
+    rows = events.where(F.col(user).isNotNull() & F.col(ts).isNotNull()).select(
         user, *own, period_of(ts, period).alias("period"), revenue.alias("__r")
     )
     per_user = rows.groupBy("period", user, *own).agg(F.sum("__r").alias("__r"), F.count("__r").alias("__paid"))

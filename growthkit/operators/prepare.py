@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from growthkit.functions.columns import attach, names, to_long
+from growthkit.functions.columns import attach, join_groups, known_number, names, to_long
 from growthkit.functions.quantiles import quantiles
 from growthkit.operators.quality import duplicates
 
@@ -43,9 +45,15 @@ def fill_missing(
 ) -> DataFrame:
     """Fill NULLs with a constant (`cols` a dict) or with a statistic of the row's group.
 
-    `stat` is median or mean. A group with no value at all stays NULL.
+    `stat` is median or mean. A group with no value at all stays NULL. Columns keep their type and known values stay as they are:
+    whole numbers and decimals are compared and added up exactly, and a fill is rounded half up to what the type holds. A constant
+    that its column cannot hold unchanged is refused.
     """
     if isinstance(cols, dict):
+        for col, value in cols.items():
+            kind = df.schema[col].dataType
+            if isinstance(kind, T.IntegralType) and isinstance(value, float) and value != int(value):
+                raise ValueError(f"column {col} of type {kind.simpleString()} cannot hold {value}")
         return df.fillna(cols)
     by, cols = names(by), names(cols)
     if stat not in ("median", "mean"):
@@ -54,19 +62,35 @@ def fill_missing(
     if not by:
         out, group = df.withColumn("__all", F.lit(1)), ["__all"]
     fills = {c: f"__fill_{i}" for i, c in enumerate(cols)}
+    exact = [c for c in cols if isinstance(df.schema[c].dataType, (T.IntegralType, T.DecimalType))]
+    known = []
     if stat == "median":
-        # All columns in one long table: one pass over the rows and one join, whatever their number.
-        long = to_long(out, group, cols, "__name", "__value")
-        points = quantiles(long, "__value", {"__fill": 0.5}, [*group, "__name"])
-        of_column = [F.max(F.when(F.col("__name") == c, F.col("__fill"))).alias(name) for c, name in fills.items()]
-        known = points.groupBy(*group).agg(*of_column)
+        for c in exact:
+            known.append(quantiles(out, c, {fills[c]: 0.5}, group, typed=True))
+        if real := [c for c in cols if c not in exact]:
+            # The others in one long table: one pass over the rows, whatever their number.
+            long = to_long(out, group, real, "__name", "__value")
+            points = quantiles(long, "__value", {"__fill": 0.5}, [*group, "__name"])
+            of_column = [F.max(F.when(F.col("__name") == c, F.col("__fill"))).alias(fills[c]) for c in real]
+            known.append(points.groupBy(*group).agg(*of_column))
     else:
-        known = out.groupBy(*group).agg(*[F.avg(c).alias(name) for c, name in fills.items()])
-    out = attach(out, known, group)
-    filled = {c: F.coalesce(F.col(c).cast("double"), F.col(name)) for c, name in fills.items()}
+        known.append(out.groupBy(*group).agg(*[_mean(df, c).alias(name) for c, name in fills.items()]))
+    fill = reduce(lambda left, right: join_groups(left, right, group), known)
+    out = attach(out, fill, group)
+    filled = {c: F.coalesce(F.col(c), F.col(name).cast(df.schema[c].dataType)) for c, name in fills.items()}
     return out.withColumns(filled).select(*df.columns)
 
 
+def _mean(df: DataFrame, col: str) -> Column:
+    """The mean of a group; of whole numbers and decimals from their exact sum, rounded half up to their scale."""
+    kind = df.schema[col].dataType
+    if not isinstance(kind, (T.IntegralType, T.DecimalType)):
+        return F.avg(known_number(df, col))
+    scale = kind.scale if isinstance(kind, T.DecimalType) else 0
+    total = F.sum(F.col(col).cast(f"decimal({30 + min(scale, 6)},{scale})")).cast(f"decimal(38,{scale})")
+    return F.round(F.try_divide(total, F.count(col).cast("decimal(20,0)")), scale)
+
+
 def drop_missing(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
     """Rows in which every one of `cols` is known."""
     return df.dropna(subset=names(cols))

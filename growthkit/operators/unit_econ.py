@@ -17,21 +17,14 @@ def within_age(
 ) -> DataFrame:
     """Events of the first `max_age` days of each user, with `age` in days.
 
-    `start` has one row per user with its first day in `start_ts`. Ages are worked out on distinct
-    (user, day) pairs, and events meet them on both columns, so a very
-    active user is spread over its days.
+    `start` has one row per user with its first day in `start_ts`. Events are read once and meet the first days in a join on the
+    user, which adaptive execution splits for a very active one. Where events are stored in buckets of the user
+    (`sources.tables.write_bucketed`), they are joined where they lie. Events without a user or a time are left out.
     """
     first = start.select(user, F.to_date(start_ts).alias("__first"))
-    age = F.datediff("__day", "__first").cast("bigint")
-    dated = events.withColumn("__day", F.to_date(ts))
-    ages = (
-        dated.select(user, "__day")
-        .distinct()
-        .join(first, user)
-        .select(user, "__day", age.alias("age"))
-        .where(F.col("age").between(0, max_age - 1))
-    )
-    return dated.join(ages, [user, "__day"]).select(*events.columns, "age")
+    age = F.datediff(F.to_date(ts), "__first").cast("bigint")
+    aged = events.join(first, user).select(*events.columns, age.alias("age"))
+    return aged.where(F.col("age").between(0, max_age - 1))
 
 
 def daily_revenue(events: DataFrame, user: str, ts: str, revenue: Column) -> DataFrame:
@@ -40,7 +33,7 @@ def daily_revenue(events: DataFrame, user: str, ts: str, revenue: Column) -> Dat
     Events are summed per user and day before the first day is looked up.
     """
     per_day = (
-        events.where(F.col(user).isNotNull())
+        events.where(F.col(user).isNotNull() & F.col(ts).isNotNull())
         .groupBy(F.col(user), F.to_date(ts).alias("__day"))
         .agg(F.coalesce(F.sum(revenue).cast("double"), F.lit(0.0)).alias("revenue"))
     )

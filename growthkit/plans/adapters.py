@@ -68,11 +68,8 @@ def costs(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(COSTS, "channel string, cost double")
 
 
-def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each order stands for a listing that closes with the customer's next order.
-
-    -> id, user_id, price, opened, closed, platform, channel, place.
-    """
+def listing_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order stands for a listing that closes with the customer's next order -> id, user_id, price, opened, closed."""
     dated = with_neighbour(order_log(spark, sf_dir), "user_id", "ts", "order_id", "ts", grain="month")
     return dated.select(
         F.col("order_id").alias("id"),
@@ -80,4 +77,9 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("amount").alias("price"),
         F.to_date("ts").alias("opened"),
         F.to_date("next.ts").alias("closed"),
-    ).join(user_dim(spark, sf_dir), "user_id", "left")
+    )
+
+
+def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`listing_dates` with the place of the owner: platform, channel, place."""
+    return listing_dates(spark, sf_dir).join(user_dim(spark, sf_dir), "user_id", "left")

@@ -96,9 +96,9 @@ def mart_gsets(spark, sf_dir):
             table(spark, sf_dir, "part"),
             ["p_brand", "p_type"],
             {
-                "n": F.count(F.lit(1)),
-                "avg_price": F.avg("p_retailprice"),
-                "max_size": F.max("p_size").cast("bigint"),
+                "n": ("count", F.lit(1)),
+                "avg_price": ("avg", "p_retailprice"),
+                "max_size": ("max", F.col("p_size").cast("bigint")),
             },
             [["p_brand", "p_type"], ["p_brand"], []],
         )
@@ -117,7 +117,7 @@ def mart_cube(spark, sf_dir):
         marts.mart(
             table(spark, sf_dir, "orders"),
             ["o_orderstatus", "o_orderpriority"],
-            {"n": F.count(F.lit(1)), "total": F.sum("o_totalprice")},
+            {"n": ("count", F.lit(1)), "total": ("sum", "o_totalprice")},
         ),
         total=2,
     )
@@ -132,7 +132,7 @@ def mart_cube(spark, sf_dir):
     ),
 )
 def dq_profile(spark, sf_dir):
-    return quality.profile(table(spark, sf_dir, "orders"))
+    return quality.profile(table(spark, sf_dir, "orders"), exact=True)
 
 
 @query(
@@ -146,7 +146,7 @@ def dq_profile(spark, sf_dir):
 def dq_profile_filled(spark, sf_dir):
     t = load_tables(spark, sf_dir, ["documents", "labels"])
     joined = t["documents"].select("doc_id", "lang", "source", "n_chars").join(t["labels"], "doc_id", "left")
-    return quality.profile(joined, ["lang", "source", "n_chars", "quality", "toxic"])
+    return quality.profile(joined, ["lang", "source", "n_chars", "quality", "toxic"], exact=True)
 
 
 @query(
@@ -242,6 +242,8 @@ def dq_orphan_rows(spark, sf_dir):
 def prep_fill(spark, sf_dir):
     t = load_tables(spark, sf_dir, ["documents", "labels"])
     joined = t["documents"].select("doc_id", "lang", "source").join(t["labels"], "doc_id", "left")
+    # a median of 0 and 1 may be a half, which a double can hold
+    joined = joined.withColumn("quality", F.col("quality").cast("double"))
     return prepare.fill_missing(prepare.fill_missing(joined, {"toxic": 0}), ["quality"], by=["source"])
 
 

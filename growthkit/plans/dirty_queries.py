@@ -7,8 +7,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from growthkit.operators import experiments, explore, metrics, paths, prepare, segments, unit_econ
-from growthkit.plans.adapters import USERS_SQL, event_log, order_log, table, user_dim
+from growthkit.operators import experiments, explore, marts, metrics, paths, prepare, segments, unit_econ
+from growthkit.plans.adapters import USERS_SQL, event_log, event_revenue, order_log, table, user_dim
 from growthkit.plans.group_queries import AS_OF, RFM_SQL
 from growthkit.plans.product_queries import GAP, LAST_FULL_MONTH, STEPS, user_days
 from growthkit.plans.registry import query, rounded
@@ -284,3 +284,147 @@ def seg_rfm_named(spark, sf_dir):
     named = segments.rfm_segments(segments.rfm(order_log(spark, sf_dir), "user_id", "ts", "amount", AS_OF))
     out = named.groupBy("segment").agg(F.count("*").alias("customers"), F.sum("monetary").alias("revenue"))
     return rounded(out, 2)
+
+
+KNOWN_SQL = f"(SELECT * FROM {GAPS_SQL} AS g WHERE user_id IS NOT NULL AND ts IS NOT NULL)"
+
+
+@query(
+    "pm_mau_untimed",
+    f"""SELECT CAST(date_trunc('month', ts) AS DATE) AS period, platform, count(DISTINCT user_id) AS users
+ FROM {KNOWN_SQL} AS e JOIN {USERS_SQL} AS u USING (user_id) GROUP BY 1, 2""",
+)
+def pm_mau_untimed(spark, sf_dir):
+    return metrics.active_users(gappy(spark, sf_dir), "user_id", "ts", "month", "platform", user_dim(spark, sf_dir))
+
+
+@query(
+    "pm_new_users_untimed",
+    f"""WITH f AS (SELECT user_id, min(ts) AS ts FROM {KNOWN_SQL} AS e WHERE event_id % 40 = 1 GROUP BY user_id)
+ SELECT CAST(date_trunc('week', ts) AS DATE) AS period, channel, count(*) AS new_users
+ FROM f JOIN {USERS_SQL} AS u USING (user_id) GROUP BY 1, 2""",
+)
+def pm_new_users_untimed(spark, sf_dir):
+    """Some users have no event with a time: they are new in no period."""
+    some = gappy(spark, sf_dir).where("event_id % 40 = 1")
+    return metrics.new_users(some, "user_id", "ts", user_dim(spark, sf_dir), "channel", "week")
+
+
+@query(
+    "pm_arpau_untimed",
+    f"""SELECT CAST(ts AS DATE) AS period, count(DISTINCT user_id) AS active,
+ round(sum(CASE WHEN event_type = 'purchase' THEN value ELSE 0 END) + 1e-9, 2) AS revenue,
+ round(sum(CASE WHEN event_type = 'purchase' THEN value ELSE 0 END) / count(DISTINCT user_id) + 1e-9, 4) AS arpau
+ FROM {KNOWN_SQL} AS e GROUP BY 1""",
+)
+def pm_arpau_untimed(spark, sf_dir):
+    return rounded(metrics.arpau(gappy(spark, sf_dir), "user_id", "ts", event_revenue(), "day"), revenue=2)
+
+
+@query(
+    "eda_plan_value_untimed",
+    f"""SELECT platform AS plan, CAST(date_trunc('month', ts) AS DATE) AS month, count(DISTINCT user_id) AS users,
+ round(sum(value) + 1e-9, 2) AS revenue, round(sum(value) / count(DISTINCT user_id) + 1e-9, 2) AS per_user
+ FROM {KNOWN_SQL} AS e JOIN {USERS_SQL} AS u USING (user_id) GROUP BY 1, 2""",
+)
+def eda_plan_value_untimed(spark, sf_dir):
+    return rounded(explore.plan_value(gappy(spark, sf_dir), "user_id", "platform", "ts", "value", user_dim(spark, sf_dir)), 2)
+
+
+@query(
+    "ab_overlap_anonymous",
+    f"""SELECT user_id, count(DISTINCT event_type) AS n_groups FROM {GAPS_SQL} AS g WHERE user_id IS NOT NULL
+ GROUP BY user_id HAVING count(DISTINCT event_type) > 1""",
+)
+def ab_overlap_anonymous(spark, sf_dir):
+    return experiments.overlap(gappy(spark, sf_dir), "user_id", "event_type")
+
+
+@query(
+    "ab_srm_anonymous",
+    f"""WITH c AS (SELECT user_id % 2 AS half, count(DISTINCT user_id) AS n FROM {GAPS_SQL} AS g WHERE user_id IS NOT NULL GROUP BY 1),
+ x AS (SELECT CAST(sum(n) AS BIGINT) AS n, sum((n - t / 2) * (n - t / 2) / (t / 2)) AS chi2
+  FROM (SELECT n, sum(n) OVER () AS t FROM c) AS y)
+ SELECT n, CAST(2 AS BIGINT) AS groups, CAST(0 AS BIGINT) AS unplanned, round(chi2 + 1e-9, 6) AS chi2 FROM x""",
+)
+def ab_srm_anonymous(spark, sf_dir):
+    halves = gappy(spark, sf_dir).withColumn("half", F.when(F.col("user_id") % 2 == 0, "even").otherwise("odd"))
+    return rounded(experiments.srm(halves, "half", {"even": 1.0, "odd": 1.0}, "user_id").drop("p"), 6)
+
+
+@query(
+    "ab_prepare_anonymous",
+    f"""WITH s AS (SELECT user_id, event_type, CAST(ts AS DATE) AS day, min(ts) AS a, max(ts) AS b FROM {KNOWN_SQL} AS e GROUP BY 1, 2, 3)
+ SELECT user_id, event_type, CAST(sum(date_sub('second', a, b)) AS BIGINT) AS seconds, count(*) AS n_sessions
+ FROM s WHERE event_type IN ('view', 'click') GROUP BY 1, 2""",
+)
+def ab_prepare_anonymous(spark, sf_dir):
+    days = (
+        gappy(spark, sf_dir)
+        .where("ts IS NOT NULL")
+        .groupBy("user_id", "event_type", F.to_date("ts").alias("day"))
+        .agg(F.min("ts").alias("started"), F.max("ts").alias("ended"))
+    )
+    return experiments.ab_prepare(days, "user_id", "event_type", "started", "ended", ["view", "click"])
+
+
+LARGE = 2**60 + 1
+
+
+@query(
+    "prep_fill_long",
+    f"""WITH r AS (SELECT l_returnflag AS flag, CASE WHEN l_partkey % 7 <> 0 THEN {LARGE} + l_partkey END AS v FROM lineitem),
+ s AS (SELECT flag, v, row_number() OVER (PARTITION BY flag ORDER BY v) AS place, count(*) OVER (PARTITION BY flag) AS n
+  FROM r WHERE v IS NOT NULL),
+ m AS (SELECT flag, CAST((CAST(min(v) AS HUGEINT) + max(v) + 1) // 2 AS BIGINT) AS med FROM s
+  WHERE place IN ((n + 1) // 2, n // 2 + 1) GROUP BY flag)
+ SELECT flag, coalesce(v, med) AS v, count(*) AS n FROM r JOIN m USING (flag) GROUP BY 1, 2""",
+)
+def prep_fill_long(spark, sf_dir):
+    """Whole numbers beyond 2^53: what is known stays as it is, and the medians are exact."""
+    value = F.when(F.col("l_partkey") % 7 != 0, F.lit(LARGE) + F.col("l_partkey"))
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("flag"), value.alias("v"))
+    return prepare.fill_missing(rows, ["v"], by=["flag"]).groupBy("flag", "v").agg(F.count("*").alias("n"))
+
+
+@query(
+    "eda_topk_half",
+    """WITH h AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_partkey % 5 = 0 THEN 7777 WHEN l_partkey % 9 = 0 THEN NULL
+  ELSE l_extendedprice END AS price FROM lineitem),
+ s AS (SELECT *, row_number() OVER (ORDER BY price DESC NULLS LAST, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS rank FROM h)
+ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, price, rank FROM s WHERE rank <= 50000""",
+)
+def eda_topk_half(spark, sf_dir):
+    """Most of a table, a fifth of it with one value and a part of it unknown (as NaN), ranked without one task for all."""
+    tie = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    price = "CASE WHEN l_partkey % 5 = 0 THEN 7777D WHEN l_partkey % 9 = 0 THEN double('NaN') ELSE l_extendedprice END"
+    lines = table(spark, sf_dir, "lineitem").select(*tie, F.expr(price).alias("price"))
+    best = explore.top_k(lines, "price", 50000, tie=tie)
+    return best.withColumn("price", F.when(~F.isnan("price"), F.col("price")))
+
+
+@query(
+    "eda_market_share_unknown",
+    """WITH g AS (SELECT event_type, CASE WHEN event_id % 13 <> 0 THEN value END AS value FROM events)
+ SELECT event_type, round(sum(value) + 1e-9, 2) AS amount, round(sum(value) / sum(sum(value)) OVER () + 1e-9, 6) AS share
+ FROM g GROUP BY event_type""",
+)
+def eda_market_share_unknown(spark, sf_dir):
+    events = event_log(spark, sf_dir)
+    unknown = events.withColumn("value", F.expr("CASE WHEN event_id % 13 <> 0 THEN value ELSE double('NaN') END"))
+    return rounded(explore.market_share(unknown, "event_type", "value"), 2, share=6)
+
+
+@query(
+    "mart_null_categories",
+    """WITH p AS (SELECT CASE WHEN p_partkey % 6 <> 0 THEN p_brand END AS brand, p_size % 4 AS size, p_retailprice AS price FROM part)
+ SELECT brand, CAST(size AS BIGINT) AS size, count(*) AS n, round(sum(price) + 1e-9, 2) AS total, round(avg(price) + 1e-9, 4) AS mean,
+ round(min(price) + 1e-9, 4) AS low, CAST(grouping(brand) AS BIGINT) AS g_brand, CAST(grouping(size) AS BIGINT) AS g_size
+ FROM p GROUP BY CUBE (brand, size)""",
+)
+def mart_null_categories(spark, sf_dir):
+    brand = F.when(F.col("p_partkey") % 6 != 0, F.col("p_brand")).alias("brand")
+    size = (F.col("p_size") % 4).cast("bigint").alias("size")
+    parts = table(spark, sf_dir, "part").select(brand, size, F.col("p_retailprice").alias("price"))
+    wanted = {"n": ("count", F.lit(1)), "total": ("sum", "price"), "mean": ("avg", "price"), "low": ("min", "price")}
+    return rounded(marts.mart(parts, ["brand", "size"], wanted), total=2)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from growthkit.operators import explore, listings
-from growthkit.plans.adapters import LISTINGS_SQL, USERS_SQL, event_log, order_log, table, user_dim
+from growthkit.plans.adapters import LISTINGS_SQL, USERS_SQL, event_log, listing_dates, order_log, table, user_dim
 from growthkit.plans.adapters import listings as listing_rows
 from growthkit.plans.data_queries import join_payers
 from growthkit.plans.registry import query, rounded
@@ -266,7 +266,7 @@ def re_two_way(spark, sf_dir):
 def re_seasonality(spark, sf_dir):
     return rounded(
         listings.seasonality(
-            listing_rows(spark, sf_dir), {"published": "opened", "removed": "closed"}, full_years=True
+            listing_dates(spark, sf_dir), {"published": "opened", "removed": "closed"}, full_years=True
         )
     )
 

@@ -99,3 +99,16 @@ def write_slice(df: DataFrame, path: str, partition_by: str | Sequence[str] | No
         return
     keys = names(partition_by)
     df.hint("rebalance", *keys).write.mode("errorifexists").partitionBy(*keys).parquet(path)
+
+
+def write_bucketed(df: DataFrame, table: str, by: str | Sequence[str], buckets: int, sort_by: str | Sequence[str] = ()) -> DataFrame:
+    """Store `df` as a table whose rows lie in `buckets` by the hash of `by`, sorted inside them, and open it.
+
+    Joins and aggregates on `by` then need no exchange of its rows. The table must not exist yet. Rows are dealt to their buckets
+    before they are written, so that a bucket is one file. Every row of a key is in one bucket: choose another layout for
+    a table in which one key has a large part of the rows.
+    """
+    keys = names(by)
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.format("parquet").bucketBy(buckets, *keys).sortBy(*(names(sort_by) or keys)).saveAsTable(table)
+    return df.sparkSession.table(table)

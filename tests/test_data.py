@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from growthkit.operators import marts, prepare, quality
+from growthkit.operators import explore, marts, prepare, quality, unit_econ
 from growthkit.session import scratch_path
+from growthkit.sources import tables
 from growthkit.sources.tables import load_tables, read_csv, write_slice
 
 GAMES = T.StructType(
@@ -227,3 +229,85 @@ def test_slices_are_written_in_few_files(spark, tmp_path):
 def test_medians_of_several_columns_share_one_pass(spark, rows):
     df = spark.createDataFrame([("g", 1.0, None), ("g", None, 4), ("g", 3.0, 8), (None, None, 5)], "k string, x double, y int")
     assert rows(prepare.fill_missing(df, ["x", "y"], "k")) == [(None, None, 5.0), ("g", 1.0, 6.0), ("g", 2.0, 4.0), ("g", 3.0, 8.0)]
+
+
+class TestLargeResults:
+    """Forms for results that no one task may hold, against the plain ones."""
+
+    @pytest.mark.parametrize("tie", [["id"], ["name", "id"], []])
+    def test_top_k_of_half_a_table(self, spark, tie):
+        value = "CASE WHEN id % 3 = 0 THEN 5D WHEN id % 11 = 0 THEN double('NaN') WHEN id % 13 = 0 THEN NULL ELSE pmod(hash(id), 997) / 7 END"
+        df = spark.range(3000).selectExpr("id", f"{value} AS v", "concat('n', id % 100) AS name", "id AS rank_of")
+        got = explore.top_k(df, "v", 1500, tie=tie, one_task=10).collect()
+        assert sorted(r["rank"] for r in got) == list(range(1, 1501))
+        want = explore.top_k(df, "v", 1500, tie=tie).collect()
+
+        def known(v):
+            return None if v is None or v != v else v
+
+        if tie:
+            assert {(r["id"], r["rank"]) for r in got} == {(r["id"], r["rank"]) for r in want}
+        assert {(r["rank"], known(r["v"])) for r in got} == {(r["rank"], known(r["v"])) for r in want}
+
+    def test_top_k_of_unknown_values_only(self, spark):
+        df = spark.range(100).selectExpr("id", "CAST(NULL AS DOUBLE) AS v")
+        assert {(r["id"], r["rank"]) for r in explore.top_k(df, "v", 40, tie="id", one_task=10).collect()} == {(i, i + 1) for i in range(40)}
+        assert explore.top_k(df.where("false"), "v", 40, tie="id", one_task=10).collect() == []
+
+    def test_unknown_numbers_come_last(self, spark):
+        df = spark.createDataFrame([(1, float("nan")), (2, 3.0), (3, None), (4, float("inf"))], "id int, v double")
+        assert [r["id"] for r in explore.top_k(df, "v", 4, tie="id").orderBy("rank").collect()] == [4, 2, 1, 3]
+        shares = {r["id"]: r["share"] for r in explore.market_share(df.where("id < 4"), "id", "v").collect()}
+        assert shares == {1: None, 2: 1.0, 3: None}
+
+    def test_mart_from_the_finest_grain_equals_plain_aggregates(self, spark):
+        df = spark.range(500).selectExpr("CASE WHEN id % 7 > 0 THEN id % 5 END AS a", "id % 3 AS b", "CASE WHEN id % 4 > 0 THEN id END AS v")
+        named = {"n": ("count", "v"), "s": ("sum", "v"), "lo": ("min", "v"), "hi": ("max", "v"), "m": ("avg", "v")}
+        plain = {"n": F.count("v"), "s": F.sum("v"), "lo": F.min("v"), "hi": F.max("v"), "m": F.avg("v")}
+        for sets in (None, [["a", "b"], ["b"], []], [["b"]]):
+            got, want = (marts.mart(df, ["a", "b"], m, sets) for m in (named, plain))
+            assert got.columns == want.columns
+            assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        assert [marts.mart(df.where("false"), ["a"], m).collect() for m in (named, plain)] == [[], []]
+
+    def test_mart_multiplies_aggregated_rows_only(self, spark):
+        df = spark.range(500).selectExpr("id % 5 AS a", "id % 3 AS b", "id AS v")
+        text = marts.mart(df, ["a", "b"], {"s": ("sum", "v")})._jdf.queryExecution().executedPlan().toString()
+        assert "Aggregate" in text.split("Expand")[1]
+
+    def test_stored_profiles_add_up(self, spark):
+        df = spark.range(20000).selectExpr("id", "id % 50 AS few", "CASE WHEN id % 2 = 0 THEN id / 3 END AS half", "date_add(DATE'2024-01-01', CAST(id % 365 AS INT)) AS day")
+        days = [quality.profile_sketches(df.where(f"id % 4 = {i}")) for i in range(4)]
+        merged = quality.profile_of(days[0].union(days[1]).union(days[2]).union(days[3]))
+        got = {r["col"]: r for r in merged.collect()}
+        want = {r["col"]: r for r in quality.profile(df, exact=True).collect()}
+        for col, r in want.items():
+            assert (got[col]["n"], got[col]["nulls"]) == (r["n"], r["nulls"])
+            assert got[col]["n_distinct"] == pytest.approx(r["n_distinct"], rel=0.08)
+        text = quality.profile(df)._jdf.queryExecution().executedPlan().toString()
+        assert "Generate" not in text.split("Exchange")[-1] and "hll_sketch_agg" in text
+
+    def test_fill_keeps_types(self, spark):
+        df = spark.createDataFrame([("a", 2**60 + 1, 1.5), ("a", 2**60 + 4, None), ("a", None, 2.5)], "g string, x long, y double")
+        for stat in ("median", "mean"):
+            out = prepare.fill_missing(df, ["x", "y"], "g", stat)
+            assert out.schema == df.schema
+            assert sorted(r["x"] for r in out.collect()) == [2**60 + 1, 2**60 + 3, 2**60 + 4]
+            assert sorted(r["y"] for r in out.collect()) == [1.5, 2.0, 2.5]
+        with pytest.raises(ValueError):
+            prepare.fill_missing(df, {"x": 1.5})
+
+    def test_bucketed_events_meet_first_days_where_they_lie(self, spark):
+        events = spark.range(4000).selectExpr("id % 40 AS user", "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, CAST(id % 60 AS INT)) AS ts")
+        start = events.groupBy("user").agg(F.min("ts").alias("first"))
+        name = f"events_{uuid.uuid4().hex}"
+        stored = tables.write_bucketed(events, name, "user", 4, "ts")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            young = unit_econ.within_age(stored, start, "user", "ts", "first", 28)
+            text = young._jdf.queryExecution().executedPlan().toString()
+            assert text.count(f"{name}[") + text.count(f"{name} ") >= 1 and text.split(name)[0].count("Exchange") == 0
+            assert young.count() == unit_econ.within_age(events, start, "user", "ts", "first", 28).count()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+            spark.sql(f"DROP TABLE {name}")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import decimal
 
 import numpy as np
 import pandas as pd
@@ -132,11 +133,26 @@ def test_values_are_exact_and_spread(spark, name):
     assert set(got) == {r["g"] for r in want}
     for r in want:
         assert got[r["g"]] == pytest.approx(r["p"], rel=1e-12)
-    # what is looked up are the distinct values inside the brackets, by part
-    windows = [line for line in plan_metrics(out) if line[0].startswith("Window") and "__x" in line[1]]
+    # what is looked up are the distinct values inside the brackets
+    windows = [line for line in plan_metrics(out) if line[0].startswith("Window") and "__lo" in line[1]]
     assert windows and max(rows for _, _, rows in windows) <= 20_000
 
 
+def test_whole_numbers_and_decimals_are_exact(spark):
+    base = 2**60
+    rows = [(i % 2, base + 3 * i, f"{10**15 + i}.{i % 100:02d}") for i in range(301)]
+    df = spark.createDataFrame(rows, "g int, x long, t string").withColumn("m", F.col("t").cast("decimal(20,2)"))
+    for col, kind in (("x", int), ("m", decimal.Decimal)):
+        got = {r["g"]: r["med"] for r in quantiles(df, col, {"med": 0.5}, "g", typed=True).collect()}
+        few = {r["g"]: r["med"] for r in quantiles(df, col, {"med": 0.5}, "g", accuracy=20, typed=True).collect()}
+        for g in (0, 1):
+            own = sorted(kind(r[1] if col == "x" else r[2]) for r in rows if r[0] == g)
+            half = len(own) // 2
+            want = own[half] if len(own) % 2 else (own[half - 1] + own[half]) / decimal.Decimal(2) if col == "m" else -(-(own[half - 1] + own[half]) // 2)
+            want = want if col == "x" else decimal.Decimal(want).quantize(decimal.Decimal("0.01"), decimal.ROUND_HALF_UP)
+            assert got[g] == few[g] == want and isinstance(got[g], kind)
+
+
 def plan_metrics(df) -> list[tuple[str, str, int]]:
     """(node, its text, the most rows that its input exchange sends) of the plan that ran."""
     found = []
