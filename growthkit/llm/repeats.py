@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from growthkit.llm.anchors import GRAM, anchors, digest
 from growthkit.llm.arrow import slices
 from growthkit.llm.components import stored
+from growthkit.llm.hashing import mix, powers
+from growthkit.llm.hashing import words as word_hashes
 from growthkit.llm.suffix_array import sorted_rows
 
 #: Bytes of contexts whose suffixes one shard sorts at once, and contexts of one anchor it takes.
@@ -291,6 +293,50 @@ def repeated_words(docs: DataFrame, text: str, words: int, length: int, **shard:
     return found.groupBy("tid").agg(F.collect_set("span").alias("spans"))
 
 
+def _sampled_strings(words: int, string: int):
+    """(tid, text) in; out (tid, string, at) of strings of `string` words, at least one of every `words` words in a row.
+
+    Of the strings in each `words` words the one with the smallest hash is taken, the last of equal ones; equal words give equal choices.
+    """
+    reach = words - string + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, offsets in slices(batches, "text"):
+            hashes, first = word_hashes(data, offsets, lower=False)
+            up, down = powers(len(hashes) + 1)
+            running = np.zeros(len(hashes) + 1, np.uint64)
+            np.cumsum(mix(hashes) * up[:-1], out=running[1:])
+            starts = np.arange(max(0, len(hashes) - string + 1))
+            found = mix((running[starts + string] - running[starts]) * down[starts])
+            tids, out = rows.column(0).to_numpy(), ([], [], [])
+            for tid, lo, hi in zip(tids.tolist(), first[:-1].tolist(), first[1:].tolist(), strict=True):
+                if hi - lo < words:
+                    continue
+                own = found[lo : hi - string + 1]
+                around = np.lib.stride_tricks.sliding_window_view(own, reach)
+                at = np.unique(np.arange(len(around)) + reach - 1 - around[:, ::-1].argmin(axis=1))
+                for column, value in zip(out, (np.full(len(at), tid), own[at].astype(np.int64), at.astype(np.int32)), strict=True):
+                    column.append(value)
+            kinds = (np.int64, np.int64, np.int32)
+            columns = [pa.array(np.concatenate(c) if c else np.zeros(0, k)) for c, k in zip(out, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, ["tid", "string", "at"])
+
+    return run
+
+
+def shared_strings(docs: DataFrame, text: str, words: int = 50, string: int = 32) -> DataFrame:
+    """(tid, n_shared): for each distinct text, how many of its sampled strings of `string` words also stand elsewhere.
+
+    A passage of `words` words that stands in two places, in whatever surroundings and however few bytes it takes, always has such a
+    string; a shorter one may. Words are runs of other bytes than space and \t to \r; texts without such strings are left out.
+    """
+    texts = docs.select(text_digest(text).alias("tid"), F.col(text).alias("text"))
+    found = texts.mapInArrow(_sampled_strings(words, string), "tid long, string long, at int")
+    found = stored(found, "strings")
+    often = found.groupBy("string").agg(F.count("*").alias("n")).where("n > 1").select("string")
+    return found.join(often, "string").select("tid", "at").distinct().groupBy("tid").agg(F.count("*").alias("n_shared"))
+
+
 def text_digest(text: str) -> Column:
     """Null counts as empty."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
@@ -324,26 +370,28 @@ def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
         kinds = [pa.int64()] * 3 + [pa.string()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
-            ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+            [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)), batch.column(3)],
+            ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_shared"],
         )
 
 
 def repeated_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = 400, **shard: int) -> DataFrame:
-    """Per row of `docs`: id, n_bytes, n_removed, n_spans, kept_sha256.
+    """Per row of `docs`: id, n_bytes, n_removed, n_spans, kept_sha256, n_shared.
 
     A text is its UTF-8 bytes; a byte is removed if it stands in a string of `length` bytes that also starts
     at any other place of any text, its own included. Strings are judged on the input. n_spans counts the
-    maximal removed runs; kept_sha256 is of the bytes left, concatenated. Null counts as empty; a text
-    shorter than `length` loses nothing. Repeated rows are copies of each other, ids are only carried, and
+    maximal removed runs; kept_sha256 is of the bytes left, concatenated. n_shared counts strings of 32 words that also stand
+    elsewhere (`shared_strings`): it is above 0 wherever a passage of fifty words is repeated, also one of fewer than `length`
+    bytes, which loses nothing. Null counts as empty; a text shorter than `length` loses nothing. Repeated rows are copies of each other, ids are only carried, and
     other columns are not read. Spark jobs run when this is called.
     """
     spans = repeated_spans(docs, text, length, **shard)
+    shared = shared_strings(docs, text)
     kind = docs.schema[id].dataType.simpleString()
     rows = docs.select(F.col(id).alias("id"), text_digest(text).alias("tid"), F.col(text).alias("text"))
-    rows = rows.mapInArrow(_pack, f"id {kind}, tid long, packed binary").join(spans, "tid", "left")
-    out = rows.select("id", "packed", "spans").mapInArrow(
-        _report, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    rows = rows.mapInArrow(_pack, f"id {kind}, tid long, packed binary").join(spans, "tid", "left").join(shared, "tid", "left")
+    out = rows.select("id", "packed", "spans", F.coalesce("n_shared", F.lit(0)).alias("n_shared")).mapInArrow(
+        _report, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_shared long"
     )
     return out.withColumnRenamed("id", id)
 

@@ -20,6 +20,7 @@ import __spark_entry__ as entry
 from growthkit.llm import alignment
 from growthkit.llm.merge_path import common
 from growthkit.llm.neighbours import TERMS, neighbour_quality, terms, votes
+from growthkit.llm.repeats import repeated_bytes
 from growthkit.llm.token_links import byte_vocabulary, links, piece_vocabulary, token_links
 from growthkit.llm.turns import repaired
 
@@ -251,3 +252,34 @@ def test_neighbours_on_edge_rows(spark):
     assert [got[i]["held_out"] for i in range(7)] == [zlib.crc32(str(i).encode()) % 3 == 1 for i in range(7)]
     assert {r["score"] for r in neighbour_quality(df, labels.where("false")).collect()} == {0.0}
     assert neighbour_quality(df.where("false"), labels).collect() == []
+
+
+def test_shared_strings_find_every_repeated_passage(spark):
+    """Every passage of fifty words in two places, however short its words; nothing where no 32 words are repeated."""
+    rnd = random.Random(6)
+
+    def prose(n: int, length: int) -> list[str]:
+        return ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(length, length + 4))) for _ in range(n)]
+
+    passages = [prose(50, n) for n in (2, 4, 9)]
+    texts = [" ".join(prose(rnd.randrange(200), 4) + passages[i % 3] + prose(rnd.randrange(200), 4)) for i in range(12)]
+    texts += [" ".join(prose(300, 4)) for _ in range(8)]
+    texts += [" ".join(passages[0][:31] + prose(60, 4)) for _ in range(4)] + [" ".join(passages[1] + ["x"] + passages[1]), "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["n_shared"] for r in repeated_bytes(df).collect()}
+    assert all(got[i] > 0 for i in range(12)) and got[24] > 1
+    assert all(got[i] == 0 for i in [*range(12, 24), 25, 26])
+
+
+def test_benchmark_passages_are_found(spark):
+    """Documents of the test table that hold a benchmark passage of over fifty words which another one holds too."""
+    if not os.path.isdir("/root/testdata/sf0.01"):
+        pytest.skip("test tables are not here")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    items = [r[0] for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").select("text").collect()]
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.select("doc_id", "text").collect()}
+    got = {r["doc_id"]: r["n_shared"] for r in repeated_bytes(docs).collect()}
+    for item in (i for i in items if i and len(i.split()) > 50):
+        holders = [d for d, t in texts.items() if item in t]
+        if len(holders) > 1:
+            assert all(got[d] > 0 for d in holders)
