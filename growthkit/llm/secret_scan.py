@@ -31,8 +31,10 @@ _HEX = re.compile("[0-9a-f]+")
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
 _WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
-#: Characters of the shortest run that is tested, and characters per token below which it is random.
-SHORTEST, PER_TOKEN = 20, 2.0
+#: Characters of the shortest run that is tested, characters per token below which it is random, and the part of
+#: that for a run of letters alone, which may be a word (on the test texts, invented words have 2.0 or more).
+SHORTEST, PER_TOKEN, LETTERS_ALONE = 20, 2.0, 0.95
+_ALPHABET = "abcdefghijklmnopqrstuvwxyz" * 2
 #: Lengths of hexadecimal digests in common use (32 to 128 digits), which are not secrets by themselves.
 DIGESTS = (32, 40, 48, 56, 64, 96, 128)
 _UUID = re.compile("[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.IGNORECASE)
@@ -41,13 +43,15 @@ _KEY_BYTES[[ord(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxy
 
 
 def known(run: str) -> bool:
-    """Whether a run is a digest, a UUID, a number or a string without a mixture of characters."""
+    """Whether a run is a digest, a UUID, a number, or letters in the order of the alphabet."""
     if _UUID.fullmatch(run) or (len(run) in DIGESTS and re.fullmatch("[0-9a-fA-F]+", run)):
         return True
-    digits = any(c.isdigit() for c in run)
-    letters = any(c.isalpha() for c in run)
-    turns = len(re.findall("[a-z][A-Z]|[A-Z][a-z]", run))
-    return not letters or not (digits or turns >= 4)
+    return run.lower() in _ALPHABET or not any(c.isalpha() for c in run)
+
+
+def limit_of(run: str, per_token: float) -> float:
+    """Characters per token below which a run is random: `per_token`, a little less for a run of letters alone."""
+    return per_token if not run.isalpha() else per_token * LETTERS_ALONE
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -65,7 +69,7 @@ def random_spans(text: str, base: list, tokens, per_token: float) -> list[tuple[
         a, b = m.span()
         if b - a < SHORTEST or known(m.group()) or any(x < b and a < y for x, y, _ in base):
             continue
-        if b - a < per_token * tokens(m.group()):
+        if b - a < limit_of(m.group(), per_token) * tokens(m.group()):
             out.append((a, b, "random"))
     return out
 

@@ -337,3 +337,72 @@ def test_secret_spans(spark):
     assert got[0]["spans"].startswith("assign:2:19,access:33:")
     assert [got[i]["n_random"] for i in range(5)] == [0, 0, 0, 1, 0]
     assert got[1]["n_assign"] == 2
+
+
+def test_letters_alone_may_be_secrets(spark):
+    texts = ["use JBSWYDPEBLWKQZXCVBNMHTRE now", "kxqvzmwrtpbnlsjdfghyc", "abcdefghijklmnopqrstuvwxyz", "enpfauungeinachiesch word", "1" * 30]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in secrets(df, public_tokenizers.path("byte_bpe_50k.tiktoken"), PATTERN).collect()}
+    assert got == {0: "random:4:28", 1: "random:0:21", 2: "", 3: "", 4: "hex:0:30"}
+
+
+def slow_base_spans(text: str) -> str:
+    """The fixed patterns, character by character, without regular expressions."""
+    spans = []
+    value = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
+    lower = "".join(c.lower() if c.isascii() else c for c in text)
+
+    def runs(allowed: set, start: int) -> int:
+        end = start
+        while end < len(text) and text[end] in allowed:
+            end += 1
+        return end
+
+    at = 0
+    while at < len(text):
+        word = next((w for w in ("password", "passwd", "secret", "token", "api_key", "apikey") if lower.startswith(w, at)), None)
+        found = None
+        if word:
+            p = at + len(word)
+            for quote in (1, 0):
+                q = p + 1 if quote and text[p : p + 1] in ("'", '"') and p < len(text) else p
+                while text[q : q + 1] == " ":
+                    q += 1
+                if text[q : q + 1] in (":", "=") and q < len(text):
+                    q += 1
+                    while text[q : q + 1] == " ":
+                        q += 1
+                    for skip in (1, 0):
+                        start = q + 1 if skip and q < len(text) and text[q] in "'\"" else q
+                        if runs(value, start) > start:
+                            found = start, runs(value, start)
+                            break
+                if found:
+                    break
+        if found:
+            if found[1] - found[0] >= 6:
+                spans.append((at, 0, f"assign:{at}:{found[1]}"))
+            at = found[1]
+        else:
+            at += 1
+    for kind, prefix, allowed, least in ((1, "AKIA", set("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 20), (2, "", set("0123456789abcdef"), 24)):
+        at = 0
+        while at < len(text):
+            end = runs(allowed, at + len(prefix)) if text.startswith(prefix, at) else at
+            if end > at + len(prefix):
+                if end - at >= least:
+                    spans.append((at, kind, f"{('', 'access', 'hex')[kind]}:{at}:{end}"))
+                at = end
+            else:
+                at += 1
+    return ",".join(x[2] for x in sorted(spans))
+
+
+def test_fixed_secret_patterns_by_hand(spark):
+    rnd = random.Random(11)
+    signs = ["password", "PassWd", "secret", "Token", "api_key", "APIKEY", "apiKey", ":", "=", " ", "'", '"', "AKIA", "Z7", "abc123", "0af", "é", "."]
+    texts = ["".join(rnd.choice(signs) for _ in range(rnd.randrange(60))) for _ in range(300)] + ["AKIA" + "Q" * 16, "f" * 24, "f" * 23]
+    texts += [r[0] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect() if r[0]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["base_sha256"] for r in secrets(df, public_tokenizers.path("byte_bpe_50k.tiktoken"), PATTERN).collect()}
+    assert got == {i: hashlib.sha256(slow_base_spans(t).encode()).hexdigest() for i, t in enumerate(texts)}
