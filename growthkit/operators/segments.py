@@ -97,26 +97,27 @@ def _known(features: Sequence[str]) -> Column:
 
 
 @contextmanager
-def _scaled(df: DataFrame, ident: str, features: Sequence[str], scale: bool) -> Iterator[tuple[DataFrame, DataFrame]]:
-    """(all rows, complete rows) with features of mean 0 and sample deviation 1.
+def _scaled(
+    df: DataFrame, ident: str, features: Sequence[str], scale: bool
+) -> Iterator[tuple[dict[str, Column], DataFrame]]:
+    """(features of mean 0 and sample deviation 1 as expressions over the input, complete rows with them).
 
-    The input is kept for the passes of a fit. A constant feature becomes 0; a row that lacks a
-    feature is in the first frame only.
+    The rows are kept for the passes of a fit. A constant feature becomes 0.
     """
     rows = df.select(ident, *[F.col(c).cast("double").alias(c) for c in features])
     kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        shape = {}
+        shape = {c: F.col(c).cast("double") for c in features}
         if scale:
             complete = kept.where(_known(features))
             stats = complete.agg(
                 *[F.avg(c).alias(f"m_{c}") for c in features], *[F.stddev_samp(c).alias(f"s_{c}") for c in features]
             ).first()
             for c in features:
-                centred = F.col(c) - F.lit(stats[f"m_{c}"])
+                centred = F.col(c).cast("double") - F.lit(stats[f"m_{c}"])
                 sd = stats[f"s_{c}"]
                 shape[c] = centred / F.lit(sd) if sd else F.when(F.col(c).isNotNull(), F.lit(0.0))
-        yield rows.withColumns(shape), kept.withColumns(shape).where(_known(features))
+        yield shape, kept.withColumns(shape).where(_known(features))
     finally:
         kept.unpersist()
 
@@ -214,8 +215,9 @@ def kmeans(
     scale: bool = True,
     max_iter: int = 100,
     tol: float = 1e-4,
+    with_input: bool = False,
 ) -> DataFrame:
-    """Cluster number per row -> ident, cluster. Runs Spark jobs when called.
+    """Cluster number per row -> ident, cluster; with `with_input` all columns of `df` and cluster. Runs Spark jobs when called.
 
     Starting points depend on ids and seeds alone, which makes the result independent of
     partitioning; the start with the lowest cost wins and clusters are numbered by
@@ -223,13 +225,15 @@ def kmeans(
     `max_iter` passes is warned of.
     """
     features = names(features)
-    with _scaled(df, ident, features, scale) as (rows, points):
+    with _scaled(df, ident, features, scale) as (shape, points):
         starts = _starts(points, ident, features, k, _seed_list(seeds))
         fits = _lloyd(points, features, list(starts.values()), max_iter, tol)
         centres, _, converged = min(fits, key=lambda fit: fit[1])
     if not converged:
         warnings.warn(f"no convergence after {max_iter} passes", RuntimeWarning, stacklevel=2)
-    return rows.select(ident, _label(features, sorted(centres)).alias("cluster"))
+    kept = df.columns if with_input else [ident]
+    placed = {f"__f{i}": shape[c] for i, c in enumerate(features)}
+    return df.withColumns(placed).select(*kept, _label(list(placed), sorted(centres)).alias("cluster"))
 
 
 def choose_k(

@@ -134,7 +134,7 @@ def seg_choose_k(spark, sf_dir):
 )
 def seg_cluster_profile(spark, sf_dir):
     features = supplier_features(spark, sf_dir)
-    labelled = features.join(segments.kmeans(features, "supplier", FEATURES, 3, tol=1e-9), "supplier")
+    labelled = segments.kmeans(features, "supplier", FEATURES, 3, tol=1e-9, with_input=True)
     return rounded(segments.cluster_profile(labelled, "cluster", FEATURES))
 
 

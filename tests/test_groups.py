@@ -86,6 +86,13 @@ class TestKmeans:
         assert got.where("id = 999").first()["cluster"] is None
         assert got.where("cluster IS NULL").count() == 1
 
+    def test_input_columns_come_back(self, blobs):
+        plain = {r["id"]: r["cluster"] for r in segments.kmeans(blobs, "id", ["x", "y"], 3).collect()}
+        whole = segments.kmeans(blobs, "id", ["x", "y"], 3, with_input=True)
+        assert whole.columns == [*blobs.columns, "cluster"]
+        assert {r["id"]: r["cluster"] for r in whole.collect()} == plain
+        assert {tuple(r)[:-1] for r in whole.collect()} == {tuple(r) for r in blobs.collect()}
+
     def test_too_many_clusters(self, spark):
         df = spark.createDataFrame([(1, 0.0), (2, 0.0), (3, 1.0)], "id int, x double")
         with pytest.raises(ValueError, match="distinct points"):
