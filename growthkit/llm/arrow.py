@@ -25,8 +25,10 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]] if len(offsets) else data, offsets - offsets[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[tuple]:
-    """(batch slice, bytes, offsets) for runs of rows that hold up to `limit` bytes of text."""
+def slices(
+    batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES, most_rows: int | None = None
+) -> Iterator[tuple]:
+    """(batch slice, bytes, offsets) for runs of rows that hold up to `limit` bytes of text, and up to `most_rows` rows."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -34,6 +36,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
         at = 0
         while at < batch.num_rows:
             to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
+            to = min(to, at + most_rows) if most_rows else to
             yield batch.slice(at, to - at), data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
             at = to
 

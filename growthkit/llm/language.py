@@ -20,6 +20,8 @@ from growthkit.llm.shared import Shared
 
 #: Bits of a feature's number, bytes of the n-grams, and most texts of a language that are learned from.
 BITS, GRAMS, SAMPLE = 12, (2, 3, 4), 600
+#: Texts whose feature rows, of 32 kB each, are in memory at once.
+ROWS = 512
 UNKNOWN = "und"
 
 # Families of related languages by ISO 639-1 code; any other code is a family of its own.
@@ -67,7 +69,7 @@ def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows, data, offsets in slices(batches, "text", 1 << 19):
+    for rows, data, offsets in slices(batches, "text", 1 << 19, ROWS):
         found = [x.astype(np.float32).tobytes() for x in features(data, offsets)]
         yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(found, pa.binary())], ["lang", "features"])
 
@@ -149,7 +151,7 @@ def has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def _predict(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for rows, data, offsets in slices(batches, "text", 1 << 19):
+        for rows, data, offsets in slices(batches, "text", 1 << 19, ROWS):
             ok = has_letter(data, offsets)
             langs, scores = np.full(len(ok), UNKNOWN, object), np.zeros(len(ok))
             if model is not None and ok.any():
