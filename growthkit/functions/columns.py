@@ -117,3 +117,14 @@ def known_number(df: DataFrame, col: str) -> Column:
     if isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType)):
         return F.when(~F.isnan(col), F.col(col))
     return F.col(col)
+
+
+def exact_sum(df: DataFrame, col: str, of: Column | None = None) -> Column:
+    """The sum of a column (or of `of`, made from it), 0 without known values; whole numbers and decimals are added up exactly."""
+    kind = df.schema[col].dataType
+    total = F.sum(F.col(col) if of is None else of)
+    if isinstance(kind, T.DecimalType):
+        return F.coalesce(total, F.lit(0).cast(f"decimal({min(38, kind.precision + 10)},{kind.scale})"))
+    if isinstance(kind, T.IntegralType):
+        return F.coalesce(total, F.lit(0).cast("bigint"))
+    return F.coalesce(total.cast("double"), F.lit(0.0))

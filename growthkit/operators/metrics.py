@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from growthkit.functions.columns import names, period_age, period_of, ratio
+from growthkit.functions.columns import exact_sum, names, period_age, period_of, ratio
 
 
 def with_users(per_user: DataFrame, users: DataFrame | None, user: str, dims: Sequence[str]) -> DataFrame:
@@ -174,21 +174,22 @@ def revenue_per_user(
 
     -> period, dims, active, payers, revenue, arpau, arppu. `revenue` is NULL on rows that
     are no purchase. ARPAU divides by users active in the period, ARPPU by users
-    with a purchase; without payers ARPPU is NULL. Events without a user or a time are left out.
+    with a purchase; without payers ARPPU is NULL. Events without a user or a time are left out. `revenue` is exact where it
+    comes in whole numbers or decimals.
     """
     dims = names(dims)
     own = _own(dims, users)
     rows = events.where(F.col(user).isNotNull() & F.col(ts).isNotNull()).select(
         user, *own, period_of(ts, period).alias("period"), revenue.alias("__r")
     )
-    per_user = rows.groupBy("period", user, *own).agg(F.sum("__r").alias("__r"), F.count("__r").alias("__paid"))
+    per_user = rows.groupBy("period", user, *own).agg(exact_sum(rows, "__r").alias("__r"), F.count("__r").alias("__paid"))
     return (
         with_users(per_user, users, user, dims)
         .groupBy("period", *dims)
         .agg(
             F.count(F.lit(1)).alias("active"),
             F.count_if(F.col("__paid") > 0).alias("payers"),
-            F.coalesce(F.sum("__r").cast("double"), F.lit(0.0)).alias("revenue"),
+            exact_sum(per_user, "__r").alias("revenue"),
         )
         .withColumn("arpau", ratio(F.col("revenue"), F.col("active")))
         .withColumn("arppu", ratio(F.col("revenue"), F.col("payers")))

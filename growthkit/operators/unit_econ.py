@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from growthkit.functions.columns import join_groups, names, period_end, period_of, ratio
+from growthkit.functions.columns import exact_sum, join_groups, names, period_end, period_of, ratio
 from growthkit.operators.metrics import dense_ages, revenue_per_user, trend, with_users
 
 
@@ -30,13 +30,12 @@ def within_age(
 def daily_revenue(events: DataFrame, user: str, ts: str, revenue: Column) -> DataFrame:
     """Revenue per user and age in days since the first event -> user, first_day, age, revenue.
 
-    Events are summed per user and day before the first day is looked up.
+    Events are summed per user and day before the first day is looked up; whole numbers and decimals exactly. Events without a user
+    or a time are left out.
     """
-    per_day = (
-        events.where(F.col(user).isNotNull() & F.col(ts).isNotNull())
-        .groupBy(F.col(user), F.to_date(ts).alias("__day"))
-        .agg(F.coalesce(F.sum(revenue).cast("double"), F.lit(0.0)).alias("revenue"))
-    )
+    known = events.where(F.col(user).isNotNull() & F.col(ts).isNotNull())
+    rows = known.select(user, F.to_date(ts).alias("__day"), revenue.alias("__r"))
+    per_day = rows.groupBy(user, "__day").agg(exact_sum(rows, "__r").alias("revenue"))
     first = F.min("__day").over(W.partitionBy(user))
     return per_day.withColumn("first_day", first).select(
         user, "first_day", F.datediff("__day", "first_day").cast("bigint").alias("age"), "revenue"
@@ -79,7 +78,7 @@ def ltv_curve(
         keyed, group = keyed.withColumn("__all", F.lit(1)), ["__all"]
     first = F.col("age") == 0
     cells = keyed.groupBy(*group, "age").agg(
-        F.sum(F.when(F.col("__done"), F.col("revenue")).otherwise(F.lit(0.0))).alias("revenue"),
+        exact_sum(keyed, "revenue", F.when(F.col("__done"), F.col("revenue"))).alias("revenue"),
         F.count_if(first & F.col("__done")).alias("users"),
         F.count_if(first).alias("acquired"),
     )

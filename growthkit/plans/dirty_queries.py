@@ -428,3 +428,18 @@ def mart_null_categories(spark, sf_dir):
     parts = table(spark, sf_dir, "part").select(brand, size, F.col("p_retailprice").alias("price"))
     wanted = {"n": ("count", F.lit(1)), "total": ("sum", "price"), "mean": ("avg", "price"), "low": ("min", "price")}
     return rounded(marts.mart(parts, ["brand", "size"], wanted), total=2)
+
+
+@query(
+    "pm_arpau_exact",
+    f"""SELECT CAST(date_trunc('year', o_orderdate) AS DATE) AS period, count(DISTINCT o_custkey) AS active,
+ CAST(sum({LARGE} + CAST(o_orderkey AS HUGEINT)) - count(*) * CAST({LARGE} AS HUGEINT) AS BIGINT) AS above
+ FROM orders GROUP BY 1""",
+)
+def pm_arpau_exact(spark, sf_dir):
+    """Money in decimals, each amount beyond 2^53: the sums must lose nothing."""
+    amount = (F.lit(LARGE) + F.col("order_id")).cast("decimal(20,0)")
+    years = metrics.revenue_per_user(order_log(spark, sf_dir), "user_id", "ts", amount, "year")
+    orders = order_log(spark, sf_dir).groupBy(F.trunc("ts", "year").cast("date").alias("period")).agg(F.count("*").alias("n"))
+    above = (F.col("revenue") - F.col("n").cast("decimal(20,0)") * F.lit(LARGE).cast("decimal(20,0)")).cast("bigint")
+    return years.join(orders, "period").select("period", "active", above.alias("above"))
