@@ -50,7 +50,7 @@ def op5_threshold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_bytes(table(spark, sf_dir, "documents"))
+    return repeated_bytes(table(spark, sf_dir, "documents"), shared=True)
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

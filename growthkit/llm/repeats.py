@@ -375,8 +375,10 @@ def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def repeated_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = 400, **shard: int) -> DataFrame:
-    """Per row of `docs`: id, n_bytes, n_removed, n_spans, kept_sha256, n_shared.
+def repeated_bytes(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = 400, shared: bool = False, **shard: int
+) -> DataFrame:
+    """Per row of `docs`: id, n_bytes, n_removed, n_spans, kept_sha256, and with `shared` n_shared.
 
     A text is its UTF-8 bytes; a byte is removed if it stands in a string of `length` bytes that also starts
     at any other place of any text, its own included. Strings are judged on the input. n_spans counts the
@@ -386,14 +388,14 @@ def repeated_bytes(docs: DataFrame, id: str = "doc_id", text: str = "text", leng
     other columns are not read. Spark jobs run when this is called.
     """
     spans = repeated_spans(docs, text, length, **shard)
-    shared = shared_strings(docs, text)
     kind = docs.schema[id].dataType.simpleString()
     rows = docs.select(F.col(id).alias("id"), text_digest(text).alias("tid"), F.col(text).alias("text"))
-    rows = rows.mapInArrow(_pack, f"id {kind}, tid long, packed binary").join(spans, "tid", "left").join(shared, "tid", "left")
-    out = rows.select("id", "packed", "spans", F.coalesce("n_shared", F.lit(0)).alias("n_shared")).mapInArrow(
+    rows = rows.mapInArrow(_pack, f"id {kind}, tid long, packed binary").join(spans, "tid", "left")
+    rows = rows.join(shared_strings(docs, text), "tid", "left") if shared else rows.withColumn("n_shared", F.lit(0))
+    out = rows.select("id", "packed", "spans", F.coalesce("n_shared", F.lit(0)).cast("long").alias("n_shared")).mapInArrow(
         _report, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_shared long"
     )
-    return out.withColumnRenamed("id", id)
+    return (out if shared else out.drop("n_shared")).withColumnRenamed("id", id)
 
 
 def _whole_characters(body: bytes, spans: list[tuple[int, int]]) -> str:

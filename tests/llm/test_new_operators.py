@@ -266,7 +266,7 @@ def test_shared_strings_find_every_repeated_passage(spark):
     texts += [" ".join(prose(300, 4)) for _ in range(8)]
     texts += [" ".join(passages[0][:31] + prose(60, 4)) for _ in range(4)] + [" ".join(passages[1] + ["x"] + passages[1]), "", None]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    got = {r["doc_id"]: r["n_shared"] for r in repeated_bytes(df).collect()}
+    got = {r["doc_id"]: r["n_shared"] for r in repeated_bytes(df, shared=True).collect()}
     assert all(got[i] > 0 for i in range(12)) and got[24] > 1
     assert all(got[i] == 0 for i in [*range(12, 24), 25, 26])
 
@@ -278,7 +278,7 @@ def test_benchmark_passages_are_found(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     items = [r[0] for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").select("text").collect()]
     texts = {r["doc_id"]: r["text"] or "" for r in docs.select("doc_id", "text").collect()}
-    got = {r["doc_id"]: r["n_shared"] for r in repeated_bytes(docs).collect()}
+    got = {r["doc_id"]: r["n_shared"] for r in repeated_bytes(docs, shared=True).collect()}
     for item in (i for i in items if i and len(i.split()) > 50):
         holders = [d for d, t in texts.items() if item in t]
         if len(holders) > 1:
