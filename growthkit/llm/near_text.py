@@ -5,7 +5,8 @@ Bands of equal signature ranks make buckets. Candidates are compared in two roun
 
 1. every node with the smallest node of each of its buckets;
 2. where a bucket still holds several components, its nodes in different components by their
-   signatures and then their sets, block against block inside tasks; only links leave a task.
+   signatures, block against block inside tasks; then those with a candidate, and only those with their
+   texts, by their sets. Only nodes and links leave a task, never pairs that are not linked.
 
 Pairs in one component are not compared again, and pairs whose set sizes rule out a link never.
 Every candidate is confirmed on the full shingle sets, recomputed from the texts.
@@ -32,8 +33,8 @@ BANDS, ROWS = 42, 6
 #: Second round: a pair is confirmed if its signatures agree to within this of the threshold (over
 #: four standard errors of 252 slots).
 SLACK = 0.1
-#: Members of a bucket that are compared in one place.
-BLOCK = 1024
+#: Members of a bucket that are compared in one place, and bytes of their sets that are held at once.
+BLOCK, SET_BYTES = 1024, 1 << 26
 
 
 def _sets(data: np.ndarray, offsets: np.ndarray, k: int) -> list[np.ndarray]:
@@ -147,10 +148,11 @@ def _apart(known: DataFrame) -> DataFrame:
     return known.join(found.where("low < high").select("bucket"), "bucket")
 
 
-def _alike(members: DataFrame, k: int, similarity: tuple[int, int]) -> DataFrame:
+def _alike(members: DataFrame, packed: DataFrame, k: int, similarity: tuple[int, int]) -> DataFrame:
     """Links (a, b) between members of one bucket but different components, enough to connect them.
 
-    A bucket is cut into blocks of about BLOCK members, and each two blocks are compared in one place.
+    A bucket is cut into blocks of about BLOCK members, and each two blocks are compared in one place: first by
+    signature, without texts; then those that have a candidate there by their sets.
     """
     sizes = members.groupBy("bucket").agg(F.count("*").alias("size"))
     blocks = F.ceil(F.col("size") / BLOCK)
@@ -158,42 +160,85 @@ def _alike(members: DataFrame, k: int, similarity: tuple[int, int]) -> DataFrame
     dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     group = F.xxhash64("bucket", F.least("block", "with"), F.greatest("block", "with"))
     side = F.when(F.col("block") == F.col("with"), 2).otherwise((F.col("block") > F.col("with")).cast("int"))
-    dealt = dealt.select(group.alias("g"), side.alias("side"), "bucket", "node", "n", "component", "bands", "marks", "packed")
+    dealt = dealt.select(group.alias("g"), side.alias("side"), "bucket", "node", "n", "component", "bands", "marks")
     kind = members.schema["node"].dataType.simpleString()
-    dealt = dealt.repartition(F.col("g")).sortWithinPartitions("g")
-    return dealt.mapInArrow(_compare(k, *similarity), f"a {kind}, b {kind}")
+    facing = dealt.repartition(F.col("g")).sortWithinPartitions("g").mapInArrow(_facing(*similarity), dealt.schema)
+    facing = stored(facing, "facing").join(packed, "node").select(*dealt.columns, "packed")
+    facing = facing.repartition(F.col("g")).sortWithinPartitions("g")
+    return facing.mapInArrow(_compare(k, *similarity), f"a {kind}, b {kind}")
+
+
+class _Group:
+    """The members of two blocks: sides 0 and 1 face each other, members of side 2 all others."""
+
+    def __init__(self, group: pa.Table, top: int, bottom: int) -> None:
+        self.side, self.n, self.bucket = (group.column(x).to_numpy() for x in ("side", "n", "bucket"))
+        _, self.component = np.unique(group.column("component").to_numpy(zero_copy_only=False), return_inverse=True)
+        self.marks = np.frombuffer(b"".join(group.column("marks").to_pylist()), np.uint8).reshape(len(self.n), -1)
+        self.bands = group.column("bands").combine_chunks().flatten().to_numpy().reshape(len(self.n), -1)
+        self.top, self.bottom, self.least = top, bottom, self.marks.shape[1] * (top / bottom - SLACK)
+        self.faced = np.flatnonzero(self.side != 0)
+
+    def candidates(self) -> Iterator[tuple[int, np.ndarray]]:
+        """(member, members in other components that its signature may link it with)."""
+        n, bands = self.n, self.bands
+        for i in np.flatnonzero(self.side != 1).tolist():
+            to = self.faced
+            to = to[(self.component[to] != self.component[i]) & ((self.side[to] == 1) | (to > i))]
+            to = to[self.bottom * np.minimum(n[to], n[i]) >= self.top * np.maximum(n[to], n[i])]
+            to = to[(self.marks[to] == self.marks[i]).sum(axis=1) >= self.least]
+            # a pair that meets in several buckets is confirmed in the first only
+            yield i, to[bands[i][(bands[to] == bands[i]).argmax(axis=1)] == self.bucket[i]]
+
+
+def _facing(top: int, bottom: int):
+    """The members that have a candidate in their group, as they are."""
+
+    def of_group(group: pa.Table) -> list[pa.RecordBatch]:
+        found = np.zeros(group.num_rows, bool)
+        for i, to in _Group(group, top, bottom).candidates():
+            found[to] = True
+            found[i] |= len(to) > 0
+        return group.filter(pa.array(found)).to_batches()
+
+    return _by_group(of_group)
 
 
 def _compare(k: int, top: int, bottom: int):
-    def of_group(group: pa.Table) -> pa.RecordBatch | None:
-        side, n, bucket = (group.column(x).to_numpy() for x in ("side", "n", "bucket"))
-        _, component = np.unique(group.column("component").to_numpy(zero_copy_only=False), return_inverse=True)
-        marks = np.frombuffer(b"".join(group.column("marks").to_pylist()), np.uint8).reshape(len(n), -1)
-        bands = group.column("bands").combine_chunks().flatten().to_numpy().reshape(len(n), -1)
-        least = marks.shape[1] * (top / bottom - SLACK)
+    """Links (a, b) between the members of a group, confirmed on their sets."""
+
+    def of_group(group: pa.Table) -> list[pa.RecordBatch]:
+        members = _Group(group, top, bottom)
+        component = members.component
         sets: dict[int, np.ndarray] = {}
+        held = 0
 
         def of(i: int) -> np.ndarray:
+            nonlocal held
             if i not in sets:
+                if held > SET_BYTES:
+                    sets.clear()
+                    held = 0
                 sets[i] = _unpacked_sets(group.column("packed").slice(i, 1).combine_chunks(), k)[0]
+                held += sets[i].nbytes
             return sets[i]
 
         hits = []
-        two = np.flatnonzero(side != 0)
-        for i in np.flatnonzero(side != 1).tolist():
-            to = two[(component[two] != component[i]) & ((side[two] == 1) | (two > i))]
-            to = to[bottom * np.minimum(n[to], n[i]) >= top * np.maximum(n[to], n[i])]
-            to = to[(marks[to] == marks[i]).sum(axis=1) >= least]
-            # a pair that meets in several buckets is confirmed in the first only
-            to = to[bands[i][(bands[to] == bands[i]).argmax(axis=1)] == bucket[i]]
+        for i, to in members.candidates():
             for j in to.tolist():
                 if component[i] != component[j] and _linked(of(i), of(j), top, bottom):
                     hits.append((i, j))
                     component[component == component[j]] = component[i]
         if not hits:
-            return None
+            return []
         nodes = group.column("node").combine_chunks()
-        return pa.RecordBatch.from_arrays([nodes.take(pa.array([x[i] for x in hits])) for i in (0, 1)], ["a", "b"])
+        return [pa.RecordBatch.from_arrays([nodes.take(pa.array([x[i] for x in hits])) for i in (0, 1)], ["a", "b"])]
+
+    return _by_group(of_group)
+
+
+def _by_group(of_group):
+    """`of_group` for the rows of each g, the first column, in whose order batches come."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
@@ -204,14 +249,12 @@ def _compare(k: int, top: int, bottom: int):
                 cuts.insert(0, 0)
             at = 0
             for cut in cuts:
-                found = of_group(pa.Table.from_batches([*held, batch.slice(at, cut - at)]))
+                yield from of_group(pa.Table.from_batches([*held, batch.slice(at, cut - at)]))
                 held, at = [], cut
-                if found is not None:
-                    yield found
             if at < batch.num_rows:
                 held.append(batch.slice(at))
-        if held and (found := of_group(pa.Table.from_batches(held))) is not None:
-            yield found
+        if held:
+            yield from of_group(pa.Table.from_batches(held))
 
     return run
 
@@ -247,8 +290,8 @@ def near_duplicates(
     edges = search.confirmed(pairs, packed)
 
     members = _apart(_joined(edges, members.select("bucket", "node", "n")))
-    members = members.join(nodes.select("node", "bands", "marks").dropDuplicates(["node"]), "node").join(packed, "node")
-    edges = edges.unionByName(stored(_alike(members, k, similarity), "links"))
+    members = members.join(nodes.select("node", "bands", "marks").dropDuplicates(["node"]), "node")
+    edges = edges.unionByName(stored(_alike(members, packed, k, similarity), "links"))
 
     found = components(edges, "a", "b").withColumnRenamed("component", "component_id")
     of_key = nodes.join(found, "node", "left").select("key", F.coalesce("component_id", "node").alias("component_id"))

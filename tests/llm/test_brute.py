@@ -89,9 +89,10 @@ def shingle_set(text: str, k: int) -> frozenset:
     return frozenset(tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1)))
 
 
-@pytest.mark.parametrize("k,block", [(2, 1024), (5, 1024), (2, 3)])
-def test_near_text(spark, monkeypatch, k, block):
+@pytest.mark.parametrize("k,block,held", [(2, 1024, 1 << 26), (5, 1024, 1 << 26), (2, 3, 0)])
+def test_near_text(spark, monkeypatch, k, block, held):
     monkeypatch.setattr(near_text, "BLOCK", block)
+    monkeypatch.setattr(near_text, "SET_BYTES", held)
     texts = variants(k)
     rows = [(i * 3 + 1, t) for i, t in enumerate(texts)]
     sets = {i: shingle_set(t, k) for i, t in rows}
