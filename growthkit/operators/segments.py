@@ -10,6 +10,7 @@ from contextlib import contextmanager
 from functools import reduce
 from operator import add
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -122,18 +123,60 @@ def _scaled(
         kept.unpersist()
 
 
-def _nearest(features: Sequence[str], centres: Centres) -> str:
-    """SQL text for struct(dist, cluster) of the closest centre; a tie goes to the lower number."""
-    options = []
-    for i, centre in enumerate(centres):
-        gaps = [f"(`{c}` - ({float(x)!r}D))" for c, x in zip(features, centre)]
-        dist = " + ".join(f"{gap} * {gap}" for gap in gaps)
-        options.append(f"named_struct('dist', {dist}, 'cluster', {i}L)")
-    return f"array_min(array({', '.join(options)}))"
+def _nearest(features: Sequence[str]) -> str:
+    """SQL text of an array, for each model of `_with_models` struct(model, near): its label, and struct(dist, cluster)
+    of its closest centre; a tie goes to the lower number.
+
+    The text depends on the features alone. A centre is not measured once the closest so far lies within half of that
+    one's distance to any other: by the triangle inequality none can be closer.
+    """
+    width = len(features)
+
+    def measured(i: str) -> str:
+        gaps = [f"(`{c}` - get(__centres, {i} * {width} + {j}))" for j, c in enumerate(features)]
+        return f"named_struct('dist', {' + '.join(f'{gap} * {gap}' for gap in gaps)}, 'centre', {i})"
+
+    first = "get(__start, __m)"
+    closer = f"IF(4 * __best.dist < get(__apart, __best.centre), __best, least(__best, {measured('__i')}))"
+    found = f"named_struct('dist', __best.dist, 'cluster', __best.centre - {first})"
+    near = (
+        f"aggregate(sequence({first}, {first} + get(__size, __m) - 1), {measured(first)},"
+        f" (__best, __i) -> {closer}, __best -> {found})"
+    )
+    return (
+        "transform(sequence(0, size(__label) - 1), __m -> "
+        f"named_struct('model', get(__label, __m), 'near', {near}))"
+    )
+
+
+def _with_models(points: DataFrame, models: Sequence[Centres], labels: Sequence[int]) -> DataFrame:
+    """`points` with all centres of all models as array literals."""
+    sizes = [len(centres) for centres in models]
+    arrays = {
+        "__centres": np.array([x for centres in models for centre in centres for x in centre], float),
+        "__apart": np.concatenate([_apart(centres) for centres in models]),
+        "__start": np.cumsum([0, *sizes[:-1]]),
+        "__size": np.array(sizes),
+        "__label": np.array(labels),
+    }
+    return points.withColumns({name: F.lit(values) for name, values in arrays.items()})
+
+
+def _apart(centres: Centres) -> np.ndarray:
+    """For each centre the squared distance to the closest other one."""
+    points = np.array(centres, float)
+    out = np.full(len(points), np.inf)
+    for i, point in enumerate(points):
+        gaps = ((points - point) ** 2).sum(axis=1)
+        gaps[i] = np.inf
+        out[i] = gaps.min()
+    return out
 
 
-def _label(features: Sequence[str], centres: Centres) -> Column:
-    return F.when(_known(features), F.expr(_nearest(features, centres))["cluster"])
+def _labelled(points: DataFrame, features: Sequence[str], centres: Centres, kept: Sequence[str]) -> DataFrame:
+    """The columns `kept` and cluster, NULL where a feature is unknown."""
+    cluster = F.when(_known(features), F.expr(f"{_nearest(features)}[0].near.cluster"))
+    return _with_models(points, [centres], [0]).select(*kept, cluster.alias("cluster"))
 
 
 def _starts(
@@ -176,9 +219,9 @@ def _lloyd(
     moving = list(range(len(models)))
     sums_of = [F.sum("__at.near.dist").alias("cost"), *[F.avg(c).alias(f"c_{c}") for c in features]]
     for turn in range(max_iter + 1):
-        near = ", ".join(f"named_struct('model', {m}, 'near', {_nearest(features, models[m])})" for m in moving)
         sums = (
-            points.select(*features, F.expr(f"explode(array({near})) AS __at"))
+            _with_models(points, [models[m] for m in moving], moving)
+            .select(*features, F.expr(f"explode({_nearest(features)}) AS __at"))
             .groupBy("__at.model", "__at.near.cluster")
             .agg(*sums_of)
             .collect()
@@ -233,7 +276,7 @@ def kmeans(
         warnings.warn(f"no convergence after {max_iter} passes", RuntimeWarning, stacklevel=2)
     kept = df.columns if with_input else [ident]
     placed = {f"__f{i}": shape[c] for i, c in enumerate(features)}
-    return df.withColumns(placed).select(*kept, _label(list(placed), sorted(centres)).alias("cluster"))
+    return _labelled(df.withColumns(placed), list(placed), sorted(centres), kept)
 
 
 def choose_k(
@@ -257,7 +300,7 @@ def choose_k(
         fits = _lloyd(points, features, [starts[seed][:k] for k, seed in wanted], max_iter, tol)
         for k in ks:
             centres, cost, converged = min((fit for (kk, _), fit in zip(wanted, fits) if kk == k), key=lambda fit: fit[1])
-            labelled = points.withColumn("cluster", _label(features, centres).cast("int"))
+            labelled = _labelled(points, features, centres, features).withColumn("cluster", F.col("cluster").cast("int"))
             silhouette = evaluator.evaluate(vectors.transform(labelled)) if k > 1 else None
             lines.append((k, cost, silhouette, converged))
     return df.sparkSession.createDataFrame(lines, "k bigint, cost double, silhouette double, converged boolean")

@@ -77,7 +77,7 @@ class TestKmeans:
         centres, cost = segments._fit(df.repartition(3), ["x", "y"], [start], 100, 1e-9)[0]
         label, want = slow_kmeans(points, np.array(start))
         assert cost == pytest.approx(want)
-        got = df.select("id", segments._label(["x", "y"], centres).alias("c")).orderBy("id").collect()
+        got = segments._labelled(df, ["x", "y"], centres, ["id"]).withColumnRenamed("cluster", "c").orderBy("id").collect()
         assert [r["c"] for r in got] == label.tolist()
 
     def test_unknown_feature_gets_no_cluster(self, spark, blobs):
@@ -98,6 +98,30 @@ class TestKmeans:
         with pytest.raises(ValueError, match="distinct points"):
             segments.kmeans(df, "id", "x", 3)
 
+    def test_nearest_of_many_centres(self, spark):
+        rng = np.random.default_rng(5)
+        points = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.integers(-6, 7, (400, 2)))]
+        models = [[(float(x), float(y)) for x, y in rng.integers(-6, 7, (k, 2))] for k in (1, 2, 40)]
+        df = spark.createDataFrame(points, "id long, x double, y double")
+        near = F.expr(segments._nearest(["x", "y"])).alias("near")
+        got = segments._with_models(df, models, [7, 8, 9]).select("id", near).collect()
+        for row in got:
+            _, *at = points[row["id"]]
+            for m, centres in enumerate(models):
+                dist = [sum((p - q) ** 2 for p, q in zip(at, centre)) for centre in centres]
+                near = row["near"][m]
+                assert near["model"] == 7 + m
+                assert tuple(near["near"]) == (min(dist), dist.index(min(dist)))
+
+    def test_expression_does_not_grow_with_centres(self, spark):
+        df = spark.createDataFrame([(1.0, 2.0)], "x double, y double")
+
+        def nodes(models):
+            near = segments._with_models(df, models, range(len(models))).select(F.expr(segments._nearest(["x", "y"])))
+            return near._jdf.queryExecution().optimizedPlan().expressions().apply(0).treeString().count("\n")
+
+        assert nodes([[(0.0, 0.0)]]) == nodes([[(float(i), 1.0) for i in range(50)]] * 6)
+
     def test_choose_k_prefers_the_true_number(self, blobs):
         got = {r["k"]: r for r in segments.choose_k(blobs, "id", ["x", "y"], [1, 2, 3, 4]).collect()}
         assert got[1]["silhouette"] is None
